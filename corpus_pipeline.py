@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import common, decontaminate
+from tidemark.llm import common, decontaminate, minhash, mixing, quality_rules, secret_scan
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules or their host's verdict reject go."""
+    return quality_rules.good_documents(docs)
+
+
+def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays."""
+    gone = minhash.near_duplicates(docs).filter("not kept")
+    return common.keep_ids(docs, common.written(gone.select("doc_id"), "copies"), anti=True)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,7 +25,24 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return common.keep_ids(docs, common.written(hit.select("doc_id"), "contaminated"), anti=True)
 
 
-STAGES = [("benchmark decontamination", decontaminated)]
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; n_chars follows the text."""
+    return secret_scan.redacted(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source_size, target, and how many words and copies of each document the mix takes."""
+    return mixing.mix(docs)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("near duplicates", deduplicated),
+    ("benchmark decontamination", decontaminated),
+    ("secret scans", without_secrets),
+    ("mixing", mixed),
+]
+#: The near-duplicate and randomness stages are checked against plain Python instead.
 ORACLE_SQL = None
 
 

@@ -61,7 +61,7 @@ def join_small(left: DataFrame, right: DataFrame, key: str, how: str = "left", r
 def keep_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", anti: bool = False) -> DataFrame:
     """Rows of ``docs`` whose id is in ``ids`` (or is not: ``anti``); ``ids`` is broadcast only if counted small."""
     ids = ids.select(F.col(id_col).alias("__k")).distinct()
-    small = ids.limit(BROADCAST_ROWS * 5 + 1).count() <= BROADCAST_ROWS * 5
+    small = ids.count() <= BROADCAST_ROWS * 5
     return docs.join(F.broadcast(ids) if small else ids, docs[id_col] == F.col("__k"), "left_anti" if anti else "left_semi")
 
 

@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, langid, token_counts, toxicity
+from tidemark.llm import decontaminate, langid, minhash, mixing, quality_rules, secret_scan, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality(_table(spark, sf_dir, "documents"))
+
+
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -23,6 +31,14 @@ def op4_token_counts(spark: SparkSession, sf_dir: str, model: str | None = None)
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), model)
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(_table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -32,7 +48,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_toxicity, op4_token_counts, op9_decontamination, op10_language)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_minhash, op3_toxicity, op4_token_counts, op6_mixing, op8_secrets, op9_decontamination, op10_language)}
 
 
 def oracle_sql() -> dict[str, str]:
