@@ -118,3 +118,14 @@ def hits(text, items, size=10):
                     hit.update(range(a, a + len(p)))
                     ids.add(str(item))
     return len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), bool(hit)
+
+
+def language_model(rows):
+    """{doc_id: (held_out, n_tokens, n_known, N, base_score)}"""
+    import math
+    import zlib
+
+    docs = [(d, WORD.findall(lower(t)) + ["\n"], zlib.crc32(str(d).encode()) % 5 == 1) for d, t in rows]
+    c = Counter(w for _, ws, h in docs if not h for w in ws)
+    n, v = sum(c.values()), len(c)
+    return {d: (h, len(ws), sum(c[w] > 0 for w in ws), n, sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws)) for d, ws, h in docs}

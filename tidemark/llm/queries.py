@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, langid, minhash, mixing, quality_rules, secret_scan, token_counts, toxicity
+from tidemark.llm import decontaminate, langid, lm_scoring, minhash, mixing, quality_rules, secret_scan, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(_table(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(_table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op2_minhash, op3_toxicity, op4_token_counts, op6_mixing, op8_secrets, op9_decontamination, op10_language)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_minhash, op3_toxicity, op4_token_counts, op6_mixing, op7_lm_scores, op8_secrets, op9_decontamination, op10_language)}
 
 
 def oracle_sql() -> dict[str, str]:
