@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, langid, lm_scoring, minhash, mixing, quality_rules, secret_scan, token_counts, toxicity
+from tidemark.llm import decontaminate, langid, lm_scoring, minhash, mixing, phrase_dedup, quality_rules, secret_scan, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str, model: str | None = None)
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), model)
 
 
+def op5_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_dedup.digest(_table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op2_minhash, op3_toxicity, op4_token_counts, op6_mixing, op7_lm_scores, op8_secrets, op9_decontamination, op10_language)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_minhash, op3_toxicity, op4_token_counts, op5_phrase_dedup, op6_mixing, op7_lm_scores, op8_secrets, op9_decontamination, op10_language)}
 
 
 def oracle_sql() -> dict[str, str]:
