@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-MODULES = ("asof_queries", "pit_queries", "join_queries", "window_queries", "market_queries", "ensemble_queries", "text_queries", "quality_queries", "stream_queries", "source_queries")
+MODULES: tuple[str, ...] = ()
 
 
 def query(sql: str | None = None):
