@@ -60,9 +60,7 @@ def ticker_day(ticker: Column) -> Column:
     """The day in a ticker such as ``HIGHNY-25JUL01`` or ``KXHIGHNY-25JUL01-B92``; null otherwise."""
     at = r"^(?:KX)?HIGHNY-(\d{2})([A-Z]{3})(\d{2})"
     part = [F.regexp_extract(ticker, at, i) for i in (1, 2, 3)]
-    month = F.lpad((F.instr(F.lit("JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"), part[1]).cast("int") + 2).cast("double").cast("int").cast("string"), 2, "0")
     number = F.lpad(((F.instr(F.lit("JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"), part[1]) + 2) / 3).cast("int").cast("string"), 2, "0")
-    del month
     return F.when(part[0] != "", F.try_to_date(F.concat(F.lit("20"), part[0], F.lit("-"), number, F.lit("-"), part[2]), "yyyy-MM-dd"))
 
 

@@ -8,9 +8,10 @@ minhashes thus cost ``2 * SIDE * ROWS`` minhashes. A document takes part in the
 With 10 and 3, a pair at similarity 0.85 is missed with probability 0.00015, less above it.
 
 Equal shingle sets are one class from the start. Candidates are confirmed in two rounds, so that a bucket of copies
-never becomes all of its pairs: first every member against the bucket's smallest and largest id; then, with components
-known, only pairs of one bucket that lie in different components and were not compared yet. No pair that could still
-join two components is left out.
+never becomes all of its pairs. First every member against the bucket's hub, the text that shares its hashes with most
+others. Then, with components known, pairs of one bucket in different components that could still be similar enough:
+the intersection of two texts is at most what both share with the hub plus what either has beside it, not counting
+shingles that no other candidate has. No pair that could join two components is left out.
 
 Cases: null text, no words: an empty set, linked with nothing; fewer words than a shingle: the whole sequence is the one
 shingle; rows with one id are one document, linked if one of
@@ -24,7 +25,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import batches, join_small, keep_ids, mixed, written
@@ -144,11 +145,21 @@ def connected(links: DataFrame) -> DataFrame:
     return labels
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets are similar enough."""
+def intersections(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, i, t): for each pair the size of the intersection and the sum of both sizes."""
     sa, sb = sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
     both = pairs.join(sa, "a").join(sb, "b").select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("i"), (F.size("sa") + F.size("sb")).cast("long").alias("t"))
-    return both.filter(100 * F.col("i") >= percent * (F.col("t") - F.col("i"))).select("a", "b").distinct()
+    return both.groupBy("a", "b").agg(F.max(F.struct(F.col("i") / (F.col("t") - F.col("i")), "i", "t")).alias("m")).select("a", "b", "m.i", "m.t")
+
+
+def similar(i: Column, t: Column, percent: int) -> Column:
+    return 100 * i >= percent * (t - i)
+
+
+def own_shingles(sets: DataFrame) -> DataFrame:
+    """(id, own): how many shingles no other of the documents has; nothing for those without any."""
+    every = sets.select("id", F.explode("s").alias("h")).groupBy("h").agg(F.min("id").alias("id"), F.max("id").alias("last"), F.count("*").alias("c"))
+    return every.filter("c = 1 and id = last").groupBy("id").agg(F.count("*").alias("own"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, percent: int = PERCENT, side: int = SIDE, rows: int = ROWS) -> DataFrame:
@@ -163,41 +174,46 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     one = one.select(F.col("doc_id").alias("id"), "n", "keys", "fp")
     one = written(one.dropDuplicates(["id", "fp"]) if again else one, "one")
 
-    # hashes that two texts share, in both collections
+    # hashes that two texts share, in both collections; score: with how many others a text shares hashes
     single = one.select("id", F.explode("keys").alias("key"))
-    shared = single.groupBy("key").count().filter("count > 1").select("key")
-    live = single.join(shared, "key", "left_semi").groupBy("id").agg(F.min(F.col("key").bitwiseAND(1)).alias("lo"), F.max(F.col("key").bitwiseAND(1)).alias("hi")).filter("lo = 0 and hi = 1").select("id")
-    live = written(one.join(live, "id", "left_semi"), "live")
+    shared = single.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+    live = single.join(shared, "key").groupBy("id").agg(F.min(F.col("key").bitwiseAND(1)).alias("lo"), F.max(F.col("key").bitwiseAND(1)).alias("hi"), F.sum("c").alias("score")).filter("lo = 0 and hi = 1").select("id", "score")
+    live = written(one.join(live, "id"), "live")
 
-    # the tables
-    firsts, seconds = F.slice("keys", 1, side), F.slice("keys", side + 1, side)
-    keyed = live.select("id", "n", F.explode(F.flatten(F.transform(firsts, lambda x: F.transform(seconds, lambda y: F.xxhash64(x, y))))).alias("key"))
-    buckets = keyed.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("id", "n")).alias("lo"), F.max(F.struct("id", "n")).alias("hi")).filter("c > 1")
-    members = written(keyed.join(buckets, "key").select("key", "id", "n", "c", "lo", "hi"), "members")
-    ends = F.explode(F.array(F.struct(F.col("lo.id").alias("id"), F.col("lo.n").alias("n")), F.struct(F.col("hi.id").alias("id"), F.col("hi.n").alias("n")))).alias("o")
-    first = written(sized(members.select(F.col("id").alias("x"), F.col("n").alias("nx"), ends).select("x", "nx", F.col("o.id").alias("y"), F.col("o.n").alias("ny")), percent), "pairs")
+    # full sets of these, and which of them could be similar to any other at all
     mine = keep_ids(d, live.select(F.col("id").alias("doc_id")))
     sets = written(full_sets(mine.dropDuplicates(["doc_id", "text"]) if again else mine, size), "sets")
-    links = written(confirmed(first, sets, percent), "confirmed")
+    common = live.select("id", "n", "keys", "score").join(own_shingles(sets), "id", "left").withColumn("common", F.col("n") - F.coalesce("own", F.lit(0)))
+    fit = written(common.filter(100 * F.col("common") >= percent * F.col("n")).drop("own"), "fit")
+
+    # the tables: every member against its bucket's hub
+    firsts, seconds = F.slice("keys", 1, side), F.slice("keys", side + 1, side)
+    table = F.flatten(F.transform(firsts, lambda x, i: F.transform(seconds, lambda y, j: F.struct(F.xxhash64(x, y, i, j).alias("key"), i.alias("i"), j.alias("j")))))
+    keyed = fit.select("id", "n", "common", "score", F.explode(table).alias("k")).select("id", "n", "common", "score", "k.*")
+    buckets = keyed.groupBy("key").agg(F.count("*").alias("c"), F.max_by("id", F.struct(F.col("score"), -F.col("id"))).alias("hub")).filter("c > 1").select("key", "hub")
+    members = written(keyed.join(buckets, "key").filter("id <> hub").select("key", "i", "j", "id", "n", "common", "hub"), "members")
+    first = written(intersections(members.select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), sets), "first")
+    links = written(first.filter(similar(F.col("i"), F.col("t"), percent)).select("a", "b"), "confirmed")
     labels = connected(links)
 
-    # what the first round left open: pairs of one bucket in different components
-    at = join_small(members.filter("c > 2").select("key", "id", "n"), labels.select(F.col("node").alias("id"), "comp"), "id").select("key", "id", "n", F.coalesce("comp", "id").alias("comp"))
+    # what the first round left open
+    at = join_small(members, labels.select(F.col("node").alias("id"), "comp"), "id").withColumn("comp", F.coalesce("comp", "id"))
     open_ = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    at = written(at.join(open_, "key", "left_semi"), "open")
-    other = at.select("key", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("other"))
-    near = (100 * F.least("n", "ny") >= percent * F.greatest("n", "ny")) & (F.col("id") < F.col("y")) & (F.col("comp") != F.col("other"))
-    rest = at.join(other, "key").filter(near).select(F.col("id").alias("a"), F.col("y").alias("b")).distinct()
-    more = written(confirmed(rest.join(first, ["a", "b"], "left_anti"), sets, percent), "more")
+    at = at.join(open_, "key", "left_semi").join(first.select(F.col("a").alias("id"), F.col("b").alias("hub"), F.col("i").alias("inside")), ["id", "hub"])
+    at = written(at.join(fit.select("id", "keys"), "id").select("key", "i", "j", "id", "n", "comp", "inside", (F.col("common") - F.col("inside")).alias("beside"), "keys"), "open")
+    x, y = at.alias("x"), at.select("key", *[F.col(c).alias(f"{c}_") for c in at.columns if c not in ("key", "i", "j")]).alias("y")
+    most = F.least("inside", "inside_") + F.least("beside", "beside_")
+
+    def place(low: int) -> Column:
+        """The first hash of a collection that both have: a pair is met in one table only."""
+        return F.array_position(F.zip_with(F.slice("keys", low, side), F.slice("keys_", low, side), lambda p, q: p == q), True) - 1
+
+    near = (F.col("id") < F.col("id_")) & (F.col("comp") != F.col("comp_")) & similar(most, F.col("n") + F.col("n_"), percent) & (place(1) == F.col("i")) & (place(side + 1) == F.col("j"))
+    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & near).select(F.col("id").alias("a"), F.col("id_").alias("b")).distinct()
+    more = written(intersections(rest, sets).filter(similar(F.col("i"), F.col("t"), percent)).select("a", "b"), "more")
     if not more.isEmpty():
         labels = connected(links.union(more))
 
     out = join_small(sig.select("doc_id", "n", "fp"), copied, "fp").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"))
     out = join_small(out, labels.select(F.col("node").alias("rep"), "comp"), "rep").select("doc_id", "n", F.coalesce("comp", "rep").alias("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
-
-
-def sized(pairs: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs a < b of different documents whose set sizes allow the similarity."""
-    fits = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
-    return pairs.filter((F.col("x") != F.col("y")) & fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()

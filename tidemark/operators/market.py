@@ -156,13 +156,16 @@ def market_summary(candles: DataFrame, g: DataFrame, by: list[str]) -> DataFrame
 
 
 def tiling_faults(markets: DataFrame, event: str = "event_ticker") -> DataFrame:
-    """Neighbouring strike intervals that leave a gap or overlap; an open floor comes first."""
+    """Strike intervals that don't join the one before: whole-degree intervals that include both ends start one above it,
+    others start on it. An open floor comes first; a missing cap keeps the last one known."""
     from pyspark.sql import Window
 
-    w = Window.partitionBy(event).orderBy(F.col("floor_strike").asc_nulls_first())
-    d = markets.withColumn("before_cap", F.lag("cap_strike").over(w)).withColumn("at", F.row_number().over(w))
-    kind = F.when(F.col("before_cap").isNull() | F.col("floor_strike").isNull(), "open_inside").when(F.col("floor_strike") > F.col("before_cap"), "gap").when(F.col("floor_strike") < F.col("before_cap"), "overlap")
-    return d.filter("at > 1").withColumn("fault", kind).filter("fault is not null").drop("at")
+    w = Window.partitionBy(event).orderBy(F.col("floor_strike").asc_nulls_first(), "cap_strike")
+    before = F.last("cap_strike", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    both = (F.col("strike_type") == "between") & (F.lag("strike_type").over(w) == "between")
+    d = markets.withColumn("before_cap", before).withColumn("expected_floor", before + both.cast("int"))
+    fault = F.when(F.col("floor_strike") > F.col("expected_floor"), "gap").when(F.col("floor_strike") < F.col("expected_floor"), "overlap")
+    return d.withColumn("fault", fault).filter("fault is not null")
 
 
 def not_exactly_one_yes(markets: DataFrame, event: str = "event_ticker") -> DataFrame:
