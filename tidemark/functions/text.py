@@ -18,11 +18,11 @@ _OPEN, _CLOSE = "\u0001", "\u0002"
 def sections(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
     """(keys, position, section_name, section_text): the text before the first heading is ``HEADER``, if there is any."""
     marked = F.split(F.regexp_replace(F.col(text), SECTION, f"{_OPEN}$1{_CLOSE}"), _OPEN)
-    rows = df.filter(F.col(text).isNotNull()).select(*keys, F.posexplode(marked).alias("position", "piece"))
+    rows = df.filter(F.col(text).isNotNull()).select(*keys, (F.size(marked) == 1).alias("__one"), F.posexplode(marked).alias("position", "piece"))
     head = F.col("position") == 0
     name = F.when(head, "HEADER").otherwise(F.trim(F.split_part("piece", F.lit(_CLOSE), F.lit(1))))
     body = F.when(head, F.col("piece")).otherwise(F.btrim(F.split_part("piece", F.lit(_CLOSE), F.lit(2)), F.lit(" \n\r\t")))
-    return rows.filter(~head | (F.col("piece") != "")).select(*keys, "position", name.alias("section_name"), body.alias("section_text"))
+    return rows.filter(~head | (F.col("piece") != "") | F.col("__one")).select(*keys, "position", name.alias("section_name"), body.alias("section_text"))
 
 
 def is_relevant(section_name: Column) -> Column:
