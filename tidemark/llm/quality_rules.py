@@ -85,7 +85,7 @@ def quality(docs: DataFrame, host_col: str = "source", text_col: str = "text", i
     """One row a document: id, the counts, base_failed, the host's shrunk rate and verdict, kept."""
     d = docs.select(F.col(id_col).alias("doc_id"), F.col(host_col).alias("host"), F.col(text_col).alias("text"))
     judged = written(document_rules(d).drop("text"), "quality")
-    hosts = host_verdicts(judged, "host", limit=limit).select("host", F.col("rate").alias("host_rate"), "host_rejected")
+    hosts = host_verdicts(judged, "host", limit=limit).select("host", F.round("rate", 9).alias("host_rate"), "host_rejected")
     out = join_small(judged, hosts, "host")
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "host_rate", "host_rejected", (~F.col("base_failed") & ~F.col("host_rejected")).alias("kept"))
 

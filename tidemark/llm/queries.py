@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, langid, lm_scoring, minhash, mixing, phrase_dedup, quality_rules, secret_scan, token_counts, toxicity
+from tidemark.llm import decontaminate, langid, lm_scoring, minhash, mixing, oracle, phrase_dedup, quality_rules, secret_scan, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,4 +60,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.SQL)
