@@ -10,6 +10,8 @@ SUMMARY_REPORTS = ("SOD", "SOM")
 LEAST_F, MOST_F = -40.0, 120.0
 NO_DIRECTION = (999, 9999, -999, -9999)
 FRESH_HOURS = 6.0
+#: Further current values that a state shows.
+MORE = ("dewpoint_f", "wind_speed_ms", "station_pressure_hpa")
 
 
 def scaled(raw: Column, scale: float = 10.0) -> Column:
@@ -104,7 +106,8 @@ def state(obs: DataFrame, states: DataFrame, by: list[str], fresh_hours: float =
 
     stations = obs.select(*by).distinct()
     us = F.unix_micros
-    o = obs.filter("observation_time is not null").select(*by, us("observation_time").alias("at"), "temperature_f")
+    more = [c for c in MORE if c in obs.columns]
+    o = obs.filter("observation_time is not null").select(*by, us("observation_time").alias("at"), "temperature_f", *more)
     s = states.select("state_id", us("query_time").alias("t"), us("day_start").alias("from_us"), us("day_end").alias("to_us")).crossJoin(F.broadcast(stations))  # stations are a dimension; the product is the result
     two = last_two(s, o, by, "t", "at")
     hour = asof_join(two.withColumn("back", F.col("latest.at") - 3_600_000_000), o, by, "back", "at", to="hour_ago")
@@ -122,4 +125,5 @@ def state(obs: DataFrame, states: DataFrame, by: list[str], fresh_hours: float =
     return out.select(
         "state_id", *by, F.col("latest.at").isNotNull().alias("has_eligible"), F.coalesce(fresh, F.lit(False)).alias("available"), (~fresh).alias("stale"), (age / 6e7).alias("age_minutes"), F.when(fresh, now).alias("current_f"),
         F.when(fresh, now - F.col("previous.temperature_f")).alias("change_previous_f"), F.when(fresh, now - F.col("hour_ago.temperature_f")).alias("change_1h_f"), F.col("day.best.temperature_f").alias("tmax_so_far_f"), (-F.col("day.best.first")).alias("time_of_max_us"),
+        F.col("latest.at").alias("latest_us"), *[F.when(fresh, F.col(f"latest.{c}")).alias(f"current_{c}") for c in more],
     )
