@@ -14,7 +14,7 @@ h AS (SELECT source, count(*) AS nd, count(*) FILTER (base_failed) AS nf FROM j
 m AS (SELECT sum(nf) / sum(nd) AS mean, greatest(0.0, sum(round(nd * (nf / nd) * (nf / nd) * 1e6)::BIGINT) / 1e6 / sum(nd) - (sum(nf) / sum(nd)) * (sum(nf) / sum(nd))) AS v FROM h),
 z AS (SELECT mean, CASE WHEN v > 0 THEN least(1000.0, greatest(1.0, mean * (1 - mean) / v - 1)) ELSE 1000.0 END AS k FROM m),
 x AS (SELECT source, (nf + k * mean) / (nd + k) AS rate FROM h, z)
-SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed, round(rate, 9) AS host_rate, rate > 0.5 AS host_rejected, NOT base_failed AND NOT rate > 0.5 AS kept
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed, round(rate, 9) AS host_rate, rate > 0.75 AS host_rejected, NOT base_failed AND NOT rate > 0.75 AS kept
 FROM j JOIN x ON j.source IS NOT DISTINCT FROM x.source
 """
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import join_small, let, written
 
 #: A host goes when its shrunk failure rate is above this.
-HOST_RATE = 0.5
+HOST_RATE = 0.75
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 _BLANKS = " \t\n\x0b\x0c\r"
 
