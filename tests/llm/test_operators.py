@@ -269,3 +269,12 @@ def test_toxicity(spark, none):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in got)
     assert toxicity.toxicity(none, labels).count() == 0
     assert all(r["score"] < 1e-9 for r in toxicity.toxicity(docs, labels.limit(0)).collect())
+
+
+def test_nothing_changes_when_sides_are_too_large_to_broadcast(docs, monkeypatch):
+    from tidemark.llm import common
+
+    runs = (quality_rules.quality, mixing.mix, minhash.near_duplicates, quality_rules.good_documents)
+    small = [sorted(f(docs).collect(), key=repr) for f in runs]
+    monkeypatch.setattr(common, "BROADCAST_ROWS", -1)
+    assert [sorted(f(docs).collect(), key=repr) for f in runs] == small

@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: A side of a join is broadcast up to this many rows (narrow rows: an id or a key and a few numbers).
 BROADCAST_ROWS = 200_000
-#: Ways a hot key is split when the other side is too large to broadcast.
-SALTS = 32
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -44,18 +42,14 @@ def let(value: Column, body) -> Column:
 def join_small(left: DataFrame, right: DataFrame, key: str, how: str = "left", rows: int | None = None) -> DataFrame:
     """Join on ``key`` where ``right`` has one row a key and ``left`` may have hot keys; nulls in ``key`` match.
 
-    ``right`` is broadcast when it has at most ``BROADCAST_ROWS`` rows (counted here). Beyond that the left side is
-    salted and the right side repeated once per salt, so that no key lands in one task.
+    ``right`` is broadcast when it has at most ``BROADCAST_ROWS`` rows (counted here), so no key is shuffled. Beyond that
+    both sides are dealt by key, and the rows of a hot key are split among tasks by adaptive execution: nothing that needs
+    a key's rows together follows the join.
     """
     rows = right.count() if rows is None else rows
-    names = [c for c in right.columns if c != key]
-    r = right.select(F.col(key).alias("__k"), *names)
+    r = right.withColumnRenamed(key, "__k")
     on = F.col(key).eqNullSafe(F.col("__k"))
-    if rows <= BROADCAST_ROWS:
-        return left.join(F.broadcast(r), on, how).drop("__k")
-    r = r.withColumn("__t", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns if c != key][:4]), F.lit(SALTS)).cast("int")
-    return left.withColumn("__s", salt).join(r, on & (F.col("__s") == F.col("__t")), how).drop("__k", "__s", "__t")
+    return left.join(F.broadcast(r) if rows <= BROADCAST_ROWS else r, on, how).drop("__k")
 
 
 def keep_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", anti: bool = False) -> DataFrame:
