@@ -108,3 +108,15 @@ def missing_kind(present: Column, applicable: Column, due: Column) -> Column:
 def unsorted_within(df: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
     w = Window.partitionBy(*by).orderBy(*order)
     return df.withColumn("before", F.lag(value).over(w)).filter(F.col(value) < F.col("before"))
+
+
+def availability(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, n_known, available): whether a field occurs at all; one pass."""
+    g = df.agg(*[F.count(c).alias(c) for c in columns])
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_known")) for c in columns])).alias("x")
+    return g.select(pairs).select("x.column", "x.n_known", (F.col("x.n_known") > 0).alias("available"))
+
+
+def first_known(df: DataFrame, by: list[str], order: str, columns: list[str]) -> DataFrame:
+    """Each column's first value that isn't null: minima by a struct, not a sort."""
+    return df.groupBy(*by).agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in columns])

@@ -172,3 +172,21 @@ def not_exactly_one_yes(markets: DataFrame, event: str = "event_ticker") -> Data
     """Settled events in which the number of markets that resolved yes isn't one."""
     one = markets.dropDuplicates([event, "market_ticker"])
     return one.groupBy(event).agg(F.count(F.when(F.col("result") == "yes", 1)).alias("n_yes"), F.count("*").alias("n_markets")).filter("n_yes <> 1")
+
+
+def minute_coverage(candles: DataFrame, event: str, n_markets: str) -> DataFrame:
+    """Per event: periods with any candle, with one of every market, with a quote of every market, with an empty book, and the
+    spread of the sums of midpoints over fully quoted periods. ``n_markets``: a column with the event's number of markets."""
+    quoted = F.col("yes_bid_close").isNotNull() & F.col("yes_ask_close").isNotNull()
+    real = quoted & ~F.coalesce("is_empty_book", F.lit(False))
+    mid = (F.col("yes_bid_close") + F.col("yes_ask_close")) / 2
+    one = candles.groupBy(event, "timestamp", "market_ticker").agg(F.count("*").alias("rows"), F.max(quoted.cast("int")).alias("q"), F.max((~real & quoted).cast("int")).alias("e"), F.avg(F.when(real, mid)).alias("mid"), F.max(n_markets).alias("n"))
+    per = one.groupBy(event, "timestamp").agg(F.sum("rows").alias("rows"), F.count("*").alias("have"), F.sum("q").alias("q"), F.max("e").alias("e"), F.count("mid").alias("mids"), F.sum("mid").alias("mid"), F.max("n").alias("n"))
+    total = F.when(F.col("mids") == F.col("n"), F.col("mid"))
+    return per.groupBy(event).agg(F.sum("rows").alias("rows"), F.count("*").alias("periods"), F.count(F.when(F.col("have") == F.col("n"), 1)).alias("all_have_candle"), F.count(F.when(F.col("q") == F.col("n"), 1)).alias("all_have_quote"), F.count(F.when(F.col("e") == 1, 1)).alias("with_empty_book"), F.avg(total).alias("midpoint_sum_mean"), F.min(total).alias("midpoint_sum_min"), F.max(total).alias("midpoint_sum_max"))
+
+
+def liquidity_density(candles: DataFrame, group: str, event: str) -> DataFrame:
+    """Per group: how many candles, markets and contracts an event has in the middle."""
+    per = candles.groupBy(group, event).agg(F.count("*").alias("candles"), F.countDistinct("market_ticker").alias("markets"), F.sum("volume").alias("volume"))
+    return per.groupBy(group).agg(F.count("*").alias("events"), *[F.expr(f"percentile({c}, 0.5)").alias(f"median_{c}") for c in ("candles", "markets", "volume")])

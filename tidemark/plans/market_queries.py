@@ -131,6 +131,29 @@ def regime_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(a.join(b, "grp", "left").join(v, "grp", "left"))
 
 
+COVER = CANDLES + """, k AS (SELECT 'e' || (market_ticker::INT % 10) AS ev, tsec // 86400 AS per, market_ticker, grp, volume, bc, ac, em FROM cc), n AS (SELECT ev, count(DISTINCT market_ticker) AS n FROM k WHERE market_ticker::INT % 50 < 10 GROUP BY ev),
+o AS (SELECT ev, per, market_ticker, count(*) AS r, max((em)::INT) AS e, avg(CASE WHEN NOT em THEN (bc + ac) / 2 END) AS mid FROM k WHERE market_ticker::INT % 50 < 10 GROUP BY ALL), q AS (SELECT o.ev, per, sum(r) AS r, count(*) AS have, max(e) AS e, count(mid) AS mids, sum(mid) AS mid, any_value(n) AS n FROM o JOIN n USING (ev) GROUP BY ALL)
+"""
+
+
+def _events_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = candles(spark, sf_dir).withColumn("ev", F.concat(F.lit("e"), F.col("market_ticker").cast("int") % 10))
+    return c.withColumn("timestamp", F.floor(F.col("timestamp") / 86400))
+
+
+@query(COVER + "SELECT ev, sum(r)::BIGINT AS rows, count(*) AS periods, count(*) FILTER (have = n) AS all_have_candle, count(*) FILTER (have = n) AS all_have_quote, count(*) FILTER (e = 1) AS with_empty_book, round(avg(mid) FILTER (mids = n), 6) AS midpoint_sum_mean, round(min(mid) FILTER (mids = n), 6) AS midpoint_sum_min, round(max(mid) FILTER (mids = n), 6) AS midpoint_sum_max FROM q GROUP BY ev")
+def minute_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days on which every market of an event has candles and quotes, and the sums of their midpoints."""
+    c = _events_of(spark, sf_dir).filter(F.col("market_ticker").cast("int") % 50 < 10)
+    n = c.groupBy("ev").agg(F.countDistinct("market_ticker").alias("n_markets"))
+    return _rounded(market.minute_coverage(c.join(F.broadcast(n), "ev"), "ev", "n_markets"))  # ten events
+
+
+@query(COVER + ", pe AS (SELECT grp, ev, count(*) AS c, count(DISTINCT market_ticker) AS m, sum(volume) AS v FROM k GROUP BY ALL) SELECT grp, count(*) AS events, quantile_cont(c, 0.5) AS median_candles, quantile_cont(m, 0.5) AS median_markets, quantile_cont(v, 0.5) AS median_volume FROM pe GROUP BY grp")
+def liquidity_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return market.liquidity_density(_events_of(spark, sf_dir), "grp", "ev")
+
+
 @query("""WITH e AS (SELECT user_id, ts, date_trunc('day', ts) AS d, value, event_id FROM events)
 SELECT user_id, epoch_us(d) AS period_us, first(value ORDER BY ts, event_id) AS open, max(value) AS high, min(value) AS low, last(value ORDER BY ts, event_id) AS close, count(*) AS n, round(sum(value), 6) AS volume FROM e GROUP BY user_id, d""")
 def candle_ohlc_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,3 +120,37 @@ def dq_changed_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT t."column", t.kind, t.p AS non_null_percent, (SELECT count(*) FROM events) AS n_rows FROM (VALUES ('event_id', 'bigint', 100.0::DOUBLE), ('ts', 'timestamp_ntz', 100.0), ('user_id', 'bigint', 100.0), ('event_type', 'string', 100.0), ('value', 'double', 100.0), ('props', 'string', 100.0)) AS t("column", kind, p)""")
 def dq_inspect_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inspect(table(spark, sf_dir, "events"))
+
+
+@query("SELECT 'big' AS \"column\", count(*) FILTER (value > 300) AS n_known, count(*) FILTER (value > 300) > 0 AS available FROM events UNION ALL SELECT 'never', 0, false UNION ALL SELECT 'value', count(value), true FROM events")
+def dq_field_availability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = events(spark, sf_dir).select("value", F.when(F.col("value") > 300, 1).alias("big"), F.lit(None).cast("int").alias("never"))
+    return audit.availability(e, ["value", "big", "never"])
+
+
+@query("SELECT user_id, arg_min(value, ts) FILTER (value > 200) AS first_big, arg_min(event_type, ts) AS first_kind FROM events GROUP BY user_id")
+def dq_first_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = events(spark, sf_dir).select("user_id", "us", F.when(F.col("value") > 200, F.col("value")).alias("first_big"), F.col("event_type").alias("first_kind"))
+    return audit.first_known(e, ["user_id"], "us", ["first_big", "first_kind"])
+
+
+@query("SELECT o_custkey, arg_min(o_orderstatus, o_orderkey) AS status, epoch(min(o_orderdate))::BIGINT AS opens, epoch(max(o_orderdate))::BIGINT AS closes, bool_and(o_orderstatus = 'F') AS all_settled, CASE WHEN o_custkey % 3 = 1 THEN 'other ticker' WHEN o_custkey % 3 = 2 THEN 'other title' END AS refusal FROM orders GROUP BY o_custkey")
+def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with nested markets: status, first opening, last close, whether all is settled, and if it is one of the series."""
+    from tidemark.functions import events as ev
+
+    t = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    m = F.struct("o_orderkey", F.when(F.col("o_orderstatus") == "F", "settled").otherwise(F.col("o_orderstatus")).alias("status"), t.alias("open_time"), t.alias("close_time"))
+    d = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(m)).alias("m"))
+    k = F.col("o_custkey") % 3
+    ticker, title = F.when(k == 1, "X-1").otherwise("KXHIGHNY-25JUL01"), F.when(k == 2, "Rain in Boston").otherwise("Highest temperature in New York")
+    status = F.when(ev.status(F.col("m")) == "settled", "F").otherwise(ev.status(F.col("m")))
+    return d.select("o_custkey", status.alias("status"), ev.earliest_open(F.col("m")).alias("opens"), ev.latest_close(F.col("m")).alias("closes"), ev.all_settled(F.col("m")).alias("all_settled"), ev.refusal(F.lit("KXHIGHNY"), ticker, title, F.col("m")).alias("refusal"))
+
+
+@query("SELECT event_id, 3 + (event_id % 2) AS n_numbers FROM events")
+def json_numeric_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.functions import events as ev
+
+    doc = F.to_json(F.struct("event_id", "value", F.array(F.col("user_id")).alias("users"), F.lit('a "1" 2').alias("text"), F.when(F.col("event_id") % 2 == 1, F.col("us")).alias("odd"), F.lit(True).alias("flag")))
+    return events(spark, sf_dir).select("event_id", ev.numeric_fields(doc).cast("long").alias("n_numbers"))
