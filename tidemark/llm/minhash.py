@@ -145,10 +145,16 @@ def connected(links: DataFrame) -> DataFrame:
     return labels
 
 
-def intersections(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, i, t): for each pair the size of the intersection and the sum of both sizes."""
+def intersections(pairs: DataFrame, sets: DataFrame, again: bool) -> DataFrame:
+    """(a, b, i, t): for each pair the size of the intersection and the sum of both sizes.
+
+    ``again``: ids may have several sets, of which the best pair counts. Otherwise nothing is summed after the joins, so
+    that Spark may split the rows of a hub that very many texts have.
+    """
     sa, sb = sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
     both = pairs.join(sa, "a").join(sb, "b").select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("i"), (F.size("sa") + F.size("sb")).cast("long").alias("t"))
+    if not again:
+        return both
     return both.groupBy("a", "b").agg(F.max(F.struct(F.col("i") / (F.col("t") - F.col("i")), "i", "t")).alias("m")).select("a", "b", "m.i", "m.t")
 
 
@@ -192,7 +198,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keyed = fit.select("id", "n", "common", "score", F.explode(table).alias("k")).select("id", "n", "common", "score", "k.*")
     buckets = keyed.groupBy("key").agg(F.count("*").alias("c"), F.max_by("id", F.struct(F.col("score"), -F.col("id"))).alias("hub")).filter("c > 1").select("key", "hub")
     members = written(keyed.join(buckets, "key").filter("id <> hub").select("key", "i", "j", "id", "n", "common", "hub"), "members")
-    first = written(intersections(members.select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), sets), "first")
+    first = written(intersections(members.select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), sets, again), "first")
     links = written(first.filter(similar(F.col("i"), F.col("t"), percent)).select("a", "b"), "confirmed")
     labels = connected(links)
 
@@ -210,7 +216,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     near = (F.col("id") < F.col("id_")) & (F.col("comp") != F.col("comp_")) & similar(most, F.col("n") + F.col("n_"), percent) & (place(1) == F.col("i")) & (place(side + 1) == F.col("j"))
     rest = x.join(y, (F.col("x.key") == F.col("y.key")) & near).select(F.col("id").alias("a"), F.col("id_").alias("b")).distinct()
-    more = written(intersections(rest, sets).filter(similar(F.col("i"), F.col("t"), percent)).select("a", "b"), "more")
+    more = written(intersections(rest, sets, again).filter(similar(F.col("i"), F.col("t"), percent)).select("a", "b"), "more")
     if not more.isEmpty():
         labels = connected(links.union(more))
 
