@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.windows import sequence_flags
+from tidemark.operators.windows import prefix_max, sequence_flags
 
 SIZE = "decimal(18,2)"
 
@@ -21,7 +21,7 @@ def flagged(messages: DataFrame) -> DataFrame:
     """Deltas and trades with FIRST, OK, GAP or DUPLICATE_OR_OLD; other messages with null."""
     numbered = messages.filter(F.col("type").isin("orderbook_delta", "trade") & F.col("seq").isNotNull())
     rest = messages.filter(~(F.col("type").isin("orderbook_delta", "trade") & F.col("seq").isNotNull())).withColumn("flag", F.lit(None).cast("string"))
-    return sequence_flags(numbered, "sid", ["ord"], "seq").unionByName(rest)
+    return sequence_flags(numbered, "sid", "ord", "seq").unionByName(rest)
 
 
 def segments(messages: DataFrame) -> DataFrame:
@@ -30,8 +30,8 @@ def segments(messages: DataFrame) -> DataFrame:
     Pending: after a gap, a disconnection or an impossible delta, before the next snapshot.
     """
     f = flagged(messages).filter(F.coalesce(F.col("flag") != "DUPLICATE_OR_OLD", F.lit(True)))
-    broken = F.max(F.when((F.col("flag") == "GAP") | (F.col("type") == "disconnect"), F.col("ord"))).over(Window.partitionBy("sid").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0))
-    book = f.withColumn("broken", broken).filter(F.col("type").isin("orderbook_snapshot", "orderbook_delta"))
+    gap = F.when((F.col("flag") == "GAP") | (F.col("type") == "disconnect"), F.col("ord"))
+    book = prefix_max(f, ["sid"], "ord", gap, "broken", 1 << 20).filter(F.col("type").isin("orderbook_snapshot", "orderbook_delta"))
     w = Window.partitionBy("sid", "market_ticker").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
     snap = F.col("type") == "orderbook_snapshot"
     book = book.withColumn("segment_id", F.count(F.when(snap, 1)).over(w)).withColumn("started", F.max(F.when(snap, F.col("ord"))).over(w))

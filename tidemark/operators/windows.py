@@ -57,11 +57,24 @@ def unsorted_rows(df: DataFrame, by: list[str], arrival: str, time: str) -> Data
     return df.withColumn("before", F.max(time).over(over(by, [arrival]).rowsBetween(Window.unboundedPreceding, -1))).filter(F.col(time) < F.col("before"))
 
 
-def sequence_flags(df: DataFrame, stream: str, order: list[str], seq: str) -> DataFrame:
+def prefix_max(df: DataFrame, by: list[str], order: str, value: Column, to: str, width: int, inclusive: bool = True) -> DataFrame:
+    """Running maximum along a whole-number ``order``, cut into stretches of ``width``.
+
+    A stretch is a small window of its own, and what it inherits is one row per key and stretch: a key that holds much of
+    the data isn't one task's. Without ``inclusive`` the row itself doesn't count.
+    """
+    d = df.withColumn("__v", value).withColumn("__b", F.floor(F.col(order) / width))
+    inside = d.withColumn("__in", F.max("__v").over(over([*by, "__b"], [order]).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)))
+    ends = d.groupBy(*by, "__b").agg(F.max("__v").alias("__end"))
+    carry = ends.select(*[F.col(c).alias(f"__{c}") for c in by], F.col("__b").alias("__cb"), F.max("__end").over(over(by, ["__b"]).rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"))
+    on = [F.col("__b") == F.col("__cb"), *[F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]]
+    return inside.join(carry, on, "left").withColumn(to, F.greatest("__in", "__carry")).drop("__v", "__b", "__in", "__cb", "__carry", *[f"__{c}" for c in by])
+
+
+def sequence_flags(df: DataFrame, stream: str, order: str, seq: str, width: int = 1 << 20) -> DataFrame:
     """FIRST, DUPLICATE_OR_OLD, GAP or OK: against the highest number before. Old numbers don't move it."""
-    top = F.max(seq).over(over([stream], order).rowsBetween(Window.unboundedPreceding, -1))
-    flag = F.when(F.col("top").isNull(), "FIRST").when(F.col(seq) <= F.col("top"), "DUPLICATE_OR_OLD").when(F.col(seq) > F.col("top") + 1, "GAP").otherwise("OK")
-    return df.withColumn("top", top).withColumn("flag", flag).drop("top")
+    flag = F.when(F.col("__top").isNull(), "FIRST").when(F.col(seq) <= F.col("__top"), "DUPLICATE_OR_OLD").when(F.col(seq) > F.col("__top") + 1, "GAP").otherwise("OK")
+    return prefix_max(df, [stream], order, F.col(seq), "__top", width, inclusive=False).withColumn("flag", flag).drop("__top")
 
 
 def rank_sample(df: DataFrame, by: list[str], order: list[str], k: int) -> DataFrame:

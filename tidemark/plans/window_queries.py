@@ -60,7 +60,7 @@ def systematic_rank_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, CASE WHEN top IS NULL THEN 'FIRST' WHEN seq <= top THEN 'DUPLICATE_OR_OLD' WHEN seq > top + 1 THEN 'GAP' ELSE 'OK' END AS flag FROM t""")
 def sequence_gap_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _e(spark, sf_dir).select("event_id", (F.col("user_id") % 10).alias("sid"), (F.floor(F.col("event_id") / 7) - F.col("user_id") % 3).alias("seq"))
-    return windows.sequence_flags(s, "sid", ["event_id"], "seq").select("event_id", "flag")
+    return windows.sequence_flags(s, "sid", "event_id", "seq", width=500).select("event_id", "flag")
 
 
 @query(E + ", g AS (SELECT event_id, (us - lag(us) OVER (PARTITION BY user_id ORDER BY us)) / 6e7 AS minutes_since_previous FROM e) SELECT * FROM g WHERE minutes_since_previous < 30")
