@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import batches
 
-#: Benchmark text that is broadcast at once; a larger benchmark is searched in blocks of about this size.
-BLOCK_BYTES = 32 << 20
+#: Benchmark text whose patterns are broadcast at once (some hundred times its size in memory); a larger benchmark is searched in blocks.
+BLOCK_BYTES = 2 << 20
 
 #: Fixed: letters, digits and everything beyond ASCII make words, A-Z are lowered.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
