@@ -36,7 +36,7 @@ from tidemark.llm.common import mixed, pieces, utf8, written
 
 SIZE, GRAM = 50, 24
 #: Text bytes of a batch, and of what is parsed at once.
-BATCH, PIECE = 12 << 20, 1 << 20
+BATCH, PIECE = 8 << 20, 1 << 20
 ROW = "key string, part int, a binary, b binary, c binary"
 _NAMES = ["key", "part", "a", "b", "c"]
 _P = 0x9E3779B97F4A7C15 | 1
