@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import mixed, utf8, written
 
 #: Text bytes of a batch; buckets of contexts; bins of an estimate, four an octave, the last for zero.
-BATCH, BUCKETS, BINS = 12 << 20, 40, 161
+BATCH, BUCKETS, BINS = 8 << 20, 40, 161
 DEFAULT = (0.3, 0.65, 0.05)
 END, START = b"\n", b"\r"  # no word holds these
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
