@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import grib, observations, text, times
@@ -16,16 +16,34 @@ m AS (SELECT doc_id, string_split(regexp_replace(t, '(?m)^\\.([A-Z][A-Z0-9 /]+?)
 """
 
 
-def _bulletins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").filter("doc_id % 3 <> 0")
-    body = F.replace(F.left(F.coalesce("text", F.lit("")), F.lit(200)), F.lit("\u0001"), F.lit(""))
-    lines = [F.concat(F.lit("FXUS61 KOKX "), F.col("doc_id").cast("string")), F.lit(".SYNOPSIS..."), body, F.lit(".NEAR TERM /THROUGH TONIGHT/..."), F.col("lang"), F.lit(".AVIATION /12Z/..."), F.lit("$$"), F.lit("JC")]
+#: The same of every document, with its whole text.
+BULLETIN_ALL_SQL = """WITH b AS (SELECT doc_id, 'FXUS61 KOKX ' || coalesce(doc_id::VARCHAR, '') || chr(10) || '.SYNOPSIS...' || chr(10) || replace(replace(coalesce(text, ''), chr(1), ''), chr(2), '') || chr(10) || '.NEAR TERM /THROUGH TONIGHT/...' || chr(10) || coalesce(lang, '') || chr(10) || '.AVIATION /12Z/...' || chr(10) || '$$' || chr(10) || 'JC' AS t FROM documents),
+m AS (SELECT doc_id, string_split(regexp_replace(t, '(?m)^\\.([A-Z][A-Z0-9 /]+?)\\.\\.\\.[ \\t\\r]*$', chr(1) || '\\1' || chr(2), 'g'), chr(1)) AS p FROM b),
+s AS (SELECT doc_id, i - 1 AS position, p[i] AS piece FROM m, LATERAL (SELECT unnest(range(1, len(p) + 1)) AS i))
+"""
+
+
+def _laid_out(d: DataFrame, number: Column, body: Column, lang: Column) -> DataFrame:
+    lines = [F.concat(F.lit("FXUS61 KOKX "), number), F.lit(".SYNOPSIS..."), body, F.lit(".NEAR TERM /THROUGH TONIGHT/..."), lang, F.lit(".AVIATION /12Z/..."), F.lit("$$"), F.lit("JC")]
     joined = lines[0]
     for x in lines[1:]:
         joined = F.concat(joined, F.lit("\n"), x)
     return d.select("doc_id", joined.alias("t"))
 
 
+def _bulletins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two thirds of the documents and the first 200 characters of each, as BULLETIN_SQL says; the whole: ``_all_bulletins``."""
+    d = table(spark, sf_dir, "documents").filter("doc_id % 3 <> 0")
+    body = F.replace(F.left(F.coalesce("text", F.lit("")), F.lit(200)), F.lit("\u0001"), F.lit(""))
+    return _laid_out(d, F.col("doc_id").cast("string"), body, F.col("lang"))
+
+
+def _all_bulletins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every document with its whole text; what is null is empty, and the marks that ``text.sections`` splits at are left out."""
+    there = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    return _laid_out(table(spark, sf_dir, "documents"), there("doc_id"), F.translate(there("text"), "\u0001\u0002", ""), there("lang"))
+
+
 @query(BULLETIN_SQL + """, s AS (SELECT doc_id, i - 1 AS position, p[i] AS piece FROM m, LATERAL (SELECT unnest(range(1, len(p) + 1)) AS i))
 SELECT doc_id, position::INT AS position, CASE WHEN position = 0 THEN 'HEADER' ELSE trim(string_split(piece, chr(2))[1]) END AS section_name, CASE WHEN position = 0 THEN length(piece) ELSE length(trim(string_split(piece, chr(2))[2], ' ' || chr(10) || chr(13) || chr(9))) END AS n_chars FROM s WHERE position > 0 OR piece <> ''""")
 def section_split_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +58,20 @@ def bulletin_forecaster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select("doc_id", text.forecaster(F.col("t")).alias("forecaster")).join(n, "doc_id").select("doc_id", "forecaster", "n_relevant")
 
 
+@query(BULLETIN_ALL_SQL + """SELECT doc_id, position::INT AS position, CASE WHEN position = 0 THEN 'HEADER' ELSE trim(string_split(piece, chr(2))[1]) END AS section_name, CASE WHEN position = 0 THEN length(piece) ELSE length(trim(string_split(piece, chr(2))[2], ' ' || chr(10) || chr(13) || chr(9))) END AS n_chars FROM s WHERE position > 0 OR piece <> ''""")
+def section_split_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sections of every document's whole text."""
+    s = text.sections(_all_bulletins(spark, sf_dir), "t", ["doc_id"])
+    return s.select("doc_id", "position", "section_name", F.length("section_text").cast("long").alias("n_chars"))
+
+
+@query(BULLETIN_ALL_SQL + "SELECT doc_id, 'JC' AS forecaster, len(list_filter(p[2:], lambda x: regexp_matches(x, '^(SYNOPSIS|NEAR TERM|SHORT TERM)')))::BIGINT AS n_relevant FROM m")
+def bulletin_forecaster_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row is judged by its own text, so rows with one id stay apart and no join is needed."""
+    names = F.regexp_extract_all("t", F.lit(text.SECTION), F.lit(1))
+    return _all_bulletins(spark, sf_dir).select("doc_id", text.forecaster(F.col("t")).alias("forecaster"), F.size(F.filter(names, lambda x: text.is_relevant(F.trim(x)))).cast("long").alias("n_relevant"))
+
+
 @query("""SELECT page_id, len(l) AS n_links, array_to_string(l, ' ') AS links FROM (SELECT page_id, list_sort(list_distinct(regexp_extract_all(html, 'href="([^"]+)"', 1))) AS l FROM pages)""")
 def html_link_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages").select("page_id", text.links(F.col("html")).alias("l"))
