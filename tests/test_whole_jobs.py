@@ -1,6 +1,11 @@
 """Queries over whole tables: what a cut of rows or of text would miss."""
 
+from datetime import datetime, timedelta, timezone
+
+import pytest
+
 from tidemark.plans import registry
+from tidemark.streaming import runs
 
 
 def run(spark, name, path):
@@ -19,3 +24,17 @@ def test_bulletins_of_every_document_and_all_its_text(spark, tmp_path):
     assert (None, "SYNOPSIS", 5) in s and len(s) == 6 + 6 + 4 + 4 + 4
     f = [(r["doc_id"], r["forecaster"], r["n_relevant"]) for r in run(spark, "bulletin_forecaster_all", tmp_path)]
     assert sorted(f, key=str) == sorted([(3, "JC", 3), (4, "JC", 3), (5, "JC", 2), (5, "JC", 2), (None, "JC", 2)], key=str)
+
+
+@pytest.mark.parametrize("name", ["stream_tumbling", "stream_timeline_usable"])
+def test_streams_count_rows_of_older_files(spark, tmp_path, monkeypatch, name):
+    start = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    rows = [(h, start + timedelta(hours=h), 1, "click", float(h)) for h in range(96)]
+    files = [rows[72:], rows[0:40:2], rows[40:72], rows[1:40:2]]  # the newest first; a day in two files
+    for part, path in [(rows, "one"), *[(f, "many") for f in files]]:
+        spark.createDataFrame(part, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double").coalesce(1).write.mode("append").parquet(f"{tmp_path}/{path}/events.parquet")
+    want = sorted(run(spark, name, tmp_path / "one"))
+    assert len(want) == 4
+    stream = runs.table_stream
+    monkeypatch.setattr(runs, "table_stream", lambda spark, folder, table: stream(spark, folder, table, files_per_batch=1))
+    assert sorted(run(spark, name, tmp_path / "many")) == want

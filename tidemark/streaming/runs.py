@@ -25,8 +25,10 @@ def table_stream(spark: SparkSession, folder: str, name: str, files_per_batch: i
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{folder}/[{name[0]}]{name[1:]}.parquet")
 
 
-def with_event_time(df: DataFrame, late: str, time: str = "ts") -> DataFrame:
-    return df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
+def with_event_time(df: DataFrame, late: str | None = None, time: str = "ts") -> DataFrame:
+    """Rows that come ``late`` behind the newest one may be dropped; without it none is, and all state is kept."""
+    df = df.withColumn(time, F.col(time).cast("timestamp"))
+    return df.withWatermark(time, late) if late else df
 
 
 def finished(stream: DataFrame, mode: str) -> DataFrame:
