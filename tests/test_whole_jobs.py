@@ -1,5 +1,6 @@
 """Queries over whole tables: what a cut of rows or of text would miss."""
 
+import hashlib
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -38,3 +39,19 @@ def test_streams_count_rows_of_older_files(spark, tmp_path, monkeypatch, name):
     stream = runs.table_stream
     monkeypatch.setattr(runs, "table_stream", lambda spark, folder, table: stream(spark, folder, table, files_per_batch=1))
     assert sorted(run(spark, name, tmp_path / "many")) == want
+
+
+def test_files_stations_and_markets_of_all_rows(spark, tmp_path):
+    docs = [(i, None if i == 7 else f"text {i}\nof two lines, ü") for i in range(1500)] + [(7, "again"), (None, "no id")]
+    spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    want = {}
+    for d, t in sorted(docs, key=lambda x: (x[0] is None, x[0], x[1] or "")):
+        want.setdefault("part=none" if d is None else f"part={d // 1000}", []).append(((t or "") + "\n").encode())
+    got = run(spark, "source_file_hashes_all", tmp_path)
+    assert sorted(map(tuple, got)) == sorted((k, len(b := b"".join(v)), hashlib.sha256(b).hexdigest()) for k, v in want.items())
+    at = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    e = [(i, at + timedelta(minutes=i), i % 30, "click", float(i)) for i in range(120)]
+    spark.createDataFrame(e, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double").write.parquet(f"{tmp_path}/events.parquet")
+    assert sorted(int(r["SOURCE"]) for r in run(spark, "source_station_csv_all", tmp_path)) == list(range(120))
+    m = run(spark, "minute_coverage_all", tmp_path)
+    assert len(m) == 10 and all(r["rows"] == 12 and r["all_have_candle"] == 1 for r in m)

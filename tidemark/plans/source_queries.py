@@ -22,9 +22,19 @@ def source_yearly_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id::VARCHAR AS \"SOURCE\", '+0' || (event_id % 400 + 100)::VARCHAR || ',1' AS \"TMP\", NULL::VARCHAR AS \"VIS\" FROM events WHERE event_id % 50 = 0")
 def source_station_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Station files with quoted commas and without some columns; one of two years isn't there."""
+    """Station files with quoted commas and without some columns; one of two years isn't there. A fiftieth of the events, as in the twin."""
+    return _stations(spark, events(spark, sf_dir).filter("event_id % 50 = 0"))
+
+
+@query("SELECT event_id::VARCHAR AS \"SOURCE\", '+0' || (event_id % 400 + 100)::VARCHAR || ',1' AS \"TMP\", NULL::VARCHAR AS \"VIS\" FROM events")
+def source_station_csv_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with every event."""
+    return _stations(spark, events(spark, sf_dir))
+
+
+def _stations(spark: SparkSession, e: DataFrame) -> DataFrame:
     path = f"{work_dir(spark)}/stations"
-    rows = events(spark, sf_dir).filter("event_id % 50 = 0").select(F.col("event_id").cast("string").alias("SOURCE"), F.concat(F.lit("+0"), (F.col("event_id") % 400 + 100).cast("string"), F.lit(",1")).alias("TMP"))
+    rows = e.select(F.col("event_id").cast("string").alias("SOURCE"), F.concat(F.lit("+0"), (F.col("event_id") % 400 + 100).cast("string"), F.lit(",1")).alias("TMP"))
     rows.write.csv(path, header=True)
     return files.station_years(spark, [path, f"{path}-1999"]).select("SOURCE", "TMP", "VIS")
 
@@ -54,7 +64,7 @@ def source_event_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT sum(octet_length(encode(coalesce(text, ''))))::BIGINT AS bytes, count(*) AS n FROM documents WHERE doc_id % 100 = 1 AND text IS NOT NULL")
 def source_file_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts of some documents written as files, then sizes and hashes of the files."""
+    """Texts of a hundredth of the documents, as in the twin, written as a file, then its size; all, and hashes: ``source_file_hashes_all``."""
     path = f"{work_dir(spark)}/texts"
     d = table(spark, sf_dir, "documents").filter("doc_id % 100 = 1 and text is not null")
     d.select(F.replace("text", F.lit("\n"), F.lit(" ")).alias("value")).coalesce(1).write.text(path, lineSep="|")
@@ -62,6 +72,15 @@ def source_file_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.agg(F.sum("bytes").alias("b")).crossJoin(d.agg(F.count("*").alias("n"))).select((F.col("b") - F.col("n")).alias("bytes"), "n")  # one row by one row
 
 
+@query("""SELECT 'part=' || coalesce((doc_id // 1000)::VARCHAR, 'none') AS folder, sum(octet_length(encode(coalesce(text, ''))) + 1)::BIGINT AS bytes, sha256(string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id, coalesce(text, ''))) AS sha256 FROM documents GROUP BY ALL""")
+def source_file_hashes_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text written unchanged, a file for each thousand of ids, then sizes and hashes of all files; a null text is an empty line."""
+    path = f"{work_dir(spark)}/texts"
+    d = table(spark, sf_dir, "documents").select(F.coalesce(F.floor(F.col("doc_id") / 1000).cast("string"), F.lit("none")).alias("part"), "doc_id", F.coalesce("text", F.lit("")).alias("value"))
+    d.repartition("part").sortWithinPartitions("part", "doc_id", "value").select("part", "value").write.option("maxRecordsPerFile", 0).partitionBy("part").text(path)
+    return sinks.file_hashes(spark, f"{path}/*/part-*").select("folder", "bytes", "sha256")
+
+
 @query("SELECT k::VARCHAR AS key, (k * 10 + i)::VARCHAR AS value FROM range(6) AS x(k), range(10) AS y(i)")
 def source_paged_connector(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of a remote source, each a partition."""

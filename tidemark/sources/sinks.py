@@ -57,9 +57,10 @@ def done_table(results: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """(file, bytes, sha256)"""
+    """(folder, file, bytes, sha256); the folder is the one that the file is in."""
     f = spark.read.format("binaryFile").load(path)
-    return f.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    name = F.split("path", "/")
+    return f.select(F.element_at(name, -2).alias("folder"), F.element_at(name, -1).alias("file"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
 def day_manifest(files: DataFrame, day: str, expected: int) -> DataFrame:
