@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches
+from tidemark.llm.common import batches, keep_ids, written
 
 #: Benchmark text whose patterns are broadcast at once (some hundred times its size in memory); a larger benchmark is searched in blocks.
 BLOCK_BYTES = 2 << 20
@@ -123,21 +123,53 @@ def _spans(docs: DataFrame, search, keep_fp: bool) -> DataFrame:
     return docs.mapInArrow(scan, SPANS)
 
 
+def searches(benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES):
+    """How many blocks of at most about ``block_bytes`` the items make, and a broadcast search for each of them."""
+    q = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")).filter("text is not null")
+    total = q.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, math.ceil(total / block_bytes))
+
+    def blocks():
+        for k in range(n):
+            block = q.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
+            yield benchmark.sparkSession.sparkContext.broadcast(Search(windows(((r[0], r[1]) for r in block.toLocalIterator()), window)))
+
+    return n, blocks()
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` whose own ``text`` has no benchmark window, with their own columns.
+
+    A row is known by the SHA-256 of its text, whatever its id: the scan gives the digests of texts with a window, and
+    rows of these texts go. A null text stays.
+    """
+
+    def scan(search):
+        def hits(it):
+            s = search.value
+            for b in batches(it):
+                found = [hashlib.sha256(t.encode()).hexdigest() for t in b.column(0).to_pylist() if t and s.spans(words(t))[0]]
+                yield pa.record_batch([pa.array(found, pa.string())], names=["digest"])
+
+        return hits
+
+    hit = None
+    for search in searches(benchmark, **options)[1]:
+        part = docs.select("text").mapInArrow(scan(search), "digest string")
+        hit = part if hit is None else hit.unionAll(part)
+    return keep_ids(docs.withColumn("digest__", F.sha2("text", 256)), written(hit.select(F.col("digest").alias("digest__")), "contaminated"), "digest__", anti=True).drop("digest__")
+
+
 def benchmark_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id", item_col: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, n_words, spans array<struct<start,end>> in words, items array<string>) for every document.
 
     The benchmark is the stated query set. Its size is summed first; up to ``block_bytes`` it is one broadcast, beyond
     that the documents are scanned once per block of items and the spans of the blocks are united.
     """
-    spark = docs.sparkSession
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    q = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")).filter("text is not null")
-    total = q.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, math.ceil(total / block_bytes))
+    n, blocks = searches(benchmark, item_col, item_text, window, block_bytes)
     found = None
-    for k in range(n):
-        block = q.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        search = spark.sparkContext.broadcast(Search(windows(((r[0], r[1]) for r in block.toLocalIterator()), window)))
+    for search in blocks:
         part = _spans(d, search, n > 1)
         found = part if found is None else found.unionAll(part)
     spans = F.arrays_zip(F.col("starts").alias("start"), F.col("ends").alias("end"))
