@@ -8,9 +8,9 @@ parses into equal phrases, whatever surrounds it.
 1. The parse: each batch of documents sends its distinct trigger grams, with the smallest document of each, to the
    ranges of a hash space; the answer says which grams occur in several documents. Only phrases of those matter.
 2. The dictionary: each batch sends its distinct phrases of such grams, with the smallest document of each. In the
-   range of a gram, the suffixes of all its phrases are put in the order of their first 50 bytes: ranks of length 50
-   from fingerprints, the only prefix that matters here, instead of a full suffix array. Equal ranks are equal strings,
-   the smallest document of each is known, and the answer marks the suffixes of a phrase that a smaller document has.
+   range of a gram, the first 50 bytes of all its phrases' suffixes are grouped by fingerprint: there is no suffix array,
+   and no order of suffixes. Equal fingerprints count as equal strings, the smallest document of each is known, and the
+   answer marks the suffixes of a phrase that a smaller document has.
 3. Back in the documents, marked suffixes become removed runs.
 
 Highly repetitive text thus costs one phrase per batch, however often it is repeated, and no group grows with a
