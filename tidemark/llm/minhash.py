@@ -175,7 +175,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = sig.filter("doc_id is not null and n > 0")
     classes = written(known.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("c")), "classes")
     copied = classes.filter("c > 1").select("fp", "rep")
-    again = not known.groupBy("doc_id", "fp").count().filter("count > 1").isEmpty()  # rows with the same id and text
+    several = written(known.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("id"), F.lit(True).alias("several")), "several")
+    again = not several.isEmpty()  # ids with several rows
     one = known.join(classes.select(F.col("rep").alias("r"), F.col("fp").alias("f")), (F.col("doc_id") == F.col("r")) & (F.col("fp") == F.col("f")))
     one = one.select(F.col("doc_id").alias("id"), "n", "keys", "fp")
     one = written(one.dropDuplicates(["id", "fp"]) if again else one, "one")
@@ -190,6 +191,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mine = keep_ids(d, live.select(F.col("id").alias("doc_id")))
     sets = written(full_sets(mine.dropDuplicates(["doc_id", "text"]) if again else mine, size), "sets")
     common = live.select("id", "n", "keys", "score").join(own_shingles(sets), "id", "left").withColumn("common", F.col("n") - F.coalesce("own", F.lit(0)))
+    if again:  # own counts an id's texts together, which says nothing of one of them
+        common = join_small(common, several, "id").withColumn("common", F.when(F.col("several"), F.col("n")).otherwise(F.col("common"))).drop("several")
     fit = written(common.filter(100 * F.col("common") >= percent * F.col("n")).drop("own"), "fit")
 
     # the tables: every member against its bucket's hub
@@ -199,14 +202,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = keyed.groupBy("key").agg(F.count("*").alias("c"), F.max_by("id", F.struct(F.col("score"), -F.col("id"))).alias("hub")).filter("c > 1").select("key", "hub")
     members = written(keyed.join(buckets, "key").filter("id <> hub").select("key", "i", "j", "id", "n", "common", "hub"), "members")
     first = written(intersections(members.select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), sets, again), "first")
-    links = written(first.filter(similar(F.col("i"), F.col("t"), percent)).select("a", "b"), "confirmed")
+    links = first.filter(similar(F.col("i"), F.col("t"), percent)).select("a", "b")
+    if again:  # an id with several texts is linked with the copies of each
+        copies = known.join(several.select(F.col("id").alias("doc_id")), "doc_id").join(copied, "fp").filter("doc_id <> rep")
+        links = links.union(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    links = written(links, "confirmed")
     labels = connected(links)
 
     # what the first round left open
     at = join_small(members, labels.select(F.col("node").alias("id"), "comp"), "id").withColumn("comp", F.coalesce("comp", "id"))
     open_ = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
     at = at.join(open_, "key", "left_semi").join(first.select(F.col("a").alias("id"), F.col("b").alias("hub"), F.col("i").alias("inside")), ["id", "hub"])
-    at = written(at.join(fit.select("id", "keys"), "id").select("key", "i", "j", "id", "n", "comp", "inside", (F.col("common") - F.col("inside")).alias("beside"), "keys"), "open")
+    at = at.withColumn("beside", F.col("common") - F.col("inside"))
+    if again:  # inside is that of the best texts of both: no bound where the id or the hub has several
+        at = join_small(join_small(at, several, "id"), several.select(F.col("id").alias("hub"), F.col("several").alias("hubs")), "hub")
+        loose = F.coalesce("several", "hubs", F.lit(False))
+        at = at.withColumn("inside", F.when(loose, F.col("n")).otherwise(F.col("inside"))).withColumn("beside", F.when(loose, F.col("n")).otherwise(F.col("beside")))
+    at = written(at.join(fit.select("id", "keys").distinct() if again else fit.select("id", "keys"), "id").select("key", "i", "j", "id", "n", "comp", "inside", "beside", "keys"), "open")
     x, y = at.alias("x"), at.select("key", *[F.col(c).alias(f"{c}_") for c in at.columns if c not in ("key", "i", "j")]).alias("y")
     most = F.least("inside", "inside_") + F.least("beside", "beside_")
 
