@@ -121,11 +121,58 @@ def hits(text, items, size=10):
 
 
 def language_model(rows):
-    """{doc_id: (held_out, n_tokens, n_known, N, base_score)}"""
+    """[(held_out, n_tokens, n_known, N, base_score, score)] of each row; EM sees every held-out token by itself."""
     import math
     import zlib
 
-    docs = [(d, WORD.findall(lower(t)) + ["\n"], zlib.crc32(str(d).encode()) % 5 == 1) for d, t in rows]
-    c = Counter(w for _, ws, h in docs if not h for w in ws)
-    n, v = sum(c.values()), len(c)
-    return {d: (h, len(ws), sum(c[w] > 0 for w in ws), n, sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws)) for d, ws, h in docs}
+    crc = lambda s: zlib.crc32(s.encode())
+    docs = []
+    for d, t in rows:
+        role = 0 if d is None or crc(str(d)) % 5 == 1 else 2 if crc(f"em{d}") % 10 == 0 else 1
+        docs.append((d is not None and crc(str(d)) % 5 == 1, role, WORD.findall(lower(t)) + ["\n"]))
+
+    def counts(roles):
+        one, two = Counter(), Counter()
+        for _, role, ws in docs:
+            if role in roles:
+                one.update(ws)
+                two.update(zip(["\r", *ws], ws))
+        return one, two
+
+    def estimates(one, two, n, v, ws):
+        for a, w in zip(["\r", *ws], ws):
+            context = one["\n"] if a == "\r" else one[a]
+            yield min(39, int(math.log2(context + 1))), (two[a, w] / max(context, 1), one[w] / max(n, 1), 1 / (v + 1))
+
+    every, pairs = counts((1, 2))
+    n, v = sum(every.values()), len(every)
+    one, two = counts((1,))
+    seen = defaultdict(list)
+    for _, role, ws in docs:
+        if role == 2:
+            for k, p in estimates(one, two, sum(one.values()), v, ws):
+                seen[k].append(p)
+
+    def em(tokens, start, prior):
+        lam = start
+        for _ in range(60):
+            add = [prior * x for x in start]
+            for p in tokens:
+                share = [x * y for x, y in zip(p, lam)]
+                for i in range(3):
+                    add[i] += share[i] / sum(share)
+            lam = [x / sum(add) for x in add]
+        return lam
+
+    weights = {k: [0.3, 0.65, 0.05] for k in range(40)}
+    if seen:
+        pooled = [max(x, 1e-6) for x in em([p for k in sorted(seen) for p in seen[k]], [0.3, 0.65, 0.05], 0.0)]
+        pooled = [x / sum(pooled) for x in pooled]
+        weights = {k: [max(x, 1e-9) for x in em(seen[k], pooled, 20.0)] for k in range(40)}
+    weights[0][0] = 0.0
+    weights = {k: [x / sum(w) for x in w] for k, w in weights.items()}
+    out = []
+    for held, _, ws in docs:
+        score = sum(math.log10(sum(x * y for x, y in zip(weights[k], p))) for k, p in estimates(every, pairs, n, v, ws))
+        out.append((held, len(ws), sum(every[w] > 0 for w in ws), n, sum(math.log10((every[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws), score))
+    return out

@@ -156,29 +156,50 @@ def test_larger_budgets_take_supersets(docs):
     assert few <= many
 
 
+def lm_rows(frame, **options):
+    names = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return sorted((r["doc_id"] is None, r["doc_id"] or 0, *[r[c] for c in names]) for r in lm_scoring.score(frame, **options).collect())
+
+
+def lm_same(got, rows):
+    """Counts are equal; base scores too; the model's score is that of EM over single tokens within a thousandth."""
+    want = sorted((d is None, d or 0, *x) for (d, _), x in zip(rows, brute.language_model(rows), strict=True))
+    assert [g[:6] for g in got] == [w[:6] for w in want]
+    for g, w in zip(got, want, strict=True):
+        assert g[6] == pytest.approx(w[6], rel=1e-9) and g[7] == pytest.approx(w[7], rel=1e-3), (g, w)
+
+
 def test_lm_scores(docs, none):
-    want = {}
-    rows = [(d if d is not None else "none", t) for d, t in KNOWN]
-    import math
-
-    c, v = brute.Counter(), 0
-    tokens = lambda t: brute.WORD.findall(brute.lower(t)) + ["\n"]
-    for d, t in KNOWN:
-        if d is not None and zlib.crc32(str(d).encode()) % 5 != 1:
-            c.update(tokens(t))
-    n, v = sum(c.values()), len(c)
-    for d, t in rows:
-        w = tokens(t)
-        want[d] = (len(w), sum(c[x] > 0 for x in w), n, sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w))
-    for r in lm_scoring.score(docs, limit=100_000).collect():
-        e = want[r["doc_id"] if r["doc_id"] is not None else "none"]
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == e[:3]
-        assert r["base_score"] == pytest.approx(e[3], rel=1e-9)
-        assert r["held_out"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 1)
-        assert r["score"] < 0
+    lm_same(lm_rows(docs, limit=100_000), KNOWN)
     assert lm_scoring.score(none).count() == 0
 
 
+@pytest.mark.parametrize("text", ["hello world", None, "", "a a b a"])
+def test_lm_scores_of_equal_texts_in_all_roles(spark, tmp_path, text):
+    """Equal texts among training, EM and held-out documents, and the same row several times, over several files."""
+    rows = [(i, text) for i in range(60)] + [(7, text)] * 5 + [(None, text)] * 2
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4).write.parquet(path := str(tmp_path / "d"))
+    lm_same(lm_rows(spark.read.parquet(path), limit=50), rows)
+    spark.createDataFrame([(7, text)] * 40, "doc_id bigint, text string").repartition(4).write.parquet(path := str(tmp_path / "one"))
+    lm_same(lm_rows(spark.read.parquet(path)), [(7, text)] * 40)
+
+
+def test_lm_counts_beyond_32_bits():
+    import numpy as np
+
+    hashes = [np.array([5, 9], np.uint64), np.array([9], np.uint64)]
+    total, held, v, n, nh = lm_scoring._totals(hashes, [np.array([3, 2**33], np.int64), np.array([2**32], np.int64)], [False, True])
+    assert total[0].tolist() == [3, 2**33 + 2**32] and held[1].tolist() == [2**32] and (v, n, nh) == (2, 3 + 2**33 + 2**32, 2**32)
+    assert lm_scoring.unpack(lm_scoring.pack(total[0]), np.int64).tolist() == total[0].tolist()
+
+
+def test_lm_probabilities_sum_to_one_after_unseen_contexts():
+    import numpy as np
+
+    w = lm_scoring.mixture(np.array([[0.0, 0.0, 0.01, 50.0], [3.0, 0.2, 0.01, 70.0]]), 100)
+    assert w[0, 0] == 0 and np.allclose(w.sum(1), 1) and (w[1:, 0] > 0).all()
+
+
 def test_lm_beats_the_unigram_on_held_out_text(docs):
     s = lm_scoring.score(docs).filter("held_out and n_known = n_tokens").agg(F.sum("base_score"), F.sum("score")).first()
     assert s[1] > s[0]
@@ -188,10 +209,10 @@ def test_em_raises_the_likelihood():
     import numpy as np
 
     rng = np.random.default_rng(1)
-    cells = np.column_stack([rng.integers(0, 5, 300), rng.integers(0, 40, 300), rng.integers(10, 60, 300), rng.integers(1, 50, 300)])
+    cells = np.column_stack([rng.integers(1, 5, 300), rng.random(300), rng.random(300) / 100, rng.integers(1, 50, 300)])
     w = lm_scoring.mixture(cells, 1000)
-    p = np.column_stack([lm_scoring.value(cells[:, 1]), lm_scoring.value(cells[:, 2]), np.full(300, 1 / 1001)])
-    like = lambda lam: (cells[:, 3] * np.log((p * lam[cells[:, 0]]).sum(1))).sum()
+    p = np.column_stack([cells[:, 1], cells[:, 2], np.full(300, 1 / 1001)])
+    like = lambda lam: (cells[:, 3] * np.log((p * lam[cells[:, 0].astype(int)]).sum(1))).sum()
     assert like(w) > like(np.tile(lm_scoring.DEFAULT, (lm_scoring.BUCKETS, 1)))
     assert np.allclose(w.sum(1), 1)
 

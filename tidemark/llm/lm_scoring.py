@@ -8,15 +8,18 @@ The scores then use the counts of all training documents.
 Counts cover the whole corpus and never meet in one place. A task turns a batch of documents into its distinct words
 and word pairs (sorted 64-bit and 56-bit hashes with counts), and sends each range of hashes to its own group; the
 group adds the counts of all batches and answers every batch with the totals of what it asked about. Hot words and
-pairs thus arrive once a batch, not once a use. Answers carry the batch's fingerprint (of what it asked), so a batch
-that is read again finds its own answer, and one that changed is an error rather than a wrong score. The documents must
-therefore be a table, or a plan that yields the same rows in the same order each time.
+pairs thus arrive once a batch, not once a use. Answers carry the batch's fingerprint (of its ids, role and tokens), so a
+batch that is read again finds its own answer, and one that changed is an error rather than a wrong score. The documents
+must therefore be a table, or a plan that yields the same rows in the same order each time. Counts are 64-bit.
 
-EM needs the held-out tokens' three estimates only to a quarter of an octave; their histogram is bounded by buckets and
-bins and is all that reaches the driver.
+EM sees the held-out tokens in cells of a quarter of an octave in both estimates; a cell stands for its tokens with their
+mean estimates, not with its middle. The cells are bounded by buckets and bins and are all that reaches the driver; a
+test holds weights and scores against EM over every token. After a context that was never seen the bigram estimate is
+always 0: its weight is 0 there, and the other two sum to one.
 
 Cases: null and empty text is one end token; a null id is scored, but not learned from; without training documents
-counts are 0 and only the uniform part is left; repeated rows count and are scored each; an empty table gives no row.
+counts are 0 and only the uniform part is left; repeated rows count and are scored each, also if equal texts are in
+training and held-out documents; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -30,8 +33,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import mixed, utf8, written
 
-#: Text bytes of a batch; buckets of contexts; bins of an estimate, four an octave, the last for zero.
-BATCH, BUCKETS, BINS = 8 << 20, 40, 161
+#: Text bytes of a batch, and of what one range of hashes is to hold the counts of; buckets of contexts; bins of an estimate, four an octave, the last for zero.
+BATCH, RANGE, BUCKETS, BINS = 8 << 20, 16 << 20, 40, 161
 DEFAULT = (0.3, 0.65, 0.05)
 END, START = b"\n", b"\r"  # no word holds these
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -106,14 +109,19 @@ class Batch:
         self._pairs()
         return self
 
-    def key(self) -> str:
-        return hashlib.blake2b(self.words.tobytes() + self.pairs.tobytes(), digest_size=16).hexdigest()
+    def key(self, ids: list[int | None], held: bool) -> str:
+        """What tells a batch from all others: its role, its ids, and its tokens."""
+        h = hashlib.blake2b(repr((held, ids)).encode(), digest_size=16)
+        for x in (self.n, self.words, self.token):
+            h.update(len(x).to_bytes(8, "little") + x.tobytes())
+        return h.hexdigest()
 
 
-def _cuts(hashes: np.ndarray, parts: int, bits: int) -> np.ndarray:
-    """Where each of ``parts`` equal ranges of the hash space starts."""
-    edges = np.array([(k << bits) // parts for k in range(1, parts)], np.uint64)
-    return np.concatenate([[0], np.searchsorted(hashes, edges), [len(hashes)]])
+def _ranges(hashes: np.ndarray, parts: int, bits: int) -> dict[int, slice]:
+    """Of ``parts`` equal ranges of the hash space those that ascending ``hashes`` fall into, and where."""
+    r = ((hashes >> np.uint64(bits - 32)) * np.uint64(parts)) >> np.uint64(32)
+    at = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]])) if len(r) else np.zeros(0, np.int64)
+    return {int(r[i]): slice(int(i), int(j)) for i, j in zip(at, np.append(at[1:], len(r)), strict=True)}
 
 
 def grouped(it, limit: int, wanted=None):
@@ -148,17 +156,17 @@ def asked(docs: DataFrame, parts: int, limit: int) -> DataFrame:
     """What each batch asks each range of hashes: words, their counts, pairs, their counts, held-out ones among them."""
 
     def ask(it):
-        for _, roles, texts in grouped(it, limit):
+        none = slice(0, 0)
+        for ids, roles, texts in grouped(it, limit):
             b = Batch(texts)
             role = np.repeat(np.array(roles), b.n)
-            counts = [np.bincount(x[role >= 1], minlength=size).astype(np.uint32) for x, size in ((b.token, len(b.words)), (b.pair, len(b.pairs)))]
+            counts = [np.bincount(x[role >= 1], minlength=size) for x, size in ((b.token, len(b.words)), (b.pair, len(b.pairs)))]
             held = roles[0] == 2
-            key, w, p = b.key(), _cuts(b.words, parts, 64), _cuts(b.pairs, parts, 56)
+            key, words, pairs = b.key(ids, held), _ranges(b.words, parts, 64), _ranges(b.pairs, parts, 56)
             rows = []
-            for k in range(parts):
-                i, j, m, n = w[k], w[k + 1], p[k], p[k + 1]
-                if i < j or m < n:
-                    rows.append((key, k, pack(b.words[i:j], True), pack(counts[0][i:j]), pack(b.pairs[m:n], True), pack(counts[1][m:n]), bytes([held])))
+            for k in sorted(words.keys() | pairs.keys()):
+                w, p = words.get(k, none), pairs.get(k, none)
+                rows.append((key, k, pack(b.words[w], True), pack(counts[0][w]), pack(b.pairs[p], True), pack(counts[1][p]), bytes([held])))
             yield _rows(rows)
 
     return docs.mapInArrow(ask, ROW)
@@ -170,9 +178,9 @@ def _totals(hashes: list[np.ndarray], counts: list[np.ndarray], held: list[bool]
     size = [len(h) for h in hashes]
     c = np.concatenate(counts).astype(np.int64)
     h = np.where(np.repeat(np.array(held), size), c, 0)
-    total, out = np.bincount(at, c, len(every)).astype(np.uint32), np.bincount(at, h, len(every)).astype(np.uint32)
+    total, out = (np.bincount(at, x, len(every)).astype(np.int64) for x in (c, h))  # sums in doubles: exact to 2**53
     ends = np.cumsum(size)[:-1]
-    return np.split(total[at], ends), np.split(out[at], ends), int((total > 0).sum()), int(total.sum(dtype=np.int64)), int(out.sum(dtype=np.int64))
+    return np.split(total[at], ends), np.split(out[at], ends), int((total > 0).sum()), int(total.sum()), int(out.sum())
 
 
 def answered(requests: DataFrame) -> DataFrame:
@@ -181,8 +189,8 @@ def answered(requests: DataFrame) -> DataFrame:
     def answer(table: pa.Table) -> pa.Table:
         cols = [table.column(c).to_pylist() for c in _NAMES]
         held = [x[0] == 1 for x in cols[6]]
-        wt, wh, v, n, nh = _totals([unpack(x, np.uint64, True) for x in cols[2]], [unpack(x, np.uint32) for x in cols[3]], held)
-        pt, ph, *_ = _totals([unpack(x, np.uint64, True) for x in cols[4]], [unpack(x, np.uint32) for x in cols[5]], held)
+        wt, wh, v, n, nh = _totals([unpack(x, np.uint64, True) for x in cols[2]], [unpack(x, np.int64) for x in cols[3]], held)
+        pt, ph, *_ = _totals([unpack(x, np.uint64, True) for x in cols[4]], [unpack(x, np.int64) for x in cols[5]], held)
         part = cols[1][0]
         rows = {}
         for i, key in enumerate(cols[0]):  # equal batches get one answer
@@ -202,7 +210,7 @@ def tokens(docs: DataFrame, limit: int, wanted: bool | None) -> DataFrame:
             known = np.array([(i is not None) for i in ids], np.uint8)
             doc = pack(np.array([i or 0 for i in ids], np.int64))
             head = len(doc).to_bytes(8, "little") + doc + pack(known)
-            yield _rows([(b.key(), -1, head, pack(b.n), pack(b.words, True), pack(b.token), b.start.to_bytes(8, "little") + b.end.to_bytes(8, "little"))])
+            yield _rows([(b.key(ids, roles[0] == 2), -1, head, pack(b.n), pack(b.words, True), pack(b.token), b.start.to_bytes(8, "little") + b.end.to_bytes(8, "little"))])
 
     return docs.mapInArrow(store, ROW)
 
@@ -215,7 +223,7 @@ class Answered:
         rows = sorted(zip(*cols, strict=True), key=lambda r: r[1])
         own = [r for r in rows if r[1] < 0]
         parts = [r for r in rows if r[1] >= 0]
-        self.counts = [np.concatenate([unpack(r[c], np.uint32) for r in parts] or [np.zeros(0, np.uint32)]) for c in (2, 3, 4, 5)]
+        self.counts = [np.concatenate([unpack(r[c], np.int64) for r in parts] or [np.zeros(0, np.int64)]) for c in (2, 3, 4, 5)]
         self.batches = []
         for r in own:
             size = int.from_bytes(r[2][:8], "little")
@@ -227,7 +235,7 @@ class Answered:
 
     def estimates(self, b: Batch, n: int, kept: bool):
         """c(w), c(v), P2, P1 of each token; ``kept``: from what EM does not hold out."""
-        words, pairs = self.counts[0].astype(np.int64), self.counts[2].astype(np.int64)
+        words, pairs = self.counts[0], self.counts[2]
         if kept:
             words, pairs = words - self.counts[1], pairs - self.counts[3]
         c, context = words[b.token], words[b.before]
@@ -243,41 +251,46 @@ def bins(p: np.ndarray) -> np.ndarray:
     return np.where(p > 0, np.clip(np.floor(-4 * np.log2(np.maximum(p, 1e-300))), 0, BINS - 2), BINS - 1).astype(np.int64)
 
 
-def value(k: np.ndarray) -> np.ndarray:
-    return np.where(k == BINS - 1, 0.0, 2.0 ** (-(k + 0.5) / 4))
-
-
 def mixture(cells: np.ndarray, v: int, rounds: int = 60) -> np.ndarray:
-    """Weights (bucket, 3) by EM from rows of (bucket, bin of P2, bin of P1, tokens); thin buckets lean on all buckets."""
+    """Weights (bucket, 3) by EM from rows of (bucket, P2, P1, tokens); thin buckets lean on all buckets, 20 tokens' worth.
+
+    Bucket 0 is contexts that were never seen: P2 is no estimate there and gets no weight.
+    """
     out = np.tile(np.array(DEFAULT), (BUCKETS, 1))
-    if not len(cells):
-        return out
-    p = np.column_stack([value(cells[:, 1]), value(cells[:, 2]), np.full(len(cells), 1.0 / (v + 1))])
-    weight = cells[:, 3].astype(float)
-
-    def em(which: np.ndarray, start: np.ndarray, prior: float) -> np.ndarray:
-        q, w, lam = p[which], weight[which], start.copy()
-        for _ in range(rounds):
-            share = q * lam
-            share /= share.sum(1, keepdims=True)
-            lam = (share * w[:, None]).sum(0) + prior * start
-            lam /= lam.sum()
-        return lam
-
-    pooled = np.maximum(em(np.ones(len(cells), bool), np.array(DEFAULT), 0.0), 1e-6)
-    pooled /= pooled.sum()
-    for k in range(BUCKETS):
-        out[k] = np.maximum(em(cells[:, 0] == k, pooled, 20.0), 1e-9)
+    if len(cells):
+        p = np.column_stack([cells[:, 1], cells[:, 2], np.full(len(cells), 1.0 / (v + 1))])
+        weight = cells[:, 3]
+
+        def em(which: np.ndarray, start: np.ndarray, prior: float) -> np.ndarray:
+            q, w, lam = p[which], weight[which], start.copy()
+            for _ in range(rounds):
+                share = q * lam
+                share /= share.sum(1, keepdims=True)
+                lam = (share * w[:, None]).sum(0) + prior * start
+                lam /= lam.sum()
+            return lam
+
+        pooled = np.maximum(em(np.ones(len(cells), bool), np.array(DEFAULT), 0.0), 1e-6)
+        pooled /= pooled.sum()
+        for k in range(BUCKETS):
+            out[k] = np.maximum(em(cells[:, 0] == k, pooled, 20.0), 1e-9)
+    out[0, 0] = 0.0
     return out / out.sum(1, keepdims=True)
 
 
+def ranges_of(docs: DataFrame, size: int = RANGE) -> int:
+    """How many ranges of hashes: about one for ``size`` bytes of text (summed here), so that a range does not grow with the input."""
+    total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(16, -(-total // size))
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held: int = 1, limit: int = BATCH) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
     text_id = F.col(id_col).cast("string")
     fold = F.crc32(text_id) % folds
     role = F.when(fold.isNull() | (fold == held), 0).when(F.crc32(F.concat(F.lit("em"), text_id)) % 10 == 0, 2).otherwise(1)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), role.cast("int").alias("role"))
-    parts = max(16, 2 * d.rdd.getNumPartitions())
+    parts = ranges_of(d)
     answers = written(answered(asked(d, parts, limit)), "answers")
     sums = answers.filter("key is null").agg(*[F.sum(little(c)) for c in ("a", "b", "c")]).first()
     v, n, n_held = (int(x or 0) for x in sums)
@@ -285,18 +298,19 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
 
     def cells(table: pa.Table) -> pa.Table:
         a = Answered(table)
-        found = []
+        found: list[list] = [[], [], []]
         for _, _, b in a.batches:
             _, context, p2, p1 = a.estimates(b, n - n_held, True)
-            code = (bucket(context) * BINS + bins(p2)) * BINS + bins(p1)
-            found.append(code)
-        code, count = np.unique(np.concatenate(found or [np.zeros(0, np.int64)]), return_counts=True)
-        return pa.table({"cell": code, "n": count.astype(np.int64)})
+            for x, y in zip(found, ((bucket(context) * BINS + bins(p2)) * BINS + bins(p1), p2, p1), strict=True):
+                x.append(y)
+        code, p2, p1 = (np.concatenate(x or [np.zeros(0)]) for x in found)
+        code, at, count = np.unique(code.astype(np.int64), return_inverse=True, return_counts=True)
+        return pa.table({"cell": code, "n": count.astype(np.int64), "p2": np.bincount(at, p2, len(code)), "p1": np.bincount(at, p1, len(code))})
 
     own = tokens(d, limit, True)
-    hist = replies.filter(F.hex("e") == "01").unionByName(own).groupBy("key").applyInArrow(cells, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n")).collect()
-    grid = np.array([[r[0] // (BINS * BINS), r[0] // BINS % BINS, r[0] % BINS, r[1]] for r in hist], np.int64).reshape(-1, 4)
-    weights = mixture(grid, v)
+    held_out = replies.filter(F.hex("e") == "01").unionByName(own).groupBy("key").applyInArrow(cells, "cell bigint, n bigint, p2 double, p1 double")
+    hist = held_out.groupBy("cell").agg(F.sum("n"), *[F.sum(F.col(c).cast("decimal(38,24)")).cast("double") for c in ("p2", "p1")]).collect()  # decimals: the same sum in any order
+    weights = mixture(np.array([[c // (BINS * BINS), p2 / k, p1 / k, k] for c, k, p2, p1 in sorted(map(tuple, hist))]).reshape(-1, 4), v)
 
     def scores(table: pa.Table) -> pa.Table:
         a = Answered(table)
