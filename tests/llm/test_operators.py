@@ -117,6 +117,40 @@ def test_phrase_dedup(docs, none):
     assert phrase_dedup.digest(none).count() == 0
 
 
+def test_phrase_dedup_of_hot_grams(docs):
+    """Every gram is dealt out by its surroundings, in small batches: the same rows."""
+    usual = sorted(phrase_dedup.digest(docs).collect(), key=repr)
+    assert sorted(phrase_dedup.digest(docs, limit=50_000, hot=0).collect(), key=repr) == usual
+
+
+def test_suffixes_are_in_the_order_of_their_bytes():
+    import numpy as np
+
+    rng = random.Random(6)
+    for size in (25, 40, 50, 70):
+        phrases = [bytes(rng.choice(b"ab\x00\xff") for _ in range(rng.randrange(1, 9) + size - 1)) for _ in range(300)]
+        phrases += [p[: len(p) - 1] for p in phrases if len(p) > size] + phrases[:40]
+        doc = np.array([rng.randrange(50) for _ in phrases])
+        strings = np.array([len(p) - size + 1 for p in phrases])
+        start = np.cumsum([0] + [len(p) for p in phrases[:-1]])
+        data = np.frombuffer(b"".join(phrases), np.uint8)
+        rank = phrase_dedup.suffix_ranks(data, start, strings, size)
+        suffixes = [p[k : k + size] for p, n in zip(phrases, strings, strict=True) for k in range(n)]
+        order = np.argsort(rank, kind="stable")
+        assert [suffixes[i] for i in order] == sorted(suffixes)
+        assert len(set(rank.tolist())) == len(set(suffixes))
+        least = {}
+        for p, n, d in zip(phrases, strings, doc, strict=True):
+            for k in range(n):
+                least[p[k : k + size]] = min(d, least.get(p[k : k + size], d))
+        got = phrase_dedup.marks(data, start, strings, doc, size)
+        for p, n, d, m in zip(phrases, strings, doc, got.tolist(), strict=True):
+            assert m == sum((least[p[k : k + size]] < d) << k for k in range(n))
+        one, kind = phrase_dedup.distinct(data, start, strings + size - 1, 2 * size)
+        parse = phrase_dedup.Parse(kind, doc)
+        assert [(kind[i], doc[i]) for i in parse.order] == sorted(zip(kind, doc, strict=True)) and len(one) == len(set(phrases)) == len(parse.first)
+
+
 def test_token_counts(docs, none):
     P = pytest.importorskip("public_tokenizers")
     import sentencepiece

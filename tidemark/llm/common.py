@@ -84,6 +84,12 @@ def pieces(offsets: np.ndarray, limit: int):
         i = j
 
 
+def ranges_of(docs: DataFrame, size: int) -> int:
+    """How many ranges of hashes: about one for ``size`` bytes of text (summed here), so that a range does not grow with the input."""
+    total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(16, -(-total // size))
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer: every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(32))

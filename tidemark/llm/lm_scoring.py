@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mixed, utf8, written
+from tidemark.llm.common import mixed, ranges_of, utf8, written
 
 #: Text bytes of a batch, and of what one range of hashes is to hold the counts of; buckets of contexts; bins of an estimate, four an octave, the last for zero.
 BATCH, RANGE, BUCKETS, BINS = 8 << 20, 16 << 20, 40, 161
@@ -278,19 +278,13 @@ def mixture(cells: np.ndarray, v: int, rounds: int = 60) -> np.ndarray:
     return out / out.sum(1, keepdims=True)
 
 
-def ranges_of(docs: DataFrame, size: int = RANGE) -> int:
-    """How many ranges of hashes: about one for ``size`` bytes of text (summed here), so that a range does not grow with the input."""
-    total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    return max(16, -(-total // size))
-
-
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held: int = 1, limit: int = BATCH) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
     text_id = F.col(id_col).cast("string")
     fold = F.crc32(text_id) % folds
     role = F.when(fold.isNull() | (fold == held), 0).when(F.crc32(F.concat(F.lit("em"), text_id)) % 10 == 0, 2).otherwise(1)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), role.cast("int").alias("role"))
-    parts = ranges_of(d)
+    parts = ranges_of(d, RANGE)
     answers = written(answered(asked(d, parts, limit)), "answers")
     sums = answers.filter("key is null").agg(*[F.sum(little(c)) for c in ("a", "b", "c")]).first()
     v, n, n_held = (int(x or 0) for x in sums)

@@ -7,17 +7,22 @@ parses into equal phrases, whatever surrounds it.
 
 1. The parse: each batch of documents sends its distinct trigger grams, with the smallest document of each, to the
    ranges of a hash space; the answer says which grams occur in several documents. Only phrases of those matter.
-2. The dictionary: each batch sends its distinct phrases of such grams, with the smallest document of each. In the
-   range of a gram, the first 50 bytes of all its phrases' suffixes are grouped by fingerprint: there is no suffix array,
-   and no order of suffixes. Equal fingerprints count as equal strings, the smallest document of each is known, and the
-   answer marks the suffixes of a phrase that a smaller document has.
+2. The dictionary: each batch sends its distinct phrases of such grams, with the smallest document of each, to the
+   range of the gram. A range sorts all suffixes of its distinct phrases by bytes, to the depth of a string, by prefix
+   doubling (``suffix_ranks``): the suffix array of the dictionary. The suffix array of the parse lists the places of
+   each phrase by document (``Parse``). Phrases overlap by a string less one byte, so no string goes on in the next
+   phrase, and the parse is sorted to the depth of one phrase. The first array, each suffix replaced by the places of
+   its phrase from the second, is the corpus order of the range's strings. A run of equal strings has one smallest
+   document; the answer marks the suffixes of a phrase that a smaller document has.
 3. Back in the documents, marked suffixes become removed runs.
 
-Highly repetitive text thus costs one phrase per batch, however often it is repeated, and no group grows with a
-passage's popularity beyond one row a batch. Fingerprints are 64-bit, trigger grams 48-bit (a filter only).
+Highly repetitive text thus costs one phrase per batch, however often it is repeated. Ranges are as many as the text
+needs (``RANGE`` bytes each). A gram in very many phrases is cut in two: strings that start well before the trigger
+meet by the bytes before it, the others by the bytes after it, so that different surroundings go to different ranges.
+Strings and phrases are told apart by their bytes; hashes only deal them out (64-bit; trigger grams 48-bit).
 
 Documents must come from a table, or a plan that yields the same rows in the same order each time: batches are read
-three times and found again by a fingerprint of their content; a batch that changed is an error.
+three times and found again by a digest of their content; a batch that changed is an error.
 
 Cases: null text is empty; texts shorter than ``size`` bytes are kept; rows with one id never remove each other's text;
 a null id is neither removed from nor a source of removals; an empty table gives no row.
@@ -32,11 +37,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mixed, pieces, utf8, written
+from tidemark.llm.common import mixed, pieces, ranges_of, utf8, written
 
 SIZE, GRAM = 50, 24
-#: Text bytes of a batch, and of what is parsed at once.
-BATCH, PIECE = 8 << 20, 1 << 20
+#: Text bytes of a batch, of what is parsed at once, and of what one range of grams is to hold the phrases of.
+BATCH, PIECE, RANGE = 8 << 20, 1 << 20, 4 << 20
+#: Phrases of one gram in the whole corpus beyond which its strings are dealt out by their surroundings too.
+HOT = 1 << 16
 ROW = "key string, part int, a binary, b binary, c binary"
 _NAMES = ["key", "part", "a", "b", "c"]
 _P = 0x9E3779B97F4A7C15 | 1
@@ -136,17 +143,17 @@ class Batch:
         return h.hexdigest()
 
     def phrases(self, powers: Powers, size: int):
-        """(row, start in its text, strings, gram, fingerprint) of all phrases of documents with an id; long texts in overlapping parts."""
+        """(row, start in its text, strings, gram, hash, trigger after the start) of all phrases of documents with an id; long texts in overlapping parts."""
         parts = [(i, k, t[k : k + PIECE + size - 1]) for i, t in enumerate(self.texts) if self.known[i] for k in range(0, max(1, len(t) - size + 1), PIECE)]
         offsets = np.concatenate([[0], np.cumsum([len(p[2]) for p in parts])]).astype(np.int64)
         which, begin = np.array([p[0] for p in parts], np.int64), np.array([p[1] for p in parts], np.int64)
-        out: list[list] = [[], [], [], [], []]
+        out: list[list] = [[], [], [], [], [], []]
         for i, j in pieces(offsets, PIECE):
             data = np.frombuffer(b"".join(p[2] for p in parts[i:j]), np.uint8)
             at = offsets[i : j + 1] - offsets[i]
             row, a, b, t, g, roll = parse(data, at, powers, size)
             e = mixed(roll.of(a, b + size) + (t - a).astype(np.uint64))
-            for x, y in zip(out, (which[row + i], a - at[row] + begin[row + i], b - a + 1, g, e), strict=True):
+            for x, y in zip(out, (which[row + i], a - at[row] + begin[row + i], b - a + 1, g, e, t - a), strict=True):
                 x.append(y)
         return [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]
 
@@ -168,6 +175,108 @@ def _range(g: np.ndarray, parts: int) -> np.ndarray:
     return ((g >> np.uint64(16)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
+def _stretches(part: np.ndarray) -> list[tuple[int, int, int]]:
+    """(range, from, to) for ascending ranges; those without an entry are left out."""
+    at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+    return [(int(part[i]), int(i), int(j)) for i, j in zip(at, np.append(at[1:], len(part)), strict=True)]
+
+
+def padded(data: np.ndarray, start: np.ndarray, length: np.ndarray, width: int) -> np.ndarray:
+    """The bytes of each phrase as a row of 64-bit words, zeros behind them, the length last."""
+    width = -(-width // 8) * 8
+    out = np.zeros((len(start), width + 8), np.uint8)
+    column = np.arange(width)
+    for i in range(0, len(start), 1 << 14):
+        s, n = start[i : i + (1 << 14), None], length[i : i + (1 << 14), None]
+        out[i : i + (1 << 14), :width] = np.where(column < n, data[np.minimum(s + column, len(data) - 1)], 0)
+    words = out.view(np.uint64)
+    words[:, -1] = length
+    return words
+
+
+def hashed(words: np.ndarray) -> np.ndarray:
+    h = np.zeros(len(words), np.uint64)
+    for c in words.T:
+        h = mixed(h * np.uint64(_P) + c)
+    return h
+
+
+def distinct(data: np.ndarray, start: np.ndarray, length: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(one phrase of each kind, the kind of each phrase). Equal hashes are compared by bytes."""
+    words = padded(data, start, length, width)
+    h = hashed(words)
+    order = np.argsort(h, kind="stable")
+    w = words[order]
+    new = np.concatenate([[True], (w[1:] != w[:-1]).any(1)]) if len(order) else np.zeros(0, bool)
+    kind = np.empty(len(order), np.int64)
+    kind[order] = np.cumsum(new) - 1
+    return order[new], kind
+
+
+def _dense(keys: np.ndarray) -> np.ndarray:
+    """The rank of each key; equal keys share one."""
+    order = np.argsort(keys)
+    k = keys[order]
+    out = np.empty(len(keys), np.uint64)
+    out[order] = np.cumsum(np.concatenate([[False], k[1:] != k[:-1]]), dtype=np.uint64) if len(k) else k
+    return out
+
+
+def suffix_ranks(data: np.ndarray, start: np.ndarray, strings: np.ndarray, size: int) -> np.ndarray:
+    """For the suffixes at the first ``strings`` places of each phrase, in turn, their rank by their first ``size`` bytes.
+
+    A phrase has ``strings + size - 1`` bytes. Eight bytes are sorted as big-endian numbers, then ranks of twice as many
+    bytes are made from two ranks each, the last two overlapping.
+    """
+    if not len(start):
+        return np.zeros(0, np.uint64)
+
+    def places(depth: int) -> np.ndarray:
+        """Where ``depth`` bytes of a phrase are left."""
+        n = strings + size - depth
+        before = np.cumsum(n) - n
+        return np.repeat(start - before, n) + np.arange(int(n.sum()))
+
+    code = data.astype(np.uint64)
+    for k in (1, 2, 4):
+        code = (code << np.uint64(8 * k)) | np.append(code[k:], np.zeros(min(k, len(code)), np.uint64))
+    rank, depth, at = np.zeros(len(data), np.uint64), 8, places(8)
+    rank[at] = _dense(code[at])
+    while depth < size:
+        step = min(depth, size - depth)
+        at = places(depth + step)
+        rank[at] = _dense((rank[at] << np.uint64(32)) | rank[at + step])
+        depth += step
+    return rank[at]
+
+
+class Parse:
+    """The suffix array of a range's parse, to the depth of one phrase: its places by phrase, then by document."""
+
+    def __init__(self, kind: np.ndarray, doc: np.ndarray):
+        self.order = np.lexsort((doc, kind))
+        k = kind[self.order]
+        self.first = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
+        self.least = doc[self.order[self.first]]  # of each phrase's interval
+
+
+def marks(data: np.ndarray, start: np.ndarray, strings: np.ndarray, doc: np.ndarray, size: int) -> np.ndarray:
+    """For each phrase a bit for each of its strings: does a smaller document have it?"""
+    one, kind = distinct(data, start, strings + size - 1, 2 * size - GRAM)
+    parse = Parse(kind, doc)
+    n = strings[one]
+    phrase = np.repeat(np.arange(len(one)), n)
+    inner = np.arange(len(phrase)) - (np.cumsum(n) - n)[phrase]
+    rank = suffix_ranks(data, start[one], n, size).astype(np.int64)
+    order = np.argsort(rank, kind="stable")  # the suffix array of the dictionary; a run of equal ranks is one string
+    run = np.flatnonzero(np.concatenate([[True], np.diff(rank[order]) > 0])) if len(order) else order
+    least = np.minimum.reduceat(parse.least[phrase[order]], run) if len(order) else parse.least
+    bit = np.where(least[rank] < parse.least[phrase], np.uint64(1) << inner.astype(np.uint64), np.uint64(0))
+    own = np.bitwise_or.reduceat(bit, np.cumsum(n) - n) if len(bit) else bit
+    every = (np.uint64(1) << strings.astype(np.uint64)) - np.uint64(1)
+    return np.where(doc > parse.least[kind], every, own[kind])
+
+
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
     kinds = [pa.string(), pa.int32()] + [pa.binary()] * 3
     return pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=_NAMES)
@@ -190,30 +299,32 @@ def grouped(it, limit: int):
 
 
 def grams(docs: DataFrame, parts: int, limit: int, size: int) -> DataFrame:
-    """What each batch asks about its trigger grams: (grams, smallest documents, several documents)."""
+    """What each batch asks about its trigger grams: (grams, smallest documents, twice the phrases and one if of several documents)."""
 
     def ask(it):
         powers = Powers()
         for batch in grouped(it, limit):
-            row, _, _, g, _ = batch.phrases(powers, size)
-            g, doc, several, *_ = _least(g, batch.doc[row])
-            cut = np.searchsorted(_range(g, parts), np.arange(parts + 1))
+            row, _, _, g, *_ = batch.phrases(powers, size)
+            g, doc, several, place, _ = _least(g, batch.doc[row])
+            more = 2 * np.bincount(place, minlength=len(g)) + several
             key = batch.key()
-            yield _rows([(key, k, pack(g[i:j], True), pack(doc[i:j]), pack(several[i:j])) for k, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if i < j])
+            yield _rows([(key, k, pack(g[i:j], True), pack(doc[i:j]), pack(more[i:j])) for k, i, j in _stretches(_range(g, parts))])
 
     return docs.mapInArrow(ask, ROW)
 
 
-def shared_grams(requests: DataFrame) -> DataFrame:
-    """For each gram asked about: 0 if one document has it, 1 if several do and the batch has the smallest, 2 if not."""
+def shared_grams(requests: DataFrame, hot: int) -> DataFrame:
+    """For each gram asked about: 0 if one document has it, 1 if several do and the batch has the smallest, 2 if not; 4 more if it is hot."""
 
     def answer(table: pa.Table) -> pa.Table:
         keys, part = table.column("key").to_pylist(), table.column("part")[0].as_py()
-        g, doc, several = ([unpack(x, kind, up) for x in table.column(c).to_pylist()] for c, kind, up in (("a", np.uint64, True), ("b", np.int64, False), ("c", np.bool_, False)))
+        g, doc, more = ([unpack(x, kind, up) for x in table.column(c).to_pylist()] for c, kind, up in (("a", np.uint64, True), ("b", np.int64, False), ("c", np.int64, False)))
         size = [len(x) for x in g]
-        _, least, more, place, _ = _least(np.concatenate(g), np.concatenate(doc))
-        inner = np.bincount(place, np.concatenate(several), len(least)) > 0
-        every = np.where((inner | more)[place], np.where(np.concatenate(doc) > least[place], 2, 1), 0).astype(np.uint8)
+        doc, more = np.concatenate(doc), np.concatenate(more)
+        _, least, several, place, _ = _least(np.concatenate(g), doc)
+        inner = np.bincount(place, more & 1, len(least)) > 0
+        phrases = np.bincount(place, more >> 1, len(least))
+        every = np.where((inner | several)[place], np.where(doc > least[place], 2, 1) + np.where(phrases[place] > hot, 4, 0), 0).astype(np.uint8)
         found = dict(zip(keys, np.split(every, np.cumsum(size)[:-1]), strict=True))
         return pa.Table.from_batches([_rows([(k, part, pack(x), None, None) for k, x in found.items()])])
 
@@ -253,30 +364,59 @@ class Group:
         if not self.batches:
             return
         batch = self.batches[0]  # batches of one key are equal
-        row, start, strings, g, e = batch.phrases(Powers(), size)
+        row, start, strings, g, e, t = batch.phrases(Powers(), size)
         every, _, _, place, _ = _least(g, batch.doc[row])
         state = np.concatenate(self.known or [np.zeros(0, np.uint8)])
         if len(state) != len(every):
             raise RuntimeError("the documents changed while they were read; use a written table")
-        live = state[place] > 0
-        self.row, self.start, self.strings, self.g, self.e = row[live], start[live], strings[live], g[live], e[live]
-        # distinct phrases by range, then fingerprint
+        state = state[place]
+        live = state > 0
+        row, start, strings, g, e, t, hot = (x[live] for x in (row, start, strings, g, e, t, state > 3))
+        self.data = np.frombuffer(b"".join(batch.texts), np.uint8)
+        self.begin = np.concatenate([[0], np.cumsum([len(x) for x in batch.texts])])[:-1].astype(np.int64)
+        if hot.any():
+            cut = self._halves(*(x[hot] for x in (row, start, strings, t)))
+            row, start, strings, g, e = (np.concatenate([x[~hot], y]) for x, y in zip((row, start, strings, g, e), cut, strict=True))
+            order = np.lexsort((start, row))
+            row, start, strings, g, e = (x[order] for x in (row, start, strings, g, e))
+        self.row, self.start, self.strings, self.g, self.e = row, start, strings, g, e
+        # distinct phrases by range, then hash; equal hashes are compared by bytes
         part = _range(self.g, parts)
         order = np.lexsort((batch.doc[self.row], self.e, part))
         ps, es = part[order], self.e[order]
         first = np.concatenate([[True], (ps[1:] != ps[:-1]) | (es[1:] != es[:-1])]) if len(order) else np.zeros(0, bool)
+        again = np.flatnonzero(~first)
+        for k in range(0, len(again), 1 << 15):
+            i = again[k : k + (1 << 15)]
+            first[i] = (self._bytes(order[i]) != self._bytes(order[i - 1])).any(1)
         self.one = order[np.flatnonzero(first)]
         self.place = np.empty(len(order), np.int64)
         self.place[order] = np.cumsum(first) - 1
-        self.cut = np.searchsorted(part[self.one], np.arange(parts + 1))
+        self.cut = _stretches(part[self.one])
+
+    def _bytes(self, which: np.ndarray) -> np.ndarray:
+        return padded(self.data, self.begin[self.row[which]] + self.start[which], self.strings[which] + self.size - 1, 2 * self.size - GRAM)
+
+    def _halves(self, row: np.ndarray, start: np.ndarray, strings: np.ndarray, t: np.ndarray):
+        """Each phrase as two: strings that have at least ``half`` bytes before the trigger, and the others; dealt by more than the gram."""
+        half = (self.size - GRAM + 1) // 2
+        early = np.clip(t - half + 1, 0, strings)  # how many strings start early enough
+        out = []
+        for first, n, low, width in ((start, early, t - half, half + GRAM), (start + early, strings - early, t, self.size - half + 1)):
+            some = n > 0
+            r, f = row[some], first[some]
+            at = self.begin[r] + start[some] + low[some]
+            g = hashed(padded(self.data, at, np.full(len(at), width), width)) >> np.uint64(16)
+            e = hashed(padded(self.data, self.begin[r] + f, n[some] + self.size - 1, 2 * self.size - GRAM))
+            out.append((r, f, n[some], g, e))
+        return [np.concatenate(x) for x in zip(*out, strict=True)]
 
     def ask(self) -> pa.RecordBatch:
         batch, rows = self.batches[0], []
-        for k, (i, j) in enumerate(zip(self.cut[:-1], self.cut[1:], strict=True)):
-            if i < j:
-                p = self.one[i:j]
-                text = b"".join(batch.texts[r][s : s + n + self.size - 1] for r, s, n in zip(self.row[p].tolist(), self.start[p].tolist(), self.strings[p].tolist(), strict=True))
-                rows.append((self.key, k, len(text).to_bytes(8, "little") + _zstd().compress(text, asbytes=True), pack(self.strings[p].astype(np.uint8)), pack(batch.doc[self.row[p]])))
+        for k, i, j in self.cut:
+            p = self.one[i:j]
+            text = b"".join(batch.texts[r][s : s + n + self.size - 1] for r, s, n in zip(self.row[p].tolist(), self.start[p].tolist(), self.strings[p].tolist(), strict=True))
+            rows.append((self.key, k, len(text).to_bytes(8, "little") + _zstd().compress(text, asbytes=True), pack(self.strings[p].astype(np.uint8)), pack(batch.doc[self.row[p]])))
         return _rows(rows)
 
     def marked(self) -> list[list]:
@@ -316,33 +456,20 @@ def ordered(requests: DataFrame, parts: int, size: int) -> DataFrame:
         doc = np.concatenate([unpack(x, np.int64) for x in table.column("c").to_pylist()])
         n = np.concatenate(strings)
         length = n + size - 1
-        start = np.concatenate([[0], np.cumsum(length)])[:-1]
-        phrase = np.repeat(np.arange(len(n)), n)
-        inner = np.arange(len(phrase)) - np.concatenate([[0], np.cumsum(n)])[:-1][phrase]
-        at = start[phrase] + inner
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        powers, prints = Powers(), np.empty(len(at), np.uint64)
-        for i in range(0, len(n), 16384):  # fingerprints a stretch at a time
-            j = min(len(n), i + 16384)
-            lo, hi = start[i], start[j - 1] + length[j - 1]
-            w = slice(*np.searchsorted(phrase, [i, j]))
-            prints[w] = Rolling(data[lo:hi], powers).of(at[w] - lo, at[w] - lo + size)
-        _, least, _, place, _ = _least(prints, doc[phrase])
-        bit = np.where(least[place] < doc[phrase], np.uint64(1) << inner.astype(np.uint64), np.uint64(0))
-        masks = np.bitwise_or.reduceat(bit, np.concatenate([[0], np.cumsum(n)])[:-1])
+        masks = marks(np.frombuffer(b"".join(texts), np.uint8), np.cumsum(length) - length, n, doc, size)
         found = dict(zip(keys, np.split(masks, np.cumsum([len(x) for x in strings])[:-1]), strict=True))
         return pa.Table.from_batches([_rows([(k, parts + part, pack(m), None, None) for k, m in found.items()])])
 
     return requests.groupBy("part").applyInArrow(answer, ROW)
 
 
-def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, limit: int = BATCH) -> DataFrame:
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, limit: int = BATCH, hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, spans array<struct<start,end>>, kept binary): byte runs that a document with a smaller id has too."""
     if not GRAM < size <= GRAM + 63:
         raise ValueError(f"size must be {GRAM + 1} to {GRAM + 63}")
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    parts = max(16, 2 * d.rdd.getNumPartitions())
-    known = written(shared_grams(grams(d, parts, limit, size)), "grams")
+    parts = ranges_of(d, RANGE)
+    known = written(shared_grams(grams(d, parts, limit, size), hot), "grams")
 
     def ask(table: pa.Table) -> pa.Table:
         g = Group(table, parts, size)
