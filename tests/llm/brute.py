@@ -71,6 +71,64 @@ def base_secrets(text):
     return n[0], n[1], n[2], hashlib.sha256(s.encode()).hexdigest()
 
 
+#: The method's fixed values: inferred encodings, their alphabets, chi-squared's noncentrality per symbol.
+CODES = [("[0-9a-f]+", "0123456789abcdef", 0.6), ("[0-9A-F]+", "0123456789ABCDEF", 0.6), ("[A-Z2-7]+=*", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 1.1), ("[a-z]+", "abcdefghijklmnopqrstuvwxyz", 0.73), ("[a-z0-9]+", "abcdefghijklmnopqrstuvwxyz0123456789", 1.4), (".*", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 3.2)]
+
+
+def random_p(m):
+    """The p value of one candidate, test by test."""
+    import math
+
+    def tail(x):
+        upper = math.exp(-x * x / 2) / (1.64 * abs(x) + math.sqrt(0.76 * x * x + 4))
+        return upper if x >= 0 else 1 - upper
+
+    alphabet, delta = next((a, d) for p, a, d in CODES if re.fullmatch(p, m))
+    v = [alphabet.index(c) for c in m.rstrip("=").replace("-", "+").replace("_", "/") if c in alphabet]
+    n, k = len(v), len(alphabet)
+    mean = sum(v) / n
+    var = sum((x - mean) ** 2 for x in v)
+    if var <= 0:
+        return 1.0
+    chi = sum((c - n / k) ** 2 / (n / k) for c in (v.count(x) for x in range(k)))
+    side = [x >= k / 2 for x in v]
+    runs, high = 1 + sum(a != b for a, b in zip(side, side[1:])), sum(side)
+    two = 2 * high * (n - high)
+    z_runs = (runs - two / n - 1) / math.sqrt(max(two * (two - n) / (n * n * (n - 1)), 1e-9))
+    z_serial = sum((a - mean) * (b - mean) for a, b in zip(v, v[1:])) / var * math.sqrt(n)
+    if min(2 * tail(abs(z_runs)), 2 * tail(abs(z_serial)), tail((chi - k + 1) / math.sqrt(2 * (k - 1)))) < 0.001 / 3:
+        return 1.0
+    return min(1.0, tail(-(chi - (k - 1) - n * delta) / math.sqrt(2 * (k - 1) + 4 * n * delta)))
+
+
+def all_secrets(texts, rate=0.01):
+    """Spans of each text as the query returns them: base rules, and candidates that Benjamini-Hochberg accepts in their length band."""
+    import math
+
+    names, base, more = ("assign", "access", "hex", "random"), [], []
+    for t in texts:
+        t = t or ""
+        own = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(t) if len(m[2]) >= 6]
+        own += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+        own += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+        found = [m for m in re.finditer("[A-Za-z0-9+/_=-]+", t) if len(m[0]) >= 20]
+        base.append(own)
+        more.append([(m.start(), 3, m.end(), min(400, math.floor(-10 * math.log10(max(random_p(m[0]), 1e-300))))) for m in found if not any(a < m.end() and m.start() < b for a, _, b in own)])
+    bands = defaultdict(list)
+    for found in more:
+        for a, _, b, k in found:
+            bands[int(math.log2(b - a))].append(k)
+    limit = {}
+    for band, ks in bands.items():
+        good = [k for k in set(ks) if len(ks) * 10.0 ** (-k / 10) <= rate * sum(x >= k for x in ks)]
+        limit[band] = min(good, default=1000)
+    out = []
+    for own, found in zip(base, more):
+        every = sorted(own + [(a, 3, b) for a, _, b, k in found if k >= limit[int(math.log2(b - a))]])
+        out.append(",".join(f"{names[k]}:{a}:{b}" for a, k, b in every))
+    return out
+
+
 def targets(sizes, weights=(5, 2, 1), percent=150, most=2):
     """{source: target}; sizes: {source or None: words}"""
     order = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)

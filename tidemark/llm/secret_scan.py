@@ -12,13 +12,16 @@ battery of randomness tests takes for random rather than language-like:
 * Benjamini-Hochberg at rate ``RATE`` within each length band (powers of two) over all candidates of the table. Ranks
   come from a histogram of p values in tenths of a decade, so nothing is sorted; its size is bounded by bands and bins.
 
+Places are running sums of the lengths of matches and of what lies between them. Running sums and maxima are made in
+rounds over growing stretches, so a text with n matches costs n log n, not n squared.
+
 Cases: null and empty text have no span; several kinds may overlap, but an added span never overlaps a base one; an
 empty table gives no row; repeated rows and null ids give a row each.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,33 +47,67 @@ ENCODINGS = (
     (r"", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 3.2),
 )
 SPAN = "array<struct<start:bigint,k:int,end:bigint>>"
+FOUND = "array<struct<start:bigint,k:int,end:bigint,m:string>>"
+
+
+#: A round of a running sum adds so many values; six rounds reach 2**30 matches of one text.
+FAN, ROUNDS = 32, 6
+
+
+def running(values: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """At each place the result of ``step`` (associative, in any order) over all values up to it.
+
+    Each round unites ``FAN`` neighbouring stretches, so the work is in proportion to the values, times the rounds they need.
+    """
+
+    def round_of(d: int) -> Callable[[Column], Column]:
+        def united(v: Column) -> Column:
+            def at(x: Column, i: Column) -> Column:
+                back = F.sequence(F.lit(1), F.least(F.lit(FAN - 1), F.floor(i / d).cast("int")))
+                return F.when(i < d, x).otherwise(F.aggregate(back, x, lambda a, k: step(a, F.get(v, i - k * d))))
+
+            return F.when(F.size(v) > d, F.transform(v, at)).otherwise(v)
+
+        return united
 
+    for r in range(ROUNDS):
+        values = let(values, round_of(FAN**r))
+    return values
 
-def matches(text: Column, pattern: str, k: int, value: int = 0, least: int = 0, with_text: bool = False) -> Column:
-    """Leftmost non-overlapping matches as spans in code points; the texts between matches give the places.
+
+def matches(text: Column, pattern: str, k: int, value: int = 0, least: int = 0, with_text: bool = False, measure: Callable[[Column], Column] = F.length) -> Column:
+    """Leftmost non-overlapping matches as spans in code points (or what ``measure`` counts); the texts between matches give the places.
 
     ``least``: characters that group ``value`` must have; a match that fails is dropped after matching.
     """
     found, parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(value)) if value else found
-    empty = "array<struct<start:bigint,k:int,end:bigint,m:string,v:string>>"
 
-    def placed(x: Column) -> Column:
-        def add(acc: Column, i: Column) -> Column:
-            start = acc["at"] + F.length(F.get(x["p"], i))
-            end = start + F.length(F.get(x["f"], i))
-            item = F.struct(start.alias("start"), F.lit(k).alias("k"), end.alias("end"), F.get(x["f"], i).alias("m"), F.get(x["v"], i).alias("v"))
-            return F.struct(end.alias("at"), F.concat(acc["all"], F.array(item)).alias("all"))
+    def long(x: Column) -> Column:
+        return measure(x).cast("long")
 
-        start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(empty).alias("all"))
-        return F.when(F.size(x["f"]) == 0, F.array().cast(empty)).otherwise(F.aggregate(F.sequence(F.lit(0), F.size(x["f"]) - 1), start, add)["all"])
+    def placed(x: Column) -> Column:
+        ends = running(F.transform(x["f"], lambda m, i: long(F.get(x["p"], i)) + long(m)), lambda a, b: a + b)
+        return let(ends, lambda e: F.transform(x["f"], lambda m, i: F.struct((F.get(e, i) - long(m)).alias("start"), F.lit(k).alias("k"), F.get(e, i).alias("end"), m.alias("m"), F.get(x["v"], i).alias("v"))))
 
     spans = let(F.struct(found.alias("f"), parts.alias("p"), values.alias("v")), placed)
     if least:
         spans = F.filter(spans, lambda s: F.length(s["v"]) >= least)
     out = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["k"].alias("k"), s["end"].alias("end"), *([s["m"].alias("m")] if with_text else [])))
-    kind = SPAN.replace("end:bigint", "end:bigint,m:string") if with_text else SPAN
-    return F.when(text.rlike(pattern), out).otherwise(F.array().cast(kind))
+    return F.when(text.rlike(pattern), out).otherwise(F.array().cast(FOUND if with_text else SPAN))
+
+
+def apart(found: Column, base: Column) -> Column:
+    """Those of ``found`` (disjoint spans) that no span of ``base`` overlaps, by one merge in the order of starts."""
+    far = F.lit(1 << 62)
+    events = F.sort_array(F.concat(F.transform(base, lambda b: F.struct(b["start"].alias("start"), b["k"].alias("k"), b["end"].alias("end"), F.lit(None).cast("string").alias("m"))), found))
+
+    def judged(e: Column) -> Column:
+        reach = running(F.transform(e, lambda x: F.when(x["k"] < 3, x["end"]).otherwise(F.lit(0).cast("long"))), F.greatest)
+        ahead = F.reverse(running(F.reverse(F.transform(e, lambda x: F.when(x["k"] < 3, x["start"]).otherwise(far))), F.least))
+        return let(F.struct(reach.alias("reach"), ahead.alias("ahead")), lambda q: F.filter(e, lambda x, i: (x["k"] == 3) & (F.get(q["reach"], i) <= x["start"]) & (F.get(q["ahead"], i) >= x["end"])))
+
+    return F.when((F.size(found) == 0) | (F.size(base) == 0), found).otherwise(let(events, judged))
 
 
 def tail(x: Column) -> Column:
@@ -132,13 +169,13 @@ def band_of(n: Column) -> Column:
     return F.floor(F.log2(n.cast("double"))).cast("int")
 
 
-def scanned(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``__base`` (spans) and ``__more`` (candidates: start, end, band, bin)."""
+def scanned(docs: DataFrame, text_col: str = "text", measure: Callable[[Column], Column] = F.length) -> DataFrame:
+    """``docs`` with ``__base`` (spans) and ``__more`` (candidates: start, end, band, bin); places as ``measure`` counts."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = F.concat(matches(text, ASSIGN, 0, 2, LEAST_VALUE), matches(text, ACCESS, 1), matches(text, HEX, 2))
-    d = docs.withColumn("__base", F.sort_array(base)).withColumn("__all", matches(text, TOKEN, 3, with_text=True))
-    free = F.filter("__all", lambda c: ~F.exists("__base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    more = F.transform(free, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), band_of(c["end"] - c["start"]).alias("band"), bin_of(p_value(c["m"])).alias("bin")))
+    base = F.concat(matches(text, ASSIGN, 0, 2, LEAST_VALUE, measure=measure), matches(text, ACCESS, 1, measure=measure), matches(text, HEX, 2, measure=measure))
+    d = docs.withColumn("__base", F.sort_array(base)).withColumn("__all", matches(text, TOKEN, 3, with_text=True, measure=measure))
+    d = d.withColumn("__all", apart(F.col("__all"), F.col("__base")))
+    more = F.transform("__all", lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), band_of(c["end"] - c["start"]).alias("band"), bin_of(p_value(c["m"])).alias("bin")))
     return d.withColumn("__more", F.when(F.size("__all") > 0, more).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,band:int,bin:int>>"))).drop("__all")
 
 
@@ -179,17 +216,21 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rat
 
 
 def redacted(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", rate: float = RATE) -> DataFrame:
-    """``docs`` with every span replaced by ``mark``; overlapping spans become one mark. The columns stay."""
+    """``docs`` with every span replaced by ``mark``; overlapping spans become one mark. The columns stay.
+
+    Rows are scanned once and written with their spans; the limits of the whole table then decide about the candidates.
+    """
     columns = docs.columns
-    limits = bands(written(scanned(docs.select(F.col(text_col).alias("text"))).select("__more").filter(F.size("__more") > 0), "candidates"), rate)
-    own = scanned(docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(text_col).alias("text")))
-
-    def cut(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        piece = F.substring(F.col("text"), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, F.concat(acc["out"], piece, F.lit(mark))).otherwise(acc["out"]).alias("out"))
-
-    whole = F.aggregate(accepted(limits), F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), cut, lambda a: F.concat(a["out"], F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.lit(math.floor(2**31 - 1)))))
-    clean = F.when(F.col("text").isNull() | (F.size(accepted(limits)) == 0), F.col("text")).otherwise(whole)
-    out = own.select("row", clean.alias("__clean"))
-    return out.select(*[F.col("__clean").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in columns])
+    own = scanned(docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{text_col}`").alias("text")), measure=F.octet_length)
+    own = written(own.drop("text"), "scanned")
+    text, spans = F.col(f"row.`{text_col}`"), accepted(bands(own, rate))
+
+    def kept(x: Column) -> Column:
+        """The bytes between spans: from where the spans so far end to where the next begins."""
+        before = F.transform(x["s"], lambda s, i: F.struct(F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get(x["e"], i - 1)).alias("a"), s["start"].alias("b")))
+        gaps = F.concat(F.filter(before, lambda g: g["b"] >= g["a"]), F.array(F.struct(F.element_at(x["e"], -1).alias("a"), F.octet_length(x["t"]).cast("long").alias("b"))))
+        return F.array_join(F.transform(gaps, lambda g: F.substring(x["t"], (g["a"] + 1).cast("int"), (g["b"] - g["a"]).cast("int")).cast("string")), mark)
+
+    whole = let(spans, lambda s: let(F.struct(s.alias("s"), running(F.transform(s, lambda x: x["end"]), F.greatest).alias("e"), text.cast("binary").alias("t")), kept))
+    clean = F.when(text.isNull() | (F.size(spans) == 0), text).otherwise(whole)
+    return own.select(*[clean.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in columns])
