@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import mixed, ranges_of, utf8, written
 
 #: Text bytes of a batch, and of what one range of hashes is to hold the counts of; buckets of contexts; bins of an estimate, four an octave, the last for zero.
-BATCH, RANGE, BUCKETS, BINS = 8 << 20, 16 << 20, 40, 161
+BATCH, RANGE, BUCKETS, BINS = 8 << 20, 4 << 20, 40, 161
 DEFAULT = (0.3, 0.65, 0.05)
 END, START = b"\n", b"\r"  # no word holds these
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))

@@ -9,9 +9,14 @@ With 10 and 3, a pair at similarity 0.85 is missed with probability 0.00015, les
 
 Equal shingle sets are one class from the start. Candidates are confirmed in two rounds, so that a bucket of copies
 never becomes all of its pairs. First every member against the bucket's hub, the text that shares its hashes with most
-others. Then, with components known, pairs of one bucket in different components that could still be similar enough:
-the intersection of two texts is at most what both share with the hub plus what either has beside it, not counting
-shingles that no other candidate has. No pair that could join two components is left out.
+others. Then, with components known, the members of buckets that are still in several components (``close_pairs``):
+shingles that the same texts have are one token with their number as weight; tokens are ranked by rarity, and two
+similar texts share a token among the rarest of both, those that outweigh what a similar text may lack. Groups of
+texts by such a token are compared by exact bounds on the intersection. A group of more than ``HOT`` texts is divided
+by the next token that they share, and so on, where that makes fewer rows than its pairs are (by ``HOT`` times): so the
+pairs compared grow with the texts and not with their square. Texts of a divided group that are similar by the shared
+tokens alone are paired with its smallest text, which links them all. Only pairs within the bounds meet with their full
+sets. No link that could join two components is left out.
 
 Cases: null text, no words: an empty set, linked with nothing; fewer words than a shingle: the whole sequence is the one
 shingle; rows with one id are one document, linked if one of
@@ -22,15 +27,18 @@ component and is kept; an empty table gives no row.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import batches, join_small, keep_ids, mixed, written
 
 SIZE, SIDE, ROWS, PERCENT = 5, 10, 3, 85
+#: Texts of one token that are compared with each other before the group is divided by a second one; how often it is divided.
+HOT, DEPTH = 8, 8
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
@@ -107,7 +115,7 @@ def signatures(docs: DataFrame, size: int, side: int, rows: int) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
-    """(id, s): the shingle hashes of each document."""
+    """(doc_id, fp, s): the shingle hashes of each document, and the set's fingerprint."""
 
     def sets(it):
         cache = WordHashes()
@@ -115,9 +123,10 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
             found = shingle_sets(b.column(1).to_pylist(), size, cache)
             ends = np.concatenate([[0], np.cumsum([len(s) for s in found])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found).view(np.int64), pa.int64()))
-            yield pa.record_batch([b.column(0), lists], names=["id", "s"])
+            fp = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in found]
+            yield pa.record_batch([b.column(0), pa.array(fp, pa.binary()), lists], names=["doc_id", "fp", "s"])
 
-    return docs.mapInArrow(sets, "id bigint, s array<bigint>")
+    return docs.mapInArrow(sets, "doc_id bigint, fp binary, s array<bigint>")
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -145,17 +154,13 @@ def connected(links: DataFrame) -> DataFrame:
     return labels
 
 
-def intersections(pairs: DataFrame, sets: DataFrame, again: bool) -> DataFrame:
+def intersections(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, i, t): for each pair the size of the intersection and the sum of both sizes.
 
-    ``again``: ids may have several sets, of which the best pair counts. Otherwise nothing is summed after the joins, so
-    that Spark may split the rows of a hub that very many texts have.
+    Nothing is summed after the joins, so that Spark may split the rows of a hub that very many texts have.
     """
     sa, sb = sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
-    both = pairs.join(sa, "a").join(sb, "b").select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("i"), (F.size("sa") + F.size("sb")).cast("long").alias("t"))
-    if not again:
-        return both
-    return both.groupBy("a", "b").agg(F.max(F.struct(F.col("i") / (F.col("t") - F.col("i")), "i", "t")).alias("m")).select("a", "b", "m.i", "m.t")
+    return pairs.join(sa, "a").join(sb, "b").select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("i"), (F.size("sa") + F.size("sb")).cast("long").alias("t"))
 
 
 def similar(i: Column, t: Column, percent: int) -> Column:
@@ -168,6 +173,54 @@ def own_shingles(sets: DataFrame) -> DataFrame:
     return every.filter("c = 1 and id = last").groupBy("id").agg(F.count("*").alias("own"))
 
 
+def weighed_tokens(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(id, comp, n, rest, slack, pos, size, token, w, before) of texts that may be similar to another of ``nodes`` (id, n, comp).
+
+    A token is all shingles that the same texts have, ``w`` of them. Tokens rise from the rarest; ``before`` is the weight
+    of those that come first, ``size`` how many there are. ``rest``: shingles that others have too; ``slack``: how many of these a similar text may lack.
+    """
+    single = sets.join(nodes.select("id"), "id", "left_semi").select("id", F.explode("s").alias("h"))
+    kinds = single.groupBy("h").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("id")).alias("p"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("q")).filter("c > 1")
+    tokens = single.join(kinds, "h").groupBy("id", "c", "p", "q").agg(F.count("*").alias("w"))
+    order = Window.partitionBy("id").orderBy("c", "p", "q")
+    ranked = tokens.select("id", F.xxhash64("p", "q").alias("token"), "w", F.row_number().over(order).alias("pos"), (F.sum("w").over(order) - F.col("w")).alias("before"), F.sum("w").over(Window.partitionBy("id")).alias("rest"), F.count("*").over(Window.partitionBy("id")).alias("size"))
+    slack = F.col("rest") - F.ceil(F.col("n") * percent / 100).cast("long")
+    return ranked.join(nodes, "id").withColumn("slack", slack).filter("slack >= 0")
+
+
+def close_pairs(nodes: DataFrame, sets: DataFrame, percent: int, hot: int = HOT, depth: int = DEPTH) -> DataFrame:
+    """(a, b) of all texts of ``nodes`` (id, n, comp) in different components that may be similar, and few others.
+
+    A path is the first tokens that two texts share, rarest first; ``missed`` is the weight that a text has before and
+    between them, which the other lacks. What is left bounds the intersection from above, the path's own weight from
+    below. Paths get longer by one token, ``depth`` times at most; after that they are compared as they are.
+    """
+    tokens = written(weighed_tokens(nodes, sets, percent), "tokens")
+    more = tokens.select("id", F.col("pos").alias("at"), "token", "w", "before")
+    own = ["id", "n", "comp", "rest", "slack", "size"]
+    rows = tokens.filter("before <= slack").select(*own, "pos", F.col("token").alias("path"), F.col("before").alias("missed"), (F.col("before") + F.col("w")).alias("upto"))
+    found = []
+    for level in range(depth + 1):
+        rows = written(rows, "paths")
+        steps = F.sum(F.least(F.col("size") - F.col("pos"), F.col("slack") - F.col("missed") + 1))  # no fewer than the rows of longer paths
+        hub = F.min_by(F.struct("id", "n", "comp"), F.struct("n", "id"))
+        groups = rows.groupBy("path").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), steps.alias("steps"), hub.alias("hub")).filter("c > 1 and lo < hi")
+        wide = (F.col("c") > hot) & (F.col("c").cast("double") * F.col("c") > 2.0 * hot * F.col("steps"))
+        groups = written(groups.select("path", "hub", (wide if level < depth else F.lit(False)).alias("wide")), "groups")
+        small = rows.join(groups.filter("not wide"), "path", "left_semi").select("path", "id", "n", "comp", (F.col("rest") - F.col("missed")).alias("left"))
+        other = small.select("path", *[F.col(c).alias(f"{c}_") for c in ("id", "n", "comp", "left")])
+        near = (F.col("id") < F.col("id_")) & (F.col("comp") != F.col("comp_")) & similar(F.least("left", "left_"), F.col("n") + F.col("n_"), percent)
+        found.append(written(small.join(other, "path").filter(near).select(F.col("id").alias("a"), F.col("id_").alias("b")), "pairs"))
+        if groups.filter("wide").isEmpty():
+            break
+        divided = rows.join(groups.filter("wide").select("path", "hub"), "path")
+        sure = similar(F.col("upto") - F.col("missed"), F.col("n") + F.col("hub.n"), percent) & (F.col("comp") != F.col("hub.comp"))
+        found.append(written(divided.filter(sure).select(F.col("id").alias("a"), F.col("hub.id").alias("b")), "sure"))
+        longer = divided.drop("hub").join(more, "id").withColumn("missed", F.col("missed") + F.col("before") - F.col("upto")).filter("at > pos and missed <= slack")
+        rows = longer.select(*own, F.col("at").alias("pos"), F.xxhash64("path", "token").alias("path"), "missed", (F.col("before") + F.col("w")).alias("upto"))
+    return reduce(DataFrame.union, found).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, percent: int = PERCENT, side: int = SIDE, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): documents linked at ``percent`` similarity, directly or by others."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -175,11 +228,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = sig.filter("doc_id is not null and n > 0")
     classes = written(known.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("c")), "classes")
     copied = classes.filter("c > 1").select("fp", "rep")
-    several = written(known.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("id"), F.lit(True).alias("several")), "several")
-    again = not several.isEmpty()  # ids with several rows
+    several = written(known.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "several")
+    again = not several.isEmpty()  # ids with several rows: a set has a number of its own then, else its document's id
     one = known.join(classes.select(F.col("rep").alias("r"), F.col("fp").alias("f")), (F.col("doc_id") == F.col("r")) & (F.col("fp") == F.col("f")))
-    one = one.select(F.col("doc_id").alias("id"), "n", "keys", "fp")
-    one = written(one.dropDuplicates(["id", "fp"]) if again else one, "one")
+    one = one.dropDuplicates(["fp"]).withColumn("id", F.monotonically_increasing_id()) if again else one.withColumn("id", F.col("doc_id"))
+    one = written(one.select("id", F.col("doc_id").alias("rep"), "n", "keys", "fp"), "one")
+
+    def by_rep(links: DataFrame) -> DataFrame:
+        """Links of sets as links of documents."""
+        if not again:
+            return links
+        a, b = one.select(F.col("id").alias("a"), F.col("rep").alias("ra")), one.select(F.col("id").alias("b"), F.col("rep").alias("rb"))
+        return links.join(a, "a").join(b, "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
 
     # hashes that two texts share, in both collections; score: with how many others a text shares hashes
     single = one.select("id", F.explode("keys").alias("key"))
@@ -188,49 +248,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     live = written(one.join(live, "id"), "live")
 
     # full sets of these, and which of them could be similar to any other at all
-    mine = keep_ids(d, live.select(F.col("id").alias("doc_id")))
-    sets = written(full_sets(mine.dropDuplicates(["doc_id", "text"]) if again else mine, size), "sets")
-    common = live.select("id", "n", "keys", "score").join(own_shingles(sets), "id", "left").withColumn("common", F.col("n") - F.coalesce("own", F.lit(0)))
-    if again:  # own counts an id's texts together, which says nothing of one of them
-        common = join_small(common, several, "id").withColumn("common", F.when(F.col("several"), F.col("n")).otherwise(F.col("common"))).drop("several")
-    fit = written(common.filter(100 * F.col("common") >= percent * F.col("n")).drop("own"), "fit")
+    sets = full_sets(keep_ids(d, live.select(F.col("rep").alias("doc_id"))), size)
+    sets = sets.join(live.select("id", "fp"), "fp").dropDuplicates(["id"]) if again else sets.withColumnRenamed("doc_id", "id")
+    sets = written(sets.select("id", "s"), "sets")
+    common = F.col("n") - F.coalesce("own", F.lit(0))
+    fit = written(live.select("id", "rep", "n", "keys", "score").join(own_shingles(sets), "id", "left").filter(100 * common >= percent * F.col("n")).drop("own"), "fit")
 
     # the tables: every member against its bucket's hub
     firsts, seconds = F.slice("keys", 1, side), F.slice("keys", side + 1, side)
-    table = F.flatten(F.transform(firsts, lambda x, i: F.transform(seconds, lambda y, j: F.struct(F.xxhash64(x, y, i, j).alias("key"), i.alias("i"), j.alias("j")))))
-    keyed = fit.select("id", "n", "common", "score", F.explode(table).alias("k")).select("id", "n", "common", "score", "k.*")
+    table = F.flatten(F.transform(firsts, lambda x, i: F.transform(seconds, lambda y, j: F.xxhash64(x, y, i, j))))
+    keyed = fit.select("id", "rep", "n", "score", F.explode(table).alias("key"))
     buckets = keyed.groupBy("key").agg(F.count("*").alias("c"), F.max_by("id", F.struct(F.col("score"), -F.col("id"))).alias("hub")).filter("c > 1").select("key", "hub")
-    members = written(keyed.join(buckets, "key").filter("id <> hub").select("key", "i", "j", "id", "n", "common", "hub"), "members")
-    first = written(intersections(members.select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), sets, again), "first")
-    links = first.filter(similar(F.col("i"), F.col("t"), percent)).select("a", "b")
+    members = written(keyed.join(buckets, "key").filter("id <> hub").select("key", "id", "rep", "n", "hub"), "members")
+    first = intersections(members.select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct(), sets)
+    links = by_rep(first.filter(similar(F.col("i"), F.col("t"), percent)).select("a", "b"))
     if again:  # an id with several texts is linked with the copies of each
-        copies = known.join(several.select(F.col("id").alias("doc_id")), "doc_id").join(copied, "fp").filter("doc_id <> rep")
+        copies = known.join(several, "doc_id").join(copied, "fp").filter("doc_id <> rep")
         links = links.union(copies.select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
     links = written(links, "confirmed")
     labels = connected(links)
 
     # what the first round left open
-    at = join_small(members, labels.select(F.col("node").alias("id"), "comp"), "id").withColumn("comp", F.coalesce("comp", "id"))
+    at = join_small(members, labels.select(F.col("node").alias("rep"), "comp"), "rep").withColumn("comp", F.coalesce("comp", "rep"))
     open_ = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    at = at.join(open_, "key", "left_semi").join(first.select(F.col("a").alias("id"), F.col("b").alias("hub"), F.col("i").alias("inside")), ["id", "hub"])
-    at = at.withColumn("beside", F.col("common") - F.col("inside"))
-    if again:  # inside is that of the best texts of both: no bound where the id or the hub has several
-        at = join_small(join_small(at, several, "id"), several.select(F.col("id").alias("hub"), F.col("several").alias("hubs")), "hub")
-        loose = F.coalesce("several", "hubs", F.lit(False))
-        at = at.withColumn("inside", F.when(loose, F.col("n")).otherwise(F.col("inside"))).withColumn("beside", F.when(loose, F.col("n")).otherwise(F.col("beside")))
-    at = written(at.join(fit.select("id", "keys").distinct() if again else fit.select("id", "keys"), "id").select("key", "i", "j", "id", "n", "comp", "inside", "beside", "keys"), "open")
-    x, y = at.alias("x"), at.select("key", *[F.col(c).alias(f"{c}_") for c in at.columns if c not in ("key", "i", "j")]).alias("y")
-    most = F.least("inside", "inside_") + F.least("beside", "beside_")
-
-    def place(low: int) -> Column:
-        """The first hash of a collection that both have: a pair is met in one table only."""
-        return F.array_position(F.zip_with(F.slice("keys", low, side), F.slice("keys_", low, side), lambda p, q: p == q), True) - 1
-
-    near = (F.col("id") < F.col("id_")) & (F.col("comp") != F.col("comp_")) & similar(most, F.col("n") + F.col("n_"), percent) & (place(1) == F.col("i")) & (place(side + 1) == F.col("j"))
-    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & near).select(F.col("id").alias("a"), F.col("id_").alias("b")).distinct()
-    more = written(intersections(rest, sets, again).filter(similar(F.col("i"), F.col("t"), percent)).select("a", "b"), "more")
-    if not more.isEmpty():
-        labels = connected(links.union(more))
+    nodes = written(at.join(open_, "key", "left_semi").select("id", "n", "comp").distinct(), "open")
+    if not nodes.isEmpty():
+        more = by_rep(intersections(close_pairs(nodes, sets, percent), sets).filter(similar(F.col("i"), F.col("t"), percent)).select("a", "b"))
+        more = written(more, "more")
+        if not more.isEmpty():
+            labels = connected(links.union(more))
 
     out = join_small(sig.select("doc_id", "n", "fp"), copied, "fp").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"))
     out = join_small(out, labels.select(F.col("node").alias("rep"), "comp"), "rep").select("doc_id", "n", F.coalesce("comp", "rep").alias("component_id"))
