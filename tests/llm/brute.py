@@ -174,7 +174,7 @@ def hits(text, items, size=10):
             for a in range(len(w) - len(p) + 1):
                 if w[a : a + len(p)] == p:
                     hit.update(range(a, a + len(p)))
-                    ids.add(str(item))
+                    ids |= {str(item)} - {"None"}
     return len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), bool(hit)
 
 

@@ -320,11 +320,31 @@ def test_decontamination(spark, docs, none):
     want = expected(lambda d, t: brute.hits(t, items))
     columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     assert by_text(decontaminate.contamination(docs, bench), docs, columns) == want
-    assert by_text(decontaminate.contamination(docs, bench, block_bytes=60), docs, columns) == want  # searched in blocks
+    large = decontaminate.contamination(docs, bench, block_bytes=60)  # the patterns stay a table
+    assert by_text(large, docs, columns) == want
+    assert docs.inputFiles()[0].rpartition("/")[0] not in large._jdf.queryExecution().toString()  # the documents were read once, before
+    for size in (60, 1 << 20):
+        clean = decontaminate.clean_documents(docs, bench, block_bytes=size)
+        assert clean.columns == docs.columns and by_text(clean, docs, ["doc_id", "text"]) == sorted(((d, t) for d, t in KNOWN if not brute.hits(t, items)[4]), key=repr)
     assert decontaminate.contamination(none, bench).count() == 0
     assert decontaminate.contamination(docs, bench.limit(0)).filter("contaminated").isEmpty()
 
 
+def test_a_benchmark_of_a_hundred_blocks(spark, docs):
+    """400 items of one to forty words, equal ones, one without an id, and one very long item."""
+    rng = random.Random(13)
+    texts = [r[1].split() for r in ROWS if r[1] and len(r[1]) > 200]
+    items = [(f"i{k}", " ".join((w := rng.choice(texts))[(a := rng.randrange(len(w) - 40)) : a + rng.choice([1, 2, 5, 9, 10, 11, 40])]) if k % 3 else text_of(rng, "en", 30)) for k in range(400)]
+    items += [(None, " ".join(texts[3][:14])), ("twin", items[1][1]), ("long", text_of(rng, "en", 20_000) + " " + " ".join(texts[5][:12]))]
+    total = sum(len(t.encode()) for _, t in items)
+    bench = spark.createDataFrame(items, "item_id string, text string").repartition(5)
+    some = docs.filter("length(text) < 5000 or text is null")
+    want = expected(lambda d, t: brute.hits(t, items), [(d, t) for d, t in KNOWN if len(t or "") < 5000])
+    columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    for size in (total // 100, total):
+        assert by_text(decontaminate.contamination(some, bench, block_bytes=size), docs, columns) == want
+
+
 def test_wu_manber_finds_all_occurrences():
     rng = random.Random(2)
     for _ in range(200):

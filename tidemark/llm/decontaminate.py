@@ -4,24 +4,34 @@ Every window of ``window`` consecutive words of a benchmark item is a pattern. P
 shift table: the last ``block`` words of the current text window say how far the search may jump; where the jump is
 zero, the block's bucket of patterns is consulted and the words are compared directly.
 
+A small benchmark is one broadcast. Beyond ``BLOCK_BYTES`` the patterns stay a table: the shift tables are indexed by a
+hash of the block, as in the paper, and computed by a grouped minimum; a bit map of pattern hashes stands for the
+buckets. Both have a fixed size whatever the benchmark's, and are all that is broadcast. One pass over the documents
+gives the windows that pass both, and these are joined with the patterns and compared word by word. An item of any size
+is cut into its windows where it is read.
+
 Cases: null or empty text has no words; a null or wordless item has no window; an item with fewer words than the
-window is one window; items with equal windows are all reported; repeated rows give repeated results; a null id stays.
+window is one window; items with equal windows are all reported; words hit by an item with a null id are hit, but the
+item has no name to report; repeated rows give repeated results; a null id stays.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
+import zlib
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches, keep_ids, written
+from tidemark.llm.common import batches, let, running, written
 
-#: Benchmark text whose patterns are broadcast at once (some hundred times its size in memory); a larger benchmark is searched in blocks.
+#: Benchmark text whose patterns are broadcast as they are (some hundred times its size in memory).
 BLOCK_BYTES = 2 << 20
+#: Beyond that: slots of a length's shift table, and bits of the map of pattern hashes (8 MB).
+SLOTS, BITS = 1 << 20, 1 << 26
 
 #: Fixed: letters, digits and everything beyond ASCII make words, A-Z are lowered.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -101,90 +111,188 @@ def merged(ranges) -> list[list[int]]:
     return out
 
 
-SPANS = "doc_id bigint, n_words bigint, fp binary, starts array<bigint>, ends array<bigint>, items array<string>"
+SPANS = "doc_id bigint, n_words bigint, starts array<bigint>, ends array<bigint>, items array<string>"
 
 
-def _spans(docs: DataFrame, search, keep_fp: bool) -> DataFrame:
+def _spans(docs: DataFrame, search) -> DataFrame:
     def scan(it):
         s = search.value
-        schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("fp", pa.binary()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
+        schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
         for b in batches(it):
-            n, fp, starts, ends, items = [], [], [], [], []
+            n, starts, ends, items = [], [], [], []
             for text in b.column(1).to_pylist():
                 w = words(text)
                 found, ids = s.spans(w)
                 n.append(len(w))
-                fp.append(hashlib.blake2b((text or "").encode(), digest_size=16).digest() if keep_fp else None)
                 starts.append([x[0] for x in found])
                 ends.append([x[1] for x in found])
-                items.append(sorted(map(str, ids)))
-            yield pa.record_batch([b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(starts, schema.field(3).type), pa.array(ends, schema.field(4).type), pa.array(items, schema.field(5).type)], schema=schema)
+                items.append(sorted(str(i) for i in ids if i is not None))
+            yield pa.record_batch([b.column(0).cast(pa.int64()), pa.array(n, pa.int64()), *[pa.array(x, schema.field(k).type) for k, x in enumerate((starts, ends, items), 2)]], schema=schema)
 
     return docs.mapInArrow(scan, SPANS)
 
 
-def searches(benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES):
-    """How many blocks of at most about ``block_bytes`` the items make, and a broadcast search for each of them."""
-    q = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")).filter("text is not null")
-    total = q.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, math.ceil(total / block_bytes))
+def pattern_hash(pattern: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(pattern, digest_size=8).digest(), "little", signed=True)
 
-    def blocks():
-        for k in range(n):
-            block = q.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-            yield benchmark.sparkSession.sparkContext.broadcast(Search(windows(((r[0], r[1]) for r in block.toLocalIterator()), window)))
 
-    return n, blocks()
+def patterns_of(items: DataFrame, window: int) -> DataFrame:
+    """(m, h, w, item_id): every window of (item_id, text) with its number of words and its hash, once an item."""
 
+    def cut(it):
+        def each():
+            for b in it:
+                for item, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    w = words(text)
+                    for i in range(max(1, len(w) - window + 1) if w else 0):
+                        yield min(window, len(w)), b" ".join(w[i : i + window]), item
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose own ``text`` has no benchmark window, with their own columns.
+        found = each()
+        while part := list(islice(found, 20_000)):
+            m, w, item = zip(*part, strict=True)
+            yield pa.record_batch([pa.array(m, pa.int32()), pa.array([pattern_hash(x) for x in w], pa.int64()), pa.array(w, pa.binary()), pa.array(item, pa.string())], names=["m", "h", "w", "item_id"])
 
-    A row is known by the SHA-256 of its text, whatever its id: the scan gives the digests of texts with a window, and
-    rows of these texts go. A null text stays.
-    """
+    return items.mapInArrow(cut, "m int, h bigint, w binary, item_id string").distinct()
+
+
+class Tables:
+    """Shift tables by length, indexed by a hash of the block, and the bit map of whole patterns; as large for any benchmark."""
+
+    def __init__(self, shifts: dict[int, np.ndarray], bits: np.ndarray, block: int = 2):
+        self.shifts, self.bits, self.block = shifts, bits, block
+
+    @staticmethod
+    def slot(words_: list[bytes]) -> int:
+        return zlib.crc32(b" ".join(words_)) % SLOTS
+
+    @classmethod
+    def of(cls, patterns: DataFrame, block: int = 2) -> Tables:
+        """From (m, h, w): the least shift of each slot and the bits that are set, gathered by sums on the executors."""
+
+        def shifts(it):
+            for b in it:
+                least: dict[tuple, int] = {}
+                for m, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                    p, size = w.split(b" "), min(block, m)
+                    for end in range(size, m + 1):
+                        key = (m, cls.slot(p[end - size : end]))
+                        least[key] = min(least.get(key, m), m - end)
+                yield pa.record_batch([pa.array([k[0] for k in least], pa.int32()), pa.array([k[1] for k in least], pa.int32()), pa.array(list(least.values()), pa.int32())], names=["m", "slot", "shift"])
+
+        found = patterns.select("m", "w").mapInArrow(shifts, "m int, slot int, shift int").groupBy("m", "slot").agg(F.min("shift").alias("shift")).toArrow()  # at most window * SLOTS rows
+        m, slot, shift = (found.column(c).to_numpy() for c in ("m", "slot", "shift"))
+        tables = {}
+        for size in sorted(set(m.tolist())):
+            tables[size] = np.full(SLOTS, size - min(block, size) + 1, np.int32)
+            tables[size][slot[m == size]] = shift[m == size]
+        bit = F.pmod("h", F.lit(BITS))
+        some = patterns.select(F.floor(bit / 32).alias("at"), F.expr(f"shiftleft(1L, cast(pmod(h, {BITS}) % 32 as int))").alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most BITS / 32 rows
+        bits = np.zeros(BITS // 32, np.int64)
+        bits[some.column("at").to_numpy()] = some.column("bits").to_numpy()
+        return cls(tables, bits.astype(np.uint32), block)
+
+    def find(self, text: list[bytes]):
+        """(start, words, hash, window) of all windows that the tables cannot rule out."""
+        for m, shift in self.shifts.items():
+            b, end, n = min(self.block, m), m, len(text)
+            while end <= n:
+                if s := shift[self.slot(text[end - b : end])]:
+                    end += int(s)
+                    continue
+                window = b" ".join(text[end - m : end])
+                h = pattern_hash(window)
+                if self.bits[h % BITS // 32] >> np.uint32(h % 32) & 1:
+                    yield end - m, m, h, window
+                end += 1
+
+
+def candidates(docs: DataFrame, tables) -> DataFrame:
+    """One pass: a row for each document (m = 0), and one for each window (start, m, h, w) that may be a pattern; digest: SHA-256 of the text."""
+    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("n_words", pa.int64()), ("start", pa.int64()), ("m", pa.int32()), ("h", pa.int64()), ("w", pa.binary())])
+
+    def scan(it):
+        t = tables.value
+        for b in batches(it):
+            rows = []
+            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                w, digest = words(text), hashlib.sha256((text or "").encode()).digest()
+                rows.append((doc, digest, len(w), None, 0, None, None))
+                for start, m, h, window in t.find(w):
+                    rows.append((None, digest, None, start, m, h, window))
+                    if len(rows) >= 20_000:
+                        yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+                        rows = []
+            if rows:
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    return docs.mapInArrow(scan, "doc_id bigint, digest binary, n_words bigint, start bigint, m int, h bigint, w binary")
 
-    def scan(search):
-        def hits(it):
-            s = search.value
-            for b in batches(it):
-                found = [hashlib.sha256(t.encode()).hexdigest() for t in b.column(0).to_pylist() if t and s.spans(words(t))[0]]
-                yield pa.record_batch([pa.array(found, pa.string())], names=["digest"])
 
-        return hits
+def united(spans: Column) -> Column:
+    """Sorted spans with those that touch made one."""
+
+    def of(s: Column) -> Column:
+        return let(F.struct(s.alias("s"), running(F.transform(s, lambda x: x["end"]), F.greatest).alias("e")), groups)
+
+    def groups(q: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(0), F.size(q["s"]) - 1), lambda i: F.when(i == 0, True).otherwise(F.get(q["s"], i)["start"] > F.get(q["e"], i - 1)))
+        return let(first, lambda g: F.transform(g, lambda x, j: F.struct(F.get(q["s"], x)["start"].alias("start"), F.get(q["e"], F.coalesce(F.get(g, j + 1), F.size(q["s"])) - 1).alias("end"))))
+
+    return let(spans, of)
+
+
+def large_search(docs: DataFrame, items: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, digest, n_words) of all documents, and (digest, spans, items) of the texts with an occurrence."""
+    patterns = written(patterns_of(items, window), "patterns")
+    tables = docs.sparkSession.sparkContext.broadcast(Tables.of(patterns.select("m", "h", "w")))
+    scan = written(candidates(docs, tables), "candidates")
+    named = patterns.groupBy("m", "h", "w").agg(F.collect_set("item_id").alias("items"))
+    hits = scan.filter("m > 0").select("digest", "start", "m", "h", "w").distinct().join(named, ["m", "h", "w"])
+    hits = hits.groupBy("digest").agg(F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("m")).alias("end")))).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    return scan.filter("m = 0").select("doc_id", "digest", "n_words"), written(hits.select("digest", united(F.col("s")).alias("spans"), "items"), "hits")
+
+
+def _items(benchmark: DataFrame, item_col: str, item_text: str) -> DataFrame:
+    return benchmark.select(F.col(item_col).cast("string").alias("item_id"), F.col(item_text).alias("text")).filter("text is not null")
+
+
+def small_search(items: DataFrame, window: int, block_bytes: int):
+    """A broadcast search for all items, or None if they have more than ``block_bytes`` (summed here)."""
+    total = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return items.sparkSession.sparkContext.broadcast(Search(windows(((r[0], r[1]) for r in items.toLocalIterator()), window))) if total <= block_bytes else None
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs`` whose own ``text`` has no benchmark window, with their own columns; a row is judged by its text, whatever its id. A null text stays."""
+    items = _items(benchmark, item_col, item_text)
+    search = small_search(items, window, block_bytes)
+    if search is None:
+        _, hits = large_search(docs.select(F.lit(None).cast("long").alias("doc_id"), "text"), items, window)
+        return docs.withColumn("digest__", F.unhex(F.sha2("text", 256))).join(hits.select(F.col("digest").alias("digest__")), "digest__", "left_anti").select(docs.columns)
+
+    def keep(it):
+        s = search.value
+        for b in batches(it):
+            yield b.filter(pa.array([not s.spans(words(t))[0] for t in b.column(b.schema.get_field_index("text")).to_pylist()], pa.bool_()))
 
-    hit = None
-    for search in searches(benchmark, **options)[1]:
-        part = docs.select("text").mapInArrow(scan(search), "digest string")
-        hit = part if hit is None else hit.unionAll(part)
-    return keep_ids(docs.withColumn("digest__", F.sha2("text", 256)), written(hit.select(F.col("digest").alias("digest__")), "contaminated"), "digest__", anti=True).drop("digest__")
+    return docs.mapInArrow(keep, docs.schema)
 
 
 def benchmark_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id", item_col: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, n_words, spans array<struct<start,end>> in words, items array<string>) for every document.
 
-    The benchmark is the stated query set. Its size is summed first; up to ``block_bytes`` it is one broadcast, beyond
-    that the documents are scanned once per block of items and the spans of the blocks are united.
+    The benchmark is the stated query set. Its size is summed first; up to ``block_bytes`` its patterns are one broadcast,
+    beyond that tables of fixed size are, and what passes them is joined with the patterns. Either way the documents are
+    read once.
     """
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    n, blocks = searches(benchmark, item_col, item_text, window, block_bytes)
-    found = None
-    for search in blocks:
-        part = _spans(d, search, n > 1)
-        found = part if found is None else found.unionAll(part)
-    spans = F.arrays_zip(F.col("starts").alias("start"), F.col("ends").alias("end"))
-    if n == 1:
-        return found.select("doc_id", "n_words", spans.cast("array<struct<start:bigint,end:bigint>>").alias("spans"), "items")
-    g = found.groupBy("doc_id", "fp", "n_words").agg(
-        F.array_sort(F.flatten(F.collect_list(spans.cast("array<struct<start:bigint,end:bigint>>")))).alias("s"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        (F.count("*") / n).cast("int").alias("copies"),
-    )
-    united = F.expr("""aggregate(s, cast(array() as array<struct<start:bigint,end:bigint>>), (a, x) ->
-        if(size(a) > 0 and element_at(a, -1).end >= x.start,
-           concat(slice(a, 1, size(a) - 1), array(named_struct('start', element_at(a, -1).start, 'end', greatest(element_at(a, -1).end, x.end)))),
-           concat(a, array(x))))""")
-    return g.withColumn("c", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc_id", "n_words", united.alias("spans"), "items")
+    items = _items(benchmark, item_col, item_text)
+    search = small_search(items, window, block_bytes)
+    kind = "array<struct<start:bigint,end:bigint>>"
+    if search is not None:
+        return _spans(d, search).select("doc_id", "n_words", F.arrays_zip(F.col("starts").alias("start"), F.col("ends").alias("end")).cast(kind).alias("spans"), "items")
+    every, hits = large_search(d, items, window)
+    return every.join(hits, "digest", "left").select("doc_id", "n_words", F.coalesce(F.col("spans").cast(kind), F.array().cast(kind)).alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

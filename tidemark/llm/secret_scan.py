@@ -26,7 +26,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import let, written
+from tidemark.llm.common import let, running, written
 
 #: Fixed by the task: what the base rules look for.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -50,31 +50,6 @@ SPAN = "array<struct<start:bigint,k:int,end:bigint>>"
 FOUND = "array<struct<start:bigint,k:int,end:bigint,m:string>>"
 
 
-#: A round of a running sum adds so many values; six rounds reach 2**30 matches of one text.
-FAN, ROUNDS = 32, 6
-
-
-def running(values: Column, step: Callable[[Column, Column], Column]) -> Column:
-    """At each place the result of ``step`` (associative, in any order) over all values up to it.
-
-    Each round unites ``FAN`` neighbouring stretches, so the work is in proportion to the values, times the rounds they need.
-    """
-
-    def round_of(d: int) -> Callable[[Column], Column]:
-        def united(v: Column) -> Column:
-            def at(x: Column, i: Column) -> Column:
-                back = F.sequence(F.lit(1), F.least(F.lit(FAN - 1), F.floor(i / d).cast("int")))
-                return F.when(i < d, x).otherwise(F.aggregate(back, x, lambda a, k: step(a, F.get(v, i - k * d))))
-
-            return F.when(F.size(v) > d, F.transform(v, at)).otherwise(v)
-
-        return united
-
-    for r in range(ROUNDS):
-        values = let(values, round_of(FAN**r))
-    return values
-
-
 def matches(text: Column, pattern: str, k: int, value: int = 0, least: int = 0, with_text: bool = False, measure: Callable[[Column], Column] = F.length) -> Column:
     """Leftmost non-overlapping matches as spans in code points (or what ``measure`` counts); the texts between matches give the places.
 
