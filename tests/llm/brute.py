@@ -30,7 +30,7 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
-def components(rows):
+def components(rows, percent=85):
     """{doc_id: smallest reachable}"""
     parent = {d: d for d, _ in rows}
 
@@ -51,7 +51,7 @@ def components(rows):
                 if i < j:
                     pairs[i, j] += 1
     for (i, j), n in pairs.items():
-        if 100 * n >= 85 * (len(sets[i][1]) + len(sets[j][1]) - n):
+        if 100 * n >= percent * (len(sets[i][1]) + len(sets[j][1]) - n):
             a, b = top(sets[i][0]), top(sets[j][0])
             parent[max(a, b)] = min(a, b)
     return {d: top(d) for d, _ in rows}, {d: len(s) for d, s in sets}

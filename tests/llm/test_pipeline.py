@@ -33,7 +33,7 @@ def test_pipeline(spark, tmp_path):
     text = {r[0]: r[1] for r in rows}
     source = {r[0]: r[3] for r in rows}
     good = {d for d, t in text.items() if not brute.quality(t)[5] and source[d] != "junk"}  # the host goes with its pages
-    comp, _ = brute.components([(d, text[d]) for d in sorted(good)])
+    comp, _ = brute.components([(d, text[d]) for d in sorted(good)], 80)
     kept = {d for d in good if comp[d] == d}
     clean = {d for d in kept if not brute.hits(text[d], items)[4]}
     assert len(clean) < len(kept) < len(good) < len(text)
