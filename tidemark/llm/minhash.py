@@ -13,10 +13,10 @@ others. Then, with components known, the members of buckets that are still in se
 shingles that the same texts have are one token with their number as weight; tokens are ranked by rarity, and two
 similar texts share a token among the rarest of both, those that outweigh what a similar text may lack. Groups of
 texts by such a token are compared by exact bounds on the intersection. A group of more than ``HOT`` texts is divided
-by the next token that they share, and so on, where that makes fewer rows than its pairs are (by ``HOT`` times): so the
-pairs compared grow with the texts and not with their square. Texts of a divided group that are similar by the shared
-tokens alone are paired with its smallest text, which links them all. Only pairs within the bounds meet with their full
-sets. No link that could join two components is left out.
+by the next token that they share, and so on, wherever that leaves less to compare (counted before): so the pairs
+compared grow with the texts and not with their square. Texts of a divided group that are similar by the shared tokens
+alone are paired with its smallest text, which links them all. Only pairs within the bounds meet with their full sets.
+No link that could join two components is left out.
 
 Cases: null text, no words: an empty set, linked with nothing; fewer words than a shingle: the whole sequence is the one
 shingle; rows with one id are one document, linked if one of
@@ -37,8 +37,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import batches, join_small, keep_ids, mixed, written
 
 SIZE, SIDE, ROWS, PERCENT = 5, 10, 3, 85
-#: Texts of one token that are compared with each other before the group is divided by a second one; how often it is divided.
-HOT, DEPTH = 8, 8
+#: Texts of one token that are compared with each other before the group is divided by a second one; how often it is
+#: divided; how many comparisons of two texts a row costs that dividing a group makes.
+HOT, DEPTH, ROW_COST = 8, 8, 8
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _STEP = np.uint64(0x9FB21C651E98DF25)
 
@@ -198,26 +199,33 @@ def close_pairs(nodes: DataFrame, sets: DataFrame, percent: int, hot: int = HOT,
     tokens = written(weighed_tokens(nodes, sets, percent), "tokens")
     more = tokens.select("id", F.col("pos").alias("at"), "token", "w", "before")
     own = ["id", "n", "comp", "rest", "slack", "size"]
-    rows = tokens.filter("before <= slack").select(*own, "pos", F.col("token").alias("path"), F.col("before").alias("missed"), (F.col("before") + F.col("w")).alias("upto"))
-    found = []
+    rows = tokens.filter("before <= slack").select(*own, "pos", F.col("token").alias("path"), F.col("before").alias("missed"), (F.col("before") + F.col("w")).alias("upto"), F.lit(None).cast("long").alias("parent"))
+    rows = written(rows, "paths")
+    hub, found = F.min_by(F.struct("id", "n", "comp"), F.struct("n", "id")), []
+    steps = F.sum(F.least(F.col("size") - F.col("pos"), F.col("slack") - F.col("missed") + 1))  # no fewer than the rows of longer paths
     for level in range(depth + 1):
-        rows = written(rows, "paths")
-        steps = F.sum(F.least(F.col("size") - F.col("pos"), F.col("slack") - F.col("missed") + 1))  # no fewer than the rows of longer paths
-        hub = F.min_by(F.struct("id", "n", "comp"), F.struct("n", "id"))
-        groups = rows.groupBy("path").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), steps.alias("steps"), hub.alias("hub")).filter("c > 1 and lo < hi")
-        wide = (F.col("c") > hot) & (F.col("c").cast("double") * F.col("c") > 2.0 * hot * F.col("steps"))
-        groups = written(groups.select("path", "hub", (wide if level < depth else F.lit(False)).alias("wide")), "groups")
-        small = rows.join(groups.filter("not wide"), "path", "left_semi").select("path", "id", "n", "comp", (F.col("rest") - F.col("missed")).alias("left"))
+        # texts of a path, and how many pairs of components the path makes: each text outside the largest one with every text
+        parts = rows.groupBy("parent", "path", "comp").agg(F.count("*").alias("k"), hub.alias("hub"), steps.alias("steps"))
+        groups = parts.groupBy("parent", "path").agg(F.sum("k").alias("c"), F.max("k").alias("most"), F.sum("steps").alias("steps"), F.min_by("hub", F.struct("hub.n", "hub.id")).alias("hub")).filter("c > most")
+        groups = written(groups.withColumn("cost", F.col("c").cast("double") * (F.col("c") - F.col("most"))), "groups")
+        wide = groups.filter((F.col("c") > hot) & (ROW_COST * F.col("steps") < F.col("cost")))
+        longer, divided = None, groups.filter("false").select("path")
+        if level < depth and not wide.isEmpty():
+            longer = rows.join(wide.select("path"), "path", "left_semi").join(more, "id").withColumn("gap", F.col("missed") + F.col("before") - F.col("upto")).filter("at > pos and gap <= slack")
+            longer = longer.select(*own, F.col("at").alias("pos"), F.xxhash64("path", "token").alias("path"), F.col("gap").alias("missed"), (F.col("before") + F.col("w")).alias("upto"), F.col("path").alias("parent"))
+            longer = written(longer, "paths")
+            sizes = longer.groupBy("parent", "path", "comp").count().groupBy("parent", "path").agg(F.sum("count").alias("c"), F.max("count").alias("most"))
+            after = sizes.groupBy("parent").agg(F.sum(F.col("c").cast("double") * (F.col("c") - F.col("most"))).alias("after"))
+            divided = written(wide.select("path", "hub", "cost").join(after.withColumnRenamed("parent", "path"), "path", "left").filter(F.coalesce("after", F.lit(0.0)) < F.col("cost")).select("path", "hub"), "divided")
+        small = rows.join(groups.select("path"), "path", "left_semi").join(divided.select("path"), "path", "left_anti").select("path", "id", "n", "comp", (F.col("rest") - F.col("missed")).alias("left"))
         other = small.select("path", *[F.col(c).alias(f"{c}_") for c in ("id", "n", "comp", "left")])
         near = (F.col("id") < F.col("id_")) & (F.col("comp") != F.col("comp_")) & similar(F.least("left", "left_"), F.col("n") + F.col("n_"), percent)
         found.append(written(small.join(other, "path").filter(near).select(F.col("id").alias("a"), F.col("id_").alias("b")), "pairs"))
-        if groups.filter("wide").isEmpty():
+        if longer is None or divided.isEmpty():
             break
-        divided = rows.join(groups.filter("wide").select("path", "hub"), "path")
         sure = similar(F.col("upto") - F.col("missed"), F.col("n") + F.col("hub.n"), percent) & (F.col("comp") != F.col("hub.comp"))
-        found.append(written(divided.filter(sure).select(F.col("id").alias("a"), F.col("hub.id").alias("b")), "sure"))
-        longer = divided.drop("hub").join(more, "id").withColumn("missed", F.col("missed") + F.col("before") - F.col("upto")).filter("at > pos and missed <= slack")
-        rows = longer.select(*own, F.col("at").alias("pos"), F.xxhash64("path", "token").alias("path"), "missed", (F.col("before") + F.col("w")).alias("upto"))
+        found.append(written(rows.join(divided, "path").filter(sure).select(F.col("id").alias("a"), F.col("hub.id").alias("b")), "sure"))
+        rows = longer.join(divided.select(F.col("path").alias("parent")), "parent", "left_semi")
     return reduce(DataFrame.union, found).distinct()
 
 
