@@ -234,3 +234,127 @@ def language_model(rows):
         score = sum(math.log10(sum(x * y for x, y in zip(weights[k], p))) for k, p in estimates(every, pairs, n, v, ws))
         out.append((held, len(ws), sum(every[w] > 0 for w in ws), n, sum(math.log10((every[w] + 0.5) / (n + 0.5 * (v + 1))) for w in ws), score))
     return out
+
+
+def solve(a, b):
+    """x of a x = b (several right sides), by elimination with pivots."""
+    n = len(a)
+    m = [list(r) + list(s) for r, s in zip(a, b)]
+    for i in range(n):
+        p = max(range(i, n), key=lambda k: abs(m[k][i]))
+        m[i], m[p] = m[p], m[i]
+        for k in range(i + 1, n):
+            if f := m[k][i] / m[i][i]:
+                for j in range(i, len(m[i])):
+                    m[k][j] -= f * m[i][j]
+    for i in reversed(range(n)):
+        for j in range(n, len(m[i])):
+            m[i][j] = (m[i][j] - sum(m[i][k] * m[k][j] for k in range(i + 1, n))) / m[i][i]
+    return [r[n:] for r in m]
+
+
+def toxicity_scores(rows, labels):
+    """{doc_id: score} for distinct ids, at most PER_CLASS labels of each class; labels: {doc_id: 0 or 1}."""
+    import math
+    import zlib
+
+    crc = lambda s: zlib.crc32(s.encode())
+    top = 1 << 64
+
+    def slots(t):
+        c, found = [ord(x) for x in lower(t)], set()
+        for n in (4, 5, 6):
+            for i in range(len(c) - n + 1):
+                code = 0
+                for x in c[i : i + n]:
+                    code = (code * 0xC2B2AE3D27D4EB4F + x) % top
+                found.add((code + n) * 0x9E3779B97F4A7C15 % top >> 44)
+        return found
+
+    known = {d: y for d, y in labels.items() if crc(str(d)) % 5 != 0}
+    share = sum(known.values()) / len(known)
+    sets = {d: slots(t) for d, t in rows}
+    aside = {d for d in known if crc(f"aside{d}") % 4 == 3}
+    assert min(sum(known[d] == c for d in aside) for c in (0, 1)) >= 5
+    train = [d for d in known if d not in aside]
+    n = [sum(known[d] == c for d in train) for c in (0, 1)]
+    count = [Counter(s for d in train if known[d] == c for s in sets[d]) for c in (0, 1)]
+    ratio = {}
+    for s in count[0] | count[1]:
+        if count[0][s] + count[1][s] >= 4:
+            v = math.log((count[1][s] + 1) / (n[1] + 2)) - math.log((count[0][s] + 1) / (n[0] + 2))
+            if v:
+                ratio[s] = v
+    texts = [sorted(sets[d] & ratio.keys()) for d in train]
+    size = sum(math.sqrt(max(1, sum(ratio[s] ** 2 for s in t))) for t in texts) / len(texts)
+    w, b = dict.fromkeys(ratio, 0.0), 0.0
+    mw, vw, mb, vb = dict.fromkeys(ratio, 0.0), dict.fromkeys(ratio, 0.0), 0.0, 0.0
+    logistic = lambda z: 1 / (1 + math.exp(-max(-500, min(500, z))))
+    for step in range(1, 151):
+        g = [(logistic(sum(w[s] * ratio[s] / size for s in t) + b) - known[d]) / len(train) for d, t in zip(train, texts)]
+        gw = {s: 1 / len(train) * x / 100 for s, x in w.items()}
+        for x, t in zip(g, texts):
+            for s in t:
+                gw[s] += x * ratio[s] / size
+        k = 0.05 * math.sqrt(1 - 0.99**step) / (1 - 0.9**step)
+        for s, x in gw.items():
+            mw[s] = 0.9 * mw[s] + 0.1 * x
+            vw[s] = 0.99 * vw[s] + 0.01 * x * x
+            w[s] -= k * mw[s] / (math.sqrt(vw[s]) + 1e-8)
+        mb, vb = 0.9 * mb + 0.1 * sum(g), 0.99 * vb + 0.01 * sum(g) ** 2
+        b -= k * mb / (math.sqrt(vb) + 1e-8)
+    z = {d: sum(w[s] * ratio[s] / size for s in sets[d] & ratio.keys()) + b for d, _ in rows}
+    held = sorted(aside)
+    ones = sum(known[d] for d in held)
+    zeros = len(held) - ones
+    mean = sum(z[d] for d in held) / len(held)
+    spread = max(1e-9, math.sqrt(sum((z[d] - mean) ** 2 for d in held) / len(held)))
+    t = [1.0, 0.0]
+    for _ in range(100):
+        h, g = [[1e-3, 0.0], [0.0, 1e-3]], [1e-3 * t[0], 1e-3 * t[1]]
+        for d in held:
+            x = (z[d] / spread, 1.0)
+            q = logistic(x[0] * t[0] + t[1])
+            weight = (3.0 * share / ones if known[d] else (1 - share) / zeros) * len(held)
+            target = (ones + 1) / (ones + 2) if known[d] else 1 / (zeros + 2)
+            for i in (0, 1):
+                g[i] += x[i] * weight * (q - target)
+                for j in (0, 1):
+                    h[i][j] += x[i] * x[j] * weight * q * (1 - q)
+        move = [r[0] for r in solve(h, [[g[0]], [g[1]]])]
+        most = max(map(abs, move))
+        t = [a - m / max(1.0, most) for a, m in zip(t, move)]
+        if most < 1e-9:
+            break
+    return {d: logistic(z[d] * t[0] / spread + t[1]) for d in z}
+
+
+def languages(rows, landmarks):
+    """{doc_id: (language, score)} for distinct ids; rows: (doc_id, text, lang), all of them in the sample if their fold is."""
+    import math
+    import zlib
+
+    factor = {2: 0x9E3779B97F4A7C15, 3: 0xC2B2AE3D27D4EB4F, 4: 0x165667B19E3779F9}
+
+    def slots(t):
+        c = lower(t).encode()
+        return {int.from_bytes(c[i : i + n]) * f % (1 << 64) >> 48 for n, f in factor.items() for i in range(len(c) - n + 1)}
+
+    sets = {d: slots(t) for d, t, _ in rows}
+    lang = {d: k for d, t, k in rows if k is not None and t is not None and zlib.crc32(str(d).encode()) % 3 != 1}
+    order = sorted(lang, key=lambda d: d * 0x9E3779B97F4A7C15 % (1 << 64))
+    names = sorted(set(lang.values()))
+    norm = {d: math.sqrt(max(1, len(s))) for d, s in sets.items()}
+    kernel = lambda a, b: len(sets[a] & sets[b]) / (norm[a] * norm[b])
+    marks = [d for k in names for d in [x for x in order if lang[x] == k][: max(1, landmarks // len(names))]]
+    balance = {d: len(order) / (len(names) * sum(x == lang[d] for x in lang.values())) for d in order}
+    k = {d: [kernel(d, m) for m in marks] for d in order}
+    left = [[sum(balance[d] * k[d][i] * k[d][j] for d in order) + kernel(marks[i], marks[j]) + (1e-6 if i == j else 0) for j in range(len(marks))] for i in range(len(marks))]
+    right = [[sum(balance[d] * k[d][i] for d in order if lang[d] == x) for x in names] for i in range(len(marks))]
+    dual = solve(left, right)
+    out = {}
+    for d, t, _ in rows:
+        s = [sum(kernel(d, m) * a[j] for m, a in zip(marks, dual)) for j in range(len(names))]
+        best = max(range(len(names)), key=lambda j: (s[j], -j))
+        out[d] = (names[best], min(1.0, max(0.0, s[best]))) if any(map(str.isalpha, t or "")) else ("und", 0.0)
+    return out

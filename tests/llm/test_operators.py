@@ -397,3 +397,43 @@ def test_nothing_changes_when_sides_are_too_large_to_broadcast(docs, monkeypatch
     small = [sorted(f(docs).collect(), key=repr) for f in runs]
     monkeypatch.setattr(common, "BROADCAST_ROWS", -1)
     assert [sorted(f(docs).collect(), key=repr) for f in runs] == small
+
+
+def test_toxicity_against_plain_python(spark):
+    rng = random.Random(14)
+    bad = ["idiotisch", "scum", "VILE", "wrétch"]
+    rows = [(i, " ".join(rng.choice(bad) if i % 3 == 0 and rng.random() < 0.15 else text_of(rng, rng.choice(["en", "de"]), 1) for _ in range(25))) for i in range(200)] + [(200, None), (201, "")]
+    labels = {i: int(i % 3 == 0) for i in range(160)}
+    want = brute.toxicity_scores(rows, labels)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, spark.createDataFrame(list(labels.items()), "doc_id bigint, toxic int")).collect()}
+    assert got.keys() == want.keys()
+    for d, score in want.items():
+        assert got[d] == pytest.approx(score, abs=1e-6)
+
+
+def test_language_against_plain_python(spark):
+    rng = random.Random(15)
+    rows = [(i, text_of(rng, lang := rng.choice(["de", "en", "fr", "xx"]), rng.randrange(1, 12)), lang if i % 9 else None) for i in range(200)] + [(200, None, "en"), (201, "12 34", "de")]
+    want = brute.languages(rows, 24)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.language(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), landmarks=24).collect()}
+    assert got.keys() == want.keys()
+    for d, (lang, score) in want.items():
+        assert got[d][0] == lang and got[d][1] == pytest.approx(score, abs=1e-6), d
+
+
+def test_ids_with_very_many_rows_are_learned_from_once(spark):
+    """One id in a third of the rows is one text of the sample."""
+    rng = random.Random(16)
+    rows = [(i, text_of(rng, lang := rng.choice(["de", "en"]), 12), lang) for i in range(150)] + [(2, text_of(rng, "de", 12), "de") for _ in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    smallest = {}
+    for d, t, lang in sorted(rows):
+        smallest.setdefault(d, (t, lang))
+    once = spark.createDataFrame([(d, *v) for d, v in smallest.items()], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(150)], "doc_id bigint, toxic int")
+    fold = F.crc32(F.col("doc_id").cast("string"))
+    a, b = (toxicity.train(d, labels.filter(fold % 5 != 0)) for d in (docs, once))
+    assert a.bias == b.bias and (a.weight == b.weight).all()
+    a, b = (langid.train(d.filter(fold % 3 != 1)) for d in (docs, once))
+    assert a.langs == b.langs and a.weights == pytest.approx(b.weights, abs=1e-6)

@@ -6,11 +6,11 @@ a bounded, hash-chosen sample of labelled rows; one-versus-rest kernel ridge reg
 A text's kernel values against all landmarks, times the dual weights, are one matrix product per batch: the landmark
 vectors and the weights are multiplied once beforehand, and a text's own norm is a factor.
 
-Bound: at most ``SAMPLE`` labelled rows are learned from (about equally many of each language, chosen by a hash of the
-id) and ``LANDMARKS`` of them are landmarks; their bit vectors (8 kB each) are what the driver gathers. The number of
-languages is taken to be small (hundreds).
+Bound: at most about ``SAMPLE`` labelled ids are learned from (about equally many of each language, chosen by a hash of
+the id, one text each) and ``LANDMARKS`` of them are landmarks; their bit vectors (8 kB each) are what the driver
+gathers. More than ``LANGUAGES`` languages are an error.
 
-Cases: null text, no letter, or nothing to learn from: ``und`` with score 0; null lang is not learned from; repeated
+Cases: of several rows with one id the smallest text is learned from; null text, no letter, or nothing to learn from: ``und`` with score 0; null lang is not learned from; repeated
 rows and null ids give a row each; ties go to the language that sorts first.
 """
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import batches, utf8
 
-SAMPLE, LANDMARKS, SPACE = 2000, 256, 1 << 16
+SAMPLE, LANDMARKS, LANGUAGES, SPACE = 2000, 256, 1000, 1 << 16
 RIDGE = 1.0
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += np.uint64(32)
@@ -59,7 +59,9 @@ def _blocks(it, rows: int = 128):
 
 def sample_of(labelled: DataFrame, label: str, bound: int) -> DataFrame:
     """About ``bound`` rows, equally many of each label where there are so many, by a hash of doc_id; rows are narrow here."""
-    sizes = {r[0]: r[1] for r in labelled.groupBy(label).count().collect()}
+    sizes = {r[0]: r[1] for r in labelled.groupBy(label).count().limit(LANGUAGES + 1).collect()}
+    if len(sizes) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} different values of {label}")
     if not sizes:
         return labelled.limit(0)
     each = bound / len(sizes)
@@ -81,24 +83,24 @@ def fit(bits: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge: f
     names = sorted(set(langs))
     if not names:
         return Model([], np.zeros((SPACE, 0), np.float32))
-    norm = np.sqrt(np.maximum(bits.sum(1, dtype=np.int64), 1)).astype(np.float32)
+    norm = np.sqrt(np.maximum(bits.sum(1, dtype=np.int64), 1))
     by = {k: [i for i, x in enumerate(langs) if x == k] for k in names}
     chosen = [i for k in names for i in by[k][: max(1, landmarks // len(names))]]
-    marks = bits[chosen].astype(np.float32) / norm[chosen][:, None]
-    k_nm = np.vstack([(bits[i : i + 256].astype(np.float32) / norm[i : i + 256][:, None]) @ marks.T for i in range(0, len(bits), 256)]).astype(np.float64)
+    marks = bits[chosen].astype(np.float32)  # shared n-grams are whole numbers, exact in single precision
+    k_nm = np.vstack([bits[i : i + 256].astype(np.float32) @ marks.T for i in range(0, len(bits), 256)]) / (norm[:, None] * norm[chosen][None, :])
     k_mm = k_nm[chosen]
     y = np.array([[x == k for k in names] for x in langs], np.float64)
     balance = np.array([len(langs) / (len(names) * len(by[x])) for x in langs])
     left = k_nm.T @ (k_nm * balance[:, None]) + ridge * k_mm + 1e-6 * np.eye(len(chosen))
     dual = np.linalg.solve(left, k_nm.T @ (y * balance[:, None]))
-    return Model(names, (marks.T.astype(np.float64) @ dual).astype(np.float32))
+    return Model(names, (marks.T.astype(np.float64) @ (dual / norm[chosen][:, None])).astype(np.float32))
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS) -> Model:
     """``docs``: doc_id, text, lang of the rows that may be learned from."""
     known = docs.filter("lang is not null and text is not null")
     chosen = sample_of(known.select("doc_id", "lang"), "lang", sample).select("doc_id").distinct()
-    rows = known.join(F.broadcast(chosen), "doc_id", "left_semi").select("doc_id", "text", "lang")  # at most about `sample` ids
+    rows = known.join(F.broadcast(chosen), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("m")).select("doc_id", "m.text", "m.lang")  # at most about `sample` ids
 
     def bits(it):
         for b in _blocks(it):
