@@ -103,18 +103,19 @@ def state(obs: DataFrame, states: DataFrame, by: list[str], fresh_hours: float =
     values are null when the latest report is older than ``fresh_hours``; its age and the day's maximum stay.
     """
     from tidemark.operators.asof import asof_join, last_two
+    from tidemark.operators.joins import small
 
     stations = obs.select(*by).distinct()
     us = F.unix_micros
     more = [c for c in MORE if c in obs.columns]
     o = obs.filter("observation_time is not null").select(*by, us("observation_time").alias("at"), "temperature_f", *more)
-    s = states.select("state_id", us("query_time").alias("t"), us("day_start").alias("from_us"), us("day_end").alias("to_us")).crossJoin(F.broadcast(stations))  # stations are a dimension; the product is the result
+    s = states.select("state_id", us("query_time").alias("t"), us("day_start").alias("from_us"), us("day_end").alias("to_us")).crossJoin(small(stations))  # stations are a dimension; the product is the result
     two = last_two(s, o, by, "t", "at")
     hour = asof_join(two.withColumn("back", F.col("latest.at") - 3_600_000_000), o, by, "back", "at", to="hour_ago")
     age = F.col("t") - F.col("latest.at")
     fresh = age <= int(fresh_hours * 3_600_000_000)
     # the day's maximum so far: running maxima per station and day, then one more as-of look
-    day = o.join(F.broadcast(states.select(us("day_start").alias("from_us"), us("day_end").alias("to_us")).distinct()), (F.col("at") >= F.col("from_us")) & (F.col("at") < F.col("to_us")))
+    day = o.join(small(states.select(us("day_start").alias("from_us"), us("day_end").alias("to_us")).distinct()), (F.col("at") >= F.col("from_us")) & (F.col("at") < F.col("to_us")))
     from pyspark.sql import Window
 
     w = Window.partitionBy(*by, "from_us").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)

@@ -68,12 +68,25 @@ def _time_of(struct: str, c: str, right: DataFrame) -> Column:
     return F.col(f"{struct}.{c}").cast("long") if dict(right.dtypes)[c] in ("bigint", "int") else us(F.col(f"{struct}.{c}"))
 
 
-def last_two(left: DataFrame, right: DataFrame, by: list[str], time: str, right_time: str, tie: list[str] | None = None, to: tuple[str, str] = ("latest", "previous")) -> DataFrame:
+def with_predecessor(df: DataFrame, by: list[str], time: str, tie: list[str], bucket: int = BUCKET, to: str = "__before") -> DataFrame:
+    """Each row with the struct of the row before it in its key, by ``time`` and ``tie``; null times come first.
+
+    Keys are cut by time buckets: only a bucket's first row looks at the last row of the bucket before, one row each.
+    """
+    own, names = F.struct(*[F.col(f"`{c}`") for c in df.columns]), [f"__k{i}" for i in range(len(by))]
+    order = F.struct(F.col("__t").isNotNull().alias("known"), "__t", *[F.col(f"`{c}`") for c in tie])
+    d = df.select("*", own.alias("__own"), _time(df, time).alias("__t"), *[F.col(f"`{c}`").alias(n) for c, n in zip(by, names, strict=True)]).withColumn("__b", F.floor(F.col("__t") / bucket)).withColumn("__o", order)
+    inside = d.withColumn("__in", F.lag("__own").over(Window.partitionBy(*names, "__b").orderBy("__o")))
+    ends = d.groupBy(*names, "__b").agg(F.max_by("__own", "__o").alias("__end"))
+    carry = ends.select(*[F.col(n).alias(f"{n}_") for n in names], F.col("__b").alias("__b_"), F.lag("__end").over(Window.partitionBy(*names).orderBy(F.col("__b").asc_nulls_first())).alias("__carry"))
+    both = inside.join(carry, [F.col("__b").eqNullSafe(F.col("__b_")), *[F.col(n).eqNullSafe(F.col(f"{n}_")) for n in names]], "left")
+    return both.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce("__in", "__carry").alias(to))
+
+
+def last_two(left: DataFrame, right: DataFrame, by: list[str], time: str, right_time: str, tie: list[str] | None = None, to: tuple[str, str] = ("latest", "previous"), bucket_us: int = BUCKET) -> DataFrame:
     """The latest and the one before it: each right row first carries its own predecessor, so one as-of join serves both."""
-    w = Window.partitionBy(*by).orderBy(right_time, *(tie or []))
-    own = F.struct(*[F.col(f"`{c}`") for c in right.columns])
-    paired = right.withColumn("__before", F.lag(own).over(w))
-    out = asof_join(left, paired, by, time, right_time, tie=tie, to="__m")
+    paired = with_predecessor(right, by, right_time, tie or [], bucket_us)
+    out = asof_join(left, paired, by, time, right_time, tie=tie, to="__m", bucket_us=bucket_us)
     fields = [F.col(f"__m.`{c}`").alias(c) for c in right.columns]
     return out.select(*left.columns, F.when(F.col("__m").isNotNull(), F.struct(*fields)).alias(to[0]), F.col("__m.__before").alias(to[1]))
 

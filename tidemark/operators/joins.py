@@ -46,7 +46,7 @@ def interval_join(points: DataFrame, intervals: DataFrame, at: str, start: str,
 
 def with_zero_days(daily: DataFrame, calendar: DataFrame, entities: DataFrame, day: str, counts: list[str]) -> DataFrame:
     """Every entity on every day of the calendar; days without rows have 0."""
-    grid = entities.crossJoin(F.broadcast(calendar))  # the calendar is days, the product is the result itself
+    grid = entities.crossJoin(small(calendar))  # the product is the result itself
     keys = [*entities.columns, day]
     return grid.join(daily, keys, "left").select(*keys, *[F.coalesce(c, F.lit(0)).alias(c) for c in counts])
 

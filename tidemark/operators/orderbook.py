@@ -9,12 +9,15 @@ worthless too. As levels are sums, a book is a sum over the valid deltas of its
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.windows import prefix_max, sequence_flags
+from tidemark.operators.windows import prefix, prefix_max, prefix_sum, sequence_flags
+from tidemark.sources.sinks import staged
 
 SIZE = "decimal(18,2)"
+#: Arrivals of a stretch: what one window holds of a market, however active it is.
+STRETCH = 1 << 20
 
 
 def flagged(messages: DataFrame) -> DataFrame:
@@ -29,19 +32,19 @@ def segments(messages: DataFrame) -> DataFrame:
 
     Pending: after a gap, a disconnection or an impossible delta, before the next snapshot.
     """
-    f = flagged(messages).filter(F.coalesce(F.col("flag") != "DUPLICATE_OR_OLD", F.lit(True)))
+    f = flagged(staged(messages)).filter(F.coalesce(F.col("flag") != "DUPLICATE_OR_OLD", F.lit(True)))
     gap = F.when((F.col("flag") == "GAP") | (F.col("type") == "disconnect"), F.col("ord"))
-    book = prefix_max(f, ["sid"], "ord", gap, "broken", 1 << 20).filter(F.col("type").isin("orderbook_snapshot", "orderbook_delta"))
-    w = Window.partitionBy("sid", "market_ticker").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
+    book = staged(prefix_max(staged(f), ["sid"], "ord", gap, "broken", STRETCH).filter(F.col("type").isin("orderbook_snapshot", "orderbook_delta")))
     snap = F.col("type") == "orderbook_snapshot"
-    book = book.withColumn("segment_id", F.count(F.when(snap, 1)).over(w)).withColumn("started", F.max(F.when(snap, F.col("ord"))).over(w))
+    book = prefix(book, ["sid", "market_ticker"], "ord", {"segment_id": (F.when(snap, 1), "sum"), "started": (F.when(snap, F.col("ord")), "max")}, STRETCH)
+    book = staged(book)
     alive = F.col("started").isNotNull() & (F.col("broken").isNull() | (F.col("broken") < F.col("started")))
     book = book.withColumn("alive", alive)
     # running sums of the levels find the first delta of a segment that would go below zero
     first = book.filter(snap).select("sid", "market_ticker", "segment_id", "ord", F.explode("levels").alias("l")).select("sid", "market_ticker", "segment_id", "ord", F.col("l.side").alias("side"), F.col("l.price").alias("price"), F.col("l.size").cast(SIZE).alias("delta"))
     later = book.filter(~snap & F.col("alive")).select("sid", "market_ticker", "segment_id", "ord", "side", "price", F.col("delta").cast(SIZE).alias("delta"))
-    level = Window.partitionBy("sid", "market_ticker", "segment_id", "side", "price").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
-    bad = first.unionByName(later).withColumn("size", F.sum("delta").over(level)).filter("size < 0").groupBy("sid", "market_ticker", "segment_id").agg(F.min("ord").alias("bad"))
+    sizes = prefix_sum(staged(first.unionByName(later)), ["sid", "market_ticker", "segment_id", "side", "price"], "ord", F.col("delta"), "size", STRETCH)
+    bad = sizes.filter("size < 0").groupBy("sid", "market_ticker", "segment_id").agg(F.min("ord").alias("bad"))
     out = book.join(bad, ["sid", "market_ticker", "segment_id"], "left")
     state = F.when(snap, "applied").when(F.col("started").isNull(), "no_snapshot").when(~F.col("alive") | (F.col("ord") > F.col("bad")), "pending").when(F.col("ord") == F.col("bad"), "negative").otherwise("applied")
     return out.select("sid", "ord", "type", "market_ticker", "side", "price", "delta", "levels", "segment_id", state.alias("state"))
@@ -49,8 +52,8 @@ def segments(messages: DataFrame) -> DataFrame:
 
 def levels(segmented: DataFrame) -> DataFrame:
     """Sizes of the levels in each market's last segment; emptied levels are gone."""
-    last = Window.partitionBy("sid", "market_ticker")
-    now = segmented.withColumn("top", F.max("segment_id").over(last)).filter((F.col("segment_id") == F.col("top")) & (F.col("segment_id") > 0) & (F.col("state") == "applied"))
+    last = segmented.groupBy("sid", "market_ticker").agg(F.max("segment_id").alias("segment_id")).filter("segment_id > 0")
+    now = segmented.filter("state = 'applied'").join(last, ["sid", "market_ticker", "segment_id"], "left_semi")
     first = now.filter("type = 'orderbook_snapshot'").select("sid", "market_ticker", "segment_id", F.explode("levels").alias("l")).select("sid", "market_ticker", "segment_id", F.col("l.side").alias("side"), F.col("l.price").alias("price"), F.col("l.size").cast(SIZE).alias("delta"))
     later = now.filter("type = 'orderbook_delta'").select("sid", "market_ticker", "segment_id", "side", "price", F.col("delta").cast(SIZE).alias("delta"))
     return first.unionByName(later).groupBy("sid", "market_ticker", "segment_id", "side", "price").agg(F.sum("delta").alias("size")).filter("size <> 0")
@@ -58,6 +61,7 @@ def levels(segmented: DataFrame) -> DataFrame:
 
 def books(segmented: DataFrame) -> DataFrame:
     """One row per market: segment, deltas applied in it, best bids, numbers of levels, and whether it can be trusted now."""
+    segmented = staged(segmented)
     l = levels(segmented)  # noqa: E741
     best = l.groupBy("sid", "market_ticker").agg(F.max(F.when(F.col("side") == "yes", F.col("price"))).alias("best_yes_bid"), F.max(F.when(F.col("side") == "no", F.col("price"))).alias("best_no_bid"), F.count(F.when(F.col("side") == "yes", 1)).alias("n_yes_levels"), F.count(F.when(F.col("side") == "no", 1)).alias("n_no_levels"))
     top = segmented.groupBy("sid", "market_ticker", "segment_id").agg(F.count(F.when((F.col("type") == "orderbook_delta") & (F.col("state") == "applied"), 1)).alias("n_deltas"), F.max(F.when(F.col("state").isin("pending", "negative"), 1)).alias("lost"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import local_day_bounds
+from tidemark.operators.joins import small
 
 #: Availability kinds, run states, members an ensemble must have.
 S3_PROXY, OBSERVATION_ONLY, ISSUANCE_ONLY, UNKNOWN = "S3_LAST_MODIFIED_PROXY", "OBSERVATION_TIME_ONLY", "ISSUANCE_TIME_ONLY", "UNKNOWN"
@@ -79,7 +80,7 @@ def expected_points(runs: DataFrame, days: DataFrame, schedule: DataFrame) -> Da
 
     ``runs``: (source, run_time); ``days``: (day, day_start, day_end). Only days that a run's schedule can reach are met.
     """
-    at = runs.withColumn("run_hour", F.hour("run_time")).join(F.broadcast(schedule), ["source", "run_hour"])
+    at = runs.withColumn("run_hour", F.hour("run_time")).join(small(schedule), ["source", "run_hour"])
     points = at.withColumn("valid_time", F.timestamp_add("HOUR", F.col("forecast_hour"), F.col("run_time")))
     near = F.explode(F.sequence(F.date_sub(F.to_date("valid_time"), 1), F.to_date("valid_time")))
     keyed = points.withColumn("day", near).join(days.select("day", "day_start", "day_end").distinct(), "day")
@@ -89,7 +90,7 @@ def expected_points(runs: DataFrame, days: DataFrame, schedule: DataFrame) -> Da
 def in_day(rows: DataFrame, days: DataFrame) -> DataFrame:
     """Rows with the day they are valid for (half-open local days)."""
     near = F.explode(F.sequence(F.date_sub(F.to_date("valid_time"), 1), F.to_date("valid_time")))
-    keyed = rows.withColumn("day", near).join(F.broadcast(days.select("day", "day_start", "day_end").distinct()), "day")
+    keyed = rows.withColumn("day", near).join(small(days.select("day", "day_start", "day_end").distinct()), "day")
     return keyed.filter((F.col("valid_time") >= F.col("day_start")) & (F.col("valid_time") < F.col("day_end"))).drop("day_start", "day_end")
 
 
@@ -179,7 +180,7 @@ def work_plan(days: DataFrame, sources: DataFrame, schedule: DataFrame, lead_day
     ``sources``: (source, run_hour). Points are needed if they fall into one of the days.
     """
     near = days.select(F.explode(F.sequence(F.date_sub("day", lead_days), F.col("day"))).alias("run_day")).distinct()
-    runs = near.crossJoin(F.broadcast(sources)).select("source", F.timestamp_add("HOUR", F.col("run_hour"), F.col("run_day").cast("timestamp")).alias("run_time"))
+    runs = near.crossJoin(small(sources)).select("source", F.timestamp_add("HOUR", F.col("run_hour"), F.col("run_day").cast("timestamp")).alias("run_time"))
     return expected_points(runs, days, schedule).select("source", "run_time", "forecast_hour").distinct()
 
 
@@ -194,7 +195,7 @@ def coverage(run_times: DataFrame, days: DataFrame, schedule: DataFrame) -> Data
     points = expected_points(run_times, days, schedule)
     length = days.select("day", ((F.unix_micros("day_end") - F.unix_micros("day_start")) / 3.6e9).cast("int").alias("day_hours")).distinct()
     agg = points.groupBy("source", "run_time", "day").agg(F.countDistinct("valid_time").alias("hours"), F.min("forecast_hour").alias("first_hour"), F.max("forecast_hour").alias("last_hour"))
-    return agg.join(F.broadcast(length), "day").withColumn("full_coverage", F.col("hours") == F.col("day_hours"))
+    return agg.join(small(length), "day").withColumn("full_coverage", F.col("hours") == F.col("day_hours"))
 
 
 def local_days(days: DataFrame) -> DataFrame:

@@ -57,18 +57,31 @@ def unsorted_rows(df: DataFrame, by: list[str], arrival: str, time: str) -> Data
     return df.withColumn("before", F.max(time).over(over(by, [arrival]).rowsBetween(Window.unboundedPreceding, -1))).filter(F.col(time) < F.col("before"))
 
 
-def prefix_max(df: DataFrame, by: list[str], order: str, value: Column, to: str, width: int, inclusive: bool = True) -> DataFrame:
-    """Running maximum along a whole-number ``order``, cut into stretches of ``width``.
+def prefix(df: DataFrame, by: list[str], order: str, values: dict[str, tuple[Column, str]], width: int, inclusive: bool = True) -> DataFrame:
+    """Running maxima and sums along a whole-number ``order``, cut into stretches of ``width``.
 
-    A stretch is a small window of its own, and what it inherits is one row per key and stretch: a key that holds much of
-    the data isn't one task's. Without ``inclusive`` the row itself doesn't count.
+    ``values``: new column -> (value, "max" or "sum"); nulls don't count, a sum of nothing is 0. A stretch is a small window
+    of its own, and what it inherits is one row per key and stretch: a key that holds much of the data isn't one task's.
+    Without ``inclusive`` the row itself doesn't count.
     """
-    d = df.withColumn("__v", value).withColumn("__b", F.floor(F.col(order) / width))
-    inside = d.withColumn("__in", F.max("__v").over(over([*by, "__b"], [order]).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)))
-    ends = d.groupBy(*by, "__b").agg(F.max("__v").alias("__end"))
-    carry = ends.select(*[F.col(c).alias(f"__{c}") for c in by], F.col("__b").alias("__cb"), F.max("__end").over(over(by, ["__b"]).rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"))
+    kinds = {"max": (F.max, F.greatest), "sum": (F.sum, lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))}
+    d = df.withColumns({f"__v_{c}": v for c, (v, _) in values.items()} | {"__b": F.floor(F.col(order) / width)})
+    w = over([*by, "__b"], [order]).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    inside = d.withColumns({f"__in_{c}": kinds[k][0](f"__v_{c}").over(w) for c, (_, k) in values.items()})
+    ends = d.groupBy(*by, "__b").agg(*[kinds[k][0](f"__v_{c}").alias(f"__end_{c}") for c, (_, k) in values.items()])
+    past = over(by, ["__b"]).rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.select(*[F.col(c).alias(f"__{c}") for c in by], F.col("__b").alias("__cb"), *[kinds[k][0](f"__end_{c}").over(past).alias(f"__carry_{c}") for c, (_, k) in values.items()])
     on = [F.col("__b") == F.col("__cb"), *[F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]]
-    return inside.join(carry, on, "left").withColumn(to, F.greatest("__in", "__carry")).drop("__v", "__b", "__in", "__cb", "__carry", *[f"__{c}" for c in by])
+    out = inside.join(carry, on, "left").withColumns({c: kinds[k][1](F.col(f"__in_{c}"), F.col(f"__carry_{c}")) for c, (_, k) in values.items()})
+    return out.drop("__b", "__cb", *[f"__{c}" for c in by], *[f"__{x}_{c}" for c in values for x in ("v", "in", "carry")])
+
+
+def prefix_max(df: DataFrame, by: list[str], order: str, value: Column, to: str, width: int, inclusive: bool = True) -> DataFrame:
+    return prefix(df, by, order, {to: (value, "max")}, width, inclusive)
+
+
+def prefix_sum(df: DataFrame, by: list[str], order: str, value: Column, to: str, width: int) -> DataFrame:
+    return prefix(df, by, order, {to: (value, "sum")}, width)
 
 
 def sequence_flags(df: DataFrame, stream: str, order: str, seq: str, width: int = 1 << 20) -> DataFrame:

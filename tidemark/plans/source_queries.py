@@ -9,13 +9,13 @@ from tidemark.functions.grib import object_key
 from tidemark.plans.registry import query
 from tidemark.sources import connector, files, sinks
 from tidemark.sources.tables import events, table
-from tidemark.streaming.runs import work_dir
+from tidemark.sources.sinks import shared_dir
 
 
 @query("SELECT year(o_orderdate)::INT AS year, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE year(o_orderdate) >= 1996 GROUP BY ALL")
 def source_yearly_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written as ``year=YYYY/`` and read again; only the asked years' folders are opened."""
-    path = f"{work_dir(spark)}/orders"
+    path = f"{shared_dir(spark)}/orders"
     sinks.yearly(table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate")), path)
     return files.by_year(spark, path).filter("year >= 1996").groupBy("year").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
@@ -33,7 +33,7 @@ def source_station_csv_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stations(spark: SparkSession, e: DataFrame) -> DataFrame:
-    path = f"{work_dir(spark)}/stations"
+    path = f"{shared_dir(spark)}/stations"
     rows = e.select(F.col("event_id").cast("string").alias("SOURCE"), F.concat(F.lit("+0"), (F.col("event_id") % 400 + 100).cast("string"), F.lit(",1")).alias("TMP"))
     rows.write.csv(path, header=True)
     return files.station_years(spark, [path, f"{path}-1999"]).select("SOURCE", "TMP", "VIS")
@@ -42,7 +42,7 @@ def _stations(spark: SparkSession, e: DataFrame) -> DataFrame:
 @query("SELECT user_id::VARCHAR AS market_ticker, arg_min(epoch_us(ts), ts) // 1000 AS first_ms, count(*) AS n FROM events WHERE event_type = 'signup' GROUP BY user_id")
 def source_replay_first_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recorded JSON lines: the first snapshot of each market."""
-    path = f"{work_dir(spark)}/replay"
+    path = f"{shared_dir(spark)}/replay"
     kind = F.when(F.col("event_type") == "signup", "orderbook_snapshot").otherwise("trade")
     inner = F.to_json(F.struct(kind.alias("type"), F.lit(1).alias("sid"), F.struct(F.col("user_id").cast("string").alias("market_ticker"), F.array(F.array(F.lit("0.10"), F.lit("5"))).alias("yes_dollars_fp")).alias("msg")))
     events(spark, sf_dir).select(F.to_json(F.struct((F.floor(F.col("us") / 1000) / 1000).alias("local_receive_timestamp"), inner.alias("raw_message"))).alias("value")).write.text(path)
@@ -54,7 +54,7 @@ def source_replay_first_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT 'c' || o_custkey AS event_ticker, count(*)::INT AS n_markets, count(*) FILTER (o_orderstatus = 'F') AS n_yes, round(max(o_totalprice), 2) AS best FROM orders GROUP BY ALL")
 def source_event_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested event files: one row per market, and sums over them."""
-    path = f"{work_dir(spark)}/tree"
+    path = f"{shared_dir(spark)}/tree"
     m = F.struct(F.col("o_orderkey").cast("string").alias("ticker"), F.when(F.col("o_orderstatus") == "F", "yes").otherwise("no").alias("result"), F.col("o_totalprice").cast("string").alias("settlement_value_dollars"))
     o = table(spark, sf_dir, "orders")
     o.groupBy(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("event_ticker")).agg(F.collect_list(m).alias("markets")).write.json(path)
@@ -65,7 +65,7 @@ def source_event_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT sum(octet_length(encode(coalesce(text, ''))))::BIGINT AS bytes, count(*) AS n FROM documents WHERE doc_id % 100 = 1 AND text IS NOT NULL")
 def source_file_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of a hundredth of the documents, as in the twin, written as a file, then its size; all, and hashes: ``source_file_hashes_all``."""
-    path = f"{work_dir(spark)}/texts"
+    path = f"{shared_dir(spark)}/texts"
     d = table(spark, sf_dir, "documents").filter("doc_id % 100 = 1 and text is not null")
     d.select(F.replace("text", F.lit("\n"), F.lit(" ")).alias("value")).coalesce(1).write.text(path, lineSep="|")
     h = sinks.file_hashes(spark, f"{path}/part-*")
@@ -75,7 +75,7 @@ def source_file_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""SELECT 'part=' || coalesce((doc_id // 1000)::VARCHAR, 'none') AS folder, sum(octet_length(encode(coalesce(text, ''))) + 1)::BIGINT AS bytes, sha256(string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id, coalesce(text, ''))) AS sha256 FROM documents GROUP BY ALL""")
 def source_file_hashes_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text written unchanged, a file for each thousand of ids, then sizes and hashes of all files; a null text is an empty line."""
-    path = f"{work_dir(spark)}/texts"
+    path = f"{shared_dir(spark)}/texts"
     d = table(spark, sf_dir, "documents").select(F.coalesce(F.floor(F.col("doc_id") / 1000).cast("string"), F.lit("none")).alias("part"), "doc_id", F.coalesce("text", F.lit("")).alias("value"))
     d.repartition("part").sortWithinPartitions("part", "doc_id", "value").select("part", "value").write.option("maxRecordsPerFile", 0).partitionBy("part").text(path)
     return sinks.file_hashes(spark, f"{path}/*/part-*").select("folder", "bytes", "sha256")
@@ -111,7 +111,7 @@ def sink_day_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_resumed_work(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a second run still has to do: orders without a finished row."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    path = f"{work_dir(spark)}/done"
+    path = f"{shared_dir(spark)}/done"
     sinks.append(o.filter("o_orderkey % 3 = 0").withColumn("status", F.when(F.col("o_orderstatus") == "F", "failed").otherwise("ok")), path)
     done = sinks.done_table(spark.read.parquet(path), ["o_orderkey"])
     return o.join(done, "o_orderkey", "left_anti").select("o_orderkey")

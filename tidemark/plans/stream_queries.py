@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import orderbook
+from tidemark.operators.windows import prefix_sum
 from tidemark.plans.registry import query
+from tidemark.sources.sinks import shared_dir
 from tidemark.sources.tables import events
 from tidemark.streaming import books, runs
 
@@ -27,14 +29,11 @@ def messages_of(e: DataFrame) -> DataFrame:
 
 def numbered(e: DataFrame) -> DataFrame:
     """Sequence numbers by sid: one more each delta, two more where ``event_id % 197`` is 0; ``event_id % 101 = 0`` repeats an old one."""
-    from pyspark.sql import Window
-
     m = messages_of(e)
-    w = Window.partitionBy("sid").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
     d = F.col("type") == "orderbook_delta"
     old = F.col("ord") % 101 == 0
     step = F.when(d & ~old, F.when(F.col("ord") % 197 == 0, 2).otherwise(1)).otherwise(0)
-    return m.withColumn("seq", F.sum(step).over(w)).withColumn("seq", F.when(d, F.col("seq"))).drop("raw_seq")
+    return prefix_sum(m, ["sid"], "ord", step, "seq", orderbook.STRETCH).withColumn("seq", F.when(d, F.col("seq"))).drop("raw_seq")
 
 
 MESSAGES = """WITH e AS (SELECT event_id AS ord, user_id % 4 AS sid, 'm' || (user_id % 20) AS m, event_type = 'signup' AS snap, CASE WHEN event_type IN ('click', 'view') THEN 'yes' ELSE 'no' END AS side, (floor(value)::BIGINT % 7 + 1) AS p,
@@ -74,7 +73,7 @@ def orderbook_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(MESSAGES + "SELECT * FROM bk")
 def stream_orderbook(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same books by a stateful stream over message files."""
-    path = f"{runs.work_dir(spark)}/messages"
+    path = f"{shared_dir(spark)}/messages"
     numbered(events(spark, sf_dir)).write.parquet(path)
     source = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
     done = runs.finished(books.book_stream(source), "append")

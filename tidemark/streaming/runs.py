@@ -2,18 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-
-def work_dir(spark: SparkSession) -> str:
-    """A new folder that all executors share; a local one only where no shared folder is set (tests)."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="spark-tidemark-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+from tidemark.sources.sinks import shared_dir
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, files_per_batch: int = 64) -> DataFrame:
@@ -36,7 +29,7 @@ def finished(stream: DataFrame, mode: str) -> DataFrame:
 
     The sink overwrites a batch's own folder, so a batch that is run again after a failure doesn't double its rows.
     """
-    spark, path = stream.sparkSession, work_dir(stream.sparkSession)
+    spark, path = stream.sparkSession, shared_dir(stream.sparkSession)
 
     def put(df: DataFrame, batch: int) -> None:
         df.write.mode("overwrite").parquet(f"{path}/out/batch={batch}")
