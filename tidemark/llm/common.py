@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -18,9 +19,11 @@ BROADCAST_ROWS = 200_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; only where that is unset (tests) a local one is made."""
+    """A new folder below ``spark.checkpoint.dir``; where that is unset, a local one, but only if driver and executors are one process (tests)."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-tidemark-")
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
