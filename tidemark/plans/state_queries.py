@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import text
 from tidemark.operators import audit, market, orderbook, states
-from tidemark.plans import pit_queries
+from tidemark.operators.asof import with_predecessor
+from tidemark.plans import pit_queries, text_queries
 from tidemark.plans.registry import query
 from tidemark.sources.sinks import staged
 from tidemark.sources.tables import events, table
@@ -169,3 +171,33 @@ def capture_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How well each user's opening was caught, and how complete the capture is."""
     e = events(spark, sf_dir).groupBy("user_id").agg(F.min(F.when(F.col("event_type") == "signup", F.col("us"))).alias("first"), F.min("us").alias("opened"), F.countDistinct("event_type").alias("n"), F.max(F.col("event_type") == "error").alias("bad"))
     return e.select("user_id", orderbook.opening_capture(F.col("first"), F.col("opened"), F.col("n"), F.lit(5)).alias("opening"), orderbook.capture_completeness(F.col("first") > F.col("opened"), F.col("bad"), F.col("n") < 5).alias("completeness"))
+
+
+@query(f"WITH e AS (SELECT {STATION} AS station, epoch_us(ts) AS us, event_id, value FROM events), g AS (SELECT *, (us - lag(us) OVER (PARTITION BY station ORDER BY us, event_id)) / 60000000.0 AS gap FROM e) SELECT station, count(*) AS n, round(quantile_cont(gap, 0.5), 6) AS median_gap_minutes, round(quantile_cont(gap, 0.9), 6) AS p90_gap_minutes, max(gap) AS max_gap_minutes, count(*) - count(DISTINCT us) AS n_duplicates, round(100.0 * count(*) FILTER (value > 90) / count(*), 6) AS missing_pct FROM g GROUP BY station")
+def station_gap_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per station: gaps between reports, repeated times, share of values that are missing (here: above 90)."""
+    station = F.get(F.array(*map(F.lit, states.STATIONS.values())), (F.col("user_id") % 4).cast("int"))
+    e = events(spark, sf_dir).select(station.alias("station"), "us", "event_id", "value")
+    gap = (F.col("us") - F.col("before.us")) / 6e7
+    g = with_predecessor(e, ["station"], "us", ["event_id"], to="before").withColumn("gap", gap)
+    p = F.expr("percentile(gap, array(0.5, 0.9))")
+    out = g.groupBy("station").agg(F.count("*").alias("n"), p.alias("p"), F.max("gap").alias("max_gap_minutes"), (F.count("*") - F.countDistinct("us")).alias("n_duplicates"), F.round(100.0 * F.count(F.when(F.col("value") > 90, 1)) / F.count("*"), 6).alias("missing_pct"))
+    return out.select("station", "n", F.round(F.col("p")[0], 6).alias("median_gap_minutes"), F.round(F.col("p")[1], 6).alias("p90_gap_minutes"), "max_gap_minutes", "n_duplicates", "missing_pct")
+
+
+@query(f"WITH f AS (SELECT {NAMED} AS source, date_trunc('day', ts) AS run, date_trunc('day', ts) + INTERVAL (24 * k + 6 * (hour(ts) // 6)) HOUR AS valid, max(value) AS v FROM events, range(3) AS x(k) GROUP BY ALL) SELECT source, epoch_us(valid) AS valid_us, epoch_us(run) AS run_us, v AS temperature_f, round(v - lag(v) OVER (PARTITION BY source, valid ORDER BY run), 6) AS revision_f FROM f")
+def fixed_valid_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the forecast for one valid time changes from run to run; a group has the few runs that reach it."""
+    from tidemark.operators.windows import change
+
+    f = pit_queries.forecasts(spark, sf_dir)
+    model = F.get(F.array(*map(F.lit, MODELS)), F.substring("source", 2, 1).cast("int"))
+    v = f.groupBy(model.alias("source"), "valid_time", "run_time").agg(F.max("value").alias("temperature_f"))
+    return change(v, ["source", "valid_time"], ["run_time"], "temperature_f", "revision_f").select("source", F.unix_micros("valid_time").alias("valid_us"), F.unix_micros("run_time").alias("run_us"), "temperature_f", F.round("revision_f", 6).alias("revision_f"))
+
+
+@query(text_queries.BULLETIN_ALL_SQL + """, names AS (SELECT CASE WHEN position = 0 THEN 'HEADER' ELSE trim(string_split(piece, chr(2))[1]) END AS section_name FROM s WHERE position > 0 OR piece <> '') SELECT section_name, count(*) AS n FROM names GROUP BY ALL ORDER BY n DESC, section_name LIMIT 20""")
+def top_section_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty most frequent section names of all bulletins: a report of that length."""
+    s = text.sections(text_queries._all_bulletins(spark, sf_dir), "t", ["doc_id"])
+    return s.groupBy("section_name").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "section_name").limit(20)
