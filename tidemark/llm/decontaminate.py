@@ -183,7 +183,7 @@ class Tables:
         m, slot, shift = (found.column(c).to_numpy() for c in ("m", "slot", "shift"))
         tables = {}
         for size in sorted(set(m.tolist())):
-            tables[size] = np.full(SLOTS, size - min(block, size) + 1, np.int32)
+            tables[size] = np.full(SLOTS, size - min(block, size) + 1, np.min_scalar_type(size))
             tables[size][slot[m == size]] = shift[m == size]
         bit = F.pmod("h", F.lit(BITS))
         some = patterns.select(F.floor(bit / 32).alias("at"), F.expr(f"shiftleft(1L, cast(pmod(h, {BITS}) % 32 as int))").alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most BITS / 32 rows
