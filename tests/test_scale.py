@@ -71,3 +71,29 @@ def test_no_local_folder_on_a_cluster(spark):
 
     with pytest.raises(ValueError, match="checkpoint"):
         sinks.shared_dir(Session)
+
+
+def test_cursors_and_the_fallback(monkeypatch):
+    import sys
+    import types
+
+    from tidemark.sources import connector
+
+    feed = types.ModuleType("feed")
+    calls = []
+
+    def live(key, cursor, options):
+        calls.append((key, cursor))
+        if key == "old":
+            raise connector.TransportError(404)
+        at = int(cursor or 0)
+        return [(key, str(at + i)) for i in range(2)], str(at + 2) if at < 4 else ""
+
+    feed.live, feed.archive, feed.stuck = live, lambda key, cursor, options: ([(key, "kept")], None), lambda key, cursor, options: ([], "same")
+    monkeypatch.setitem(sys.modules, "feed", feed)
+    reader = connector.CursorReader({"keys": "a,old", "transport": "feed:live", "fallback": "feed:archive"})
+    got = [row for p in reader.partitions() for row in reader.read(p)]
+    assert got == [("a", str(i)) for i in range(6)] + [("old", "kept")] and calls == [("a", None), ("a", "2"), ("a", "4"), ("old", None)]
+    assert list(connector.CursorReader({"keys": "old", "transport": "feed:live"}).read(connector.Key("old"))) == []
+    with pytest.raises(RuntimeError, match="twice"):
+        list(connector.CursorReader({"keys": "x", "transport": "feed:stuck"}).read(connector.Key("x")))

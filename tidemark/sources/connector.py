@@ -74,6 +74,72 @@ class PagedSource(DataSource):
         return PagedReader(self.options)
 
 
+def _function(path: str):
+    module, _, name = path.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
+class Key(InputPartition):
+    def __init__(self, key: str):
+        self.key = key
+
+
+class CursorReader(DataSourceReader):
+    """A partition for each key; within it pages follow one another by cursor, and go out as they come."""
+
+    def __init__(self, options: dict):
+        self.options = dict(options)
+
+    def partitions(self) -> list[Key]:
+        return [Key(k) for k in self.options["keys"].split(",") if k]
+
+    def pages(self, transport: str, key: str) -> Iterator[list] | None:
+        """The pages of one feed; None if it does not know the key."""
+        call = _function(transport)
+        first = fetched(lambda: call(key, None, self.options))
+        if first is None:
+            return None
+
+        def follow() -> Iterator[list]:
+            answer, seen = first, set()
+            while answer is not None:
+                rows, cursor = answer
+                yield rows
+                if not cursor:
+                    return
+                if cursor in seen:
+                    raise RuntimeError(f"{key}: the cursor {cursor} came twice")
+                seen.add(cursor)
+                answer = fetched(lambda c=cursor: call(key, c, self.options))
+
+        return follow()
+
+    def read(self, partition: Key) -> Iterator[tuple]:
+        for name in ("transport", "fallback"):
+            if name in self.options and (found := self.pages(self.options[name], partition.key)) is not None:
+                for rows in found:
+                    yield from (tuple(r) for r in rows)
+                return
+
+
+class CursorSource(DataSource):
+    """``format("cursor")`` with ``keys`` (comma-separated), ``transport`` and, for keys it does not know, ``fallback``.
+
+    A transport ``module:function`` gets (key, cursor or None, options) and returns (rows, next cursor or nothing). A live
+    feed is the transport, its archive the fallback.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "cursor"
+
+    def schema(self) -> str:
+        return self.options.get("rows", "key string, value string")
+
+    def reader(self, schema) -> CursorReader:
+        return CursorReader(self.options)
+
+
 def numbers(page: int, options: dict) -> list[tuple]:
     """A transport for trials: the numbers of a page."""
     size = int(options.get("size", 10))
