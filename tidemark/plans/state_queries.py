@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import text
-from tidemark.operators import audit, market, orderbook, states
-from tidemark.operators.asof import with_predecessor
+from tidemark.operators import audit, market, orderbook, pit, states
+from tidemark.operators.asof import asof_join, with_predecessor
 from tidemark.plans import pit_queries, text_queries
 from tidemark.plans.registry import query
 from tidemark.sources.sinks import staged
@@ -201,3 +201,32 @@ def top_section_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty most frequent section names of all bulletins: a report of that length."""
     s = text.sections(text_queries._all_bulletins(spark, sf_dir), "t", ["doc_id"])
     return s.groupBy("section_name").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "section_name").limit(20)
+
+
+SHOWN = ("hrrr_forecast_tmax_f", "KNYC_current_temp_f", "KNYC_tmax_so_far_f", "gefs_tmax_min_f", "gefs_tmax_max_f", "cross_model_forecast_count")
+
+
+@query(
+    PARTS
+    + f""", w AS (SELECT s.state_id, s.day, s.local_hour, s.mode, (SELECT max(o.tmax) FROM o WHERE o.state_id = s.state_id AND o.source = 'hrrr') AS hrrr_forecast_tmax_f, (SELECT max(so.v) FROM so WHERE so.state_id = s.state_id AND so.st = 'KNYC' AND so.age <= 21600000000) AS KNYC_current_temp_f, (SELECT max(so.tmax) FROM so WHERE so.state_id = s.state_id AND so.st = 'KNYC') AS KNYC_tmax_so_far_f,
+ ge.mn AS gefs_tmax_min_f, ge.mxx AS gefs_tmax_max_f, c.n::DOUBLE AS cross_model_forecast_count FROM s LEFT JOIN ge USING (state_id) LEFT JOIN c USING (state_id))
+{" UNION ALL ".join(f"SELECT state_id, '{x}' AS field, {x}::DOUBLE AS value FROM w WHERE mode = 'proxy' AND local_hour = 10 AND {x} IS NOT NULL" for x in SHOWN)}"""
+)
+def state_inspector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample of states, the ten o'clock ones, field by field as an inspector shows them; fields without a value are left out."""
+    f = states.structured_features(parts(spark, sf_dir)).filter("state_mode = 'proxy' and local_hour = 10")
+    return f.select("state_id", *[F.col(c).cast("double").alias(c) for c in SHOWN]).unpivot(["state_id"], list(SHOWN), "field", "value").filter("value is not null")
+
+
+@query(f"""WITH {pit_queries.THREE}, {pit_queries.ROWS}, p AS (SELECT source, run_time, day, valid_time, wanted, min(avail) AS tm FROM fd GROUP BY ALL),
+r AS (SELECT source, run_time, day, count(*) FILTER (wanted) AS points, max(tm) FILTER (wanted) AS tm FROM p GROUP BY ALL),
+ev AS (SELECT n.source, n.run_time, n.day, r.tm FROM n JOIN r USING (source, run_time, day) WHERE points = want)
+SELECT ev.source, epoch_us(ev.run_time) AS run_us, strftime(ev.day, '%Y-%m-%d') AS day, epoch_us(ev.tm) AS usable_us, max(epoch_us(s.t)) FILTER (s.t < ev.tm) AS before_us, min(epoch_us(s.t)) FILTER (s.t >= ev.tm) AS after_us FROM ev JOIN s ON s.day = ev.day AND s.mode = 'strict' GROUP BY ALL""")
+def event_brackets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each run that became usable for a day: the day's last state before that and the first one after it."""
+    days = pit.local_days(pit_queries.days_of(spark, sf_dir))
+    done = pit.usable_since_schedule(pit_queries.forecasts(spark, sf_dir), days, pit_queries.schedule(spark), {}).withColumn("usable_us", F.unix_micros("usable_at"))
+    at = pit_queries.states(spark, sf_dir).filter("mode = 'strict'").select("day", F.unix_micros("query_time").alias("t"))
+    both = asof_join(done, at, ["day"], "usable_us", "t", inclusive=False, to="before")
+    both = asof_join(both, at, ["day"], "usable_us", "t", direction="forward", to="after")
+    return both.select("source", F.unix_micros("run_time").alias("run_us"), F.col("day").cast("string").alias("day"), "usable_us", F.col("before.t").alias("before_us"), F.col("after.t").alias("after_us"))
