@@ -60,5 +60,39 @@ a AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN h USING (doc_id) LEFT JOIN a USING (doc_id)
 """
 
+NEAREST = r"""
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score FROM e q JOIN e c ON q.vec_id % 100 = 0 AND c.vec_id IS DISTINCT FROM q.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM p QUALIFY rank <= 10
+"""
+
+MANIFEST = r"""
+WITH RECURSIVE b AS (SELECT row_number() OVER () AS r, doc_id, source, lang, n_chars, text AS t, replace(text, chr(10), '') AS u, doc_id::VARCHAR AS a FROM documents),
+c AS (SELECT *, list_reduce([4294967295] || list_transform(string_split(a, ''), lambda x: ascii(x)::BIGINT), lambda c, x: list_reduce([xor(c, x)] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))) % 2 = 1 AS even FROM b),
+l AS (SELECT *, coalesce(strlen(a) || ':' || a, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head FROM c),
+h AS (SELECT r, doc_id, source, sha256(head || coalesce(strlen(t) || ':' || t, '-')) AS leaf, CASE WHEN even THEN sha256(head || coalesce(strlen(u) || ':' || u, '-')) END AS shown FROM l),
+k AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS i, count(*) OVER (PARTITION BY source) AS n, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s FROM h),
+up AS (SELECT s, 0 AS level, i, n, leaf AS h FROM k UNION ALL SELECT s, level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM up WHERE n > 1 GROUP BY s, level, i // 3, n),
+sub AS (SELECT s, h, level AS height FROM up WHERE n = 1),
+top AS (SELECT 0 AS level, s AS i, (SELECT count(*) FROM sub) AS n, h FROM sub UNION ALL SELECT level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY level, i // 3, n),
+run AS (SELECT s, level, i // 3 AS p, list(h ORDER BY i) AS hs FROM up WHERE n > 1 GROUP BY ALL UNION ALL SELECT -1, level, i // 3, list(h ORDER BY i) FROM top WHERE n > 1 GROUP BY ALL),
+walk AS (SELECT r, s, 0 AS level, i, n, false AS upper, coalesce(shown, leaf) AS f, '' AS proof FROM k
+ UNION ALL SELECT w.r, w.s, CASE WHEN w.n = 1 THEN 0 ELSE w.level + 1 END, CASE WHEN w.n = 1 THEN w.s ELSE w.i // 3 END, CASE WHEN w.n = 1 THEN (SELECT count(*) FROM sub) ELSE (w.n + 2) // 3 END, w.upper OR w.n = 1,
+ CASE WHEN w.n = 1 THEN w.f ELSE sha256(array_to_string(hs[:w.i % 3], '') || w.f || array_to_string(hs[w.i % 3 + 2:], '')) END, w.proof || CASE WHEN w.n = 1 THEN '' ELSE array_to_string(hs[:w.i % 3], '') || array_to_string(hs[w.i % 3 + 2:], '') END
+ FROM walk w LEFT JOIN run ON run.s = CASE WHEN w.upper THEN -1 ELSE w.s END AND run.level = w.level AND run.p = w.i // 3 WHERE NOT (w.upper AND w.n = 1))
+SELECT k.doc_id, k.leaf, sub.h AS subroot, root.h AS root, sha256(w.proof) AS proof_sha256, w.f AS folded_root, w.f = root.h AS verified FROM k JOIN sub USING (s) JOIN (SELECT h FROM top WHERE n = 1) root ON true JOIN walk w ON w.r = k.r AND w.upper AND w.n = 1
+"""
+
+MIDDLE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+h AS (SELECT *, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2, ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4 FROM d),
+f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS i, greatest(h1 % (n + 1), h2 % (n + 1)) AS j, CASE WHEN n = 0 OR h3 % 100 >= 90 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, substring(t, 1, i) AS a, substring(t, i + 1, j - i) AS b, substring(t, j + 1) AS c FROM f),
+o AS (SELECT *, CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || c || '<M>' || b ELSE '<S>' || c || '<P>' || a || '<M>' || b END AS output FROM p),
+r AS (SELECT *, split_part(output, '<M>', 2) AS m, split_part(output, '<M>', 1)[4:] AS head FROM o)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN i END AS prefix_chars, CASE WHEN form <> 'plain' THEN j - i END AS middle_chars, sha256(output) AS output_sha256,
+sha256(CASE form WHEN 'plain' THEN output WHEN 'psm' THEN split_part(head, '<S>', 1) || m || split_part(head, '<S>', 2) ELSE split_part(head, '<P>', 2) || m || split_part(head, '<P>', 1) END) AS restored_sha256 FROM r
+"""
+
 #: The others learn a model, run a tokenizer, or build on hashes and statistics beyond SQL; tests hold them against plain Python.
-SQL = {"op1_quality_rules": QUALITY, "op2_minhash": NEAR, "op6_mixing": MIX, "op9_decontamination": LEAKS}
+SQL = {"op1_quality_rules": QUALITY, "op2_minhash": NEAR, "op6_mixing": MIX, "op9_decontamination": LEAKS, "op11_metric_tree": NEAREST, "op12_merkle": MANIFEST, "op13_fill_in_middle": MIDDLE}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, langid, lm_scoring, minhash, mixing, oracle, phrase_dedup, quality_rules, secret_scan, token_counts, toxicity
+from tidemark.llm import decontaminate, fill_in_middle, langid, lm_scoring, merkle, metric_tree, minhash, mixing, oracle, phrase_dedup, quality_rules, secret_scan, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,8 +55,20 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language(_table(spark, sf_dir, "documents"))
 
 
+def op11_metric_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_tree.nearest(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(_table(spark, sf_dir, "documents"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digest(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op2_minhash, op3_toxicity, op4_token_counts, op5_phrase_dedup, op6_mixing, op7_lm_scores, op8_secrets, op9_decontamination, op10_language)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_minhash, op3_toxicity, op4_token_counts, op5_phrase_dedup, op6_mixing, op7_lm_scores, op8_secrets, op9_decontamination, op10_language, op11_metric_tree, op12_merkle, op13_fill_in_middle)}
 
 
 def oracle_sql() -> dict[str, str]:
