@@ -6,9 +6,11 @@ zero, the block's bucket of patterns is consulted and the words are compared dir
 
 A small benchmark is one broadcast. Beyond ``BLOCK_BYTES`` the patterns stay a table: the shift tables are indexed by a
 hash of the block, as in the paper, and computed by a grouped minimum; a bit map of pattern hashes stands for the
-buckets. Both have a fixed size whatever the benchmark's, and are all that is broadcast. One pass over the documents
-gives the windows that pass both, and these are joined with the patterns and compared word by word. An item of any size
-is cut into its windows where it is read.
+buckets. Both are sized by the counted patterns (``SLOTS_EACH`` slots and ``BITS_EACH`` bits a pattern, at most one window
+of unrelated text in a thousand passes), put together on executors in pieces of 64 kB, and all that is broadcast. One pass
+over the documents gives the windows that pass both, and these are joined with the patterns and compared word by word.
+More than ``PART`` patterns are dealt by hash into parts of at most so many, each with tables and a pass of its own, so
+that no broadcast grows with the benchmark. An item of any size is cut into its windows where it is read.
 
 Cases: null or empty text has no words; a null or wordless item has no window; an item with fewer words than the
 window is one window; items with equal windows are all reported; words hit by an item with a null id are hit, but the
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from functools import reduce
 from itertools import islice
 
 import numpy as np
@@ -28,10 +31,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import batches, let, running, written
 
-#: Benchmark text whose patterns are broadcast as they are (some hundred times its size in memory).
-BLOCK_BYTES = 2 << 20
-#: Beyond that: slots of a length's shift table, and bits of the map of pattern hashes (8 MB).
-SLOTS, BITS = 1 << 20, 1 << 26
+#: Benchmark text whose patterns are broadcast as they are (measured: 45 MB in a Python worker for half a MB of text).
+BLOCK_BYTES = 1 << 19
+#: Beyond that: slots and bits a pattern has in the tables, and bits that it sets; patterns of one pass (52 MB of tables).
+SLOTS_EACH, BITS_EACH, SET, PART = 4, 16, 6, 1 << 23
+#: Bytes of a piece of a table, as the executors make it.
+PIECE = 1 << 16
 
 #: Fixed: letters, digits and everything beyond ASCII make words, A-Z are lowered.
 _WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -155,19 +160,49 @@ def patterns_of(items: DataFrame, window: int) -> DataFrame:
     return items.mapInArrow(cut, "m int, h bigint, w binary, item_id string").distinct()
 
 
+def power(n: int) -> int:
+    """The power of two that is not below ``n``, at least a piece."""
+    return max(PIECE, 1 << (n - 1).bit_length())
+
+
+def places(h: int, bits: int) -> list[int]:
+    """The bits of a pattern: two halves of its hash walk through the map."""
+    step = h >> 32 | 1
+    return [(h + k * step) % bits for k in range(SET)]
+
+
+def gathered(cells: DataFrame, values: str, size: dict[int, int], fill: dict[int, int]) -> dict[int, np.ndarray]:
+    """Tables of bytes by kind, from (kind, at, value) with one row a place; executors make the pieces."""
+
+    def piece(key: tuple, rows: pa.Table) -> pa.Table:
+        kind, number = key[0].as_py(), key[1].as_py()
+        out = np.full(PIECE, fill[kind], np.uint8)
+        out[rows.column("at").to_numpy() % PIECE] = rows.column(values).to_numpy()
+        return pa.table([pa.array([kind], pa.int32()), pa.array([number], pa.int64()), pa.array([out.tobytes()], pa.binary())], names=["kind", "piece", "bytes"])
+
+    pieces = cells.withColumn("piece", F.floor(F.col("at") / PIECE)).groupBy("kind", "piece").applyInArrow(piece, "kind int, piece long, bytes binary")
+    tables = {k: np.full(n, fill[k], np.uint8) for k, n in size.items()}
+    for kind, number, raw in pieces.toLocalIterator():  # the size of the tables, no more
+        tables[kind][number * PIECE : (number + 1) * PIECE] = np.frombuffer(raw, np.uint8)
+    return tables
+
+
 class Tables:
-    """Shift tables by length, indexed by a hash of the block, and the bit map of whole patterns; as large for any benchmark."""
+    """Shift tables by length, indexed by a hash of the block, and the bit map of whole patterns; sized by the patterns."""
 
     def __init__(self, shifts: dict[int, np.ndarray], bits: np.ndarray, block: int = 2):
         self.shifts, self.bits, self.block = shifts, bits, block
 
     @staticmethod
-    def slot(words_: list[bytes]) -> int:
-        return zlib.crc32(b" ".join(words_)) % SLOTS
+    def slot(words_: list[bytes], slots: int) -> int:
+        return zlib.crc32(b" ".join(words_)) % slots
 
     @classmethod
     def of(cls, patterns: DataFrame, block: int = 2) -> Tables:
-        """From (m, h, w): the least shift of each slot and the bits that are set, gathered by sums on the executors."""
+        """From (m, h, w): the least shift of each slot and the bits that are set."""
+        counts = dict(patterns.select("m", "h").distinct().groupBy("m").count().collect())  # a row a length
+        slots = {m: power(SLOTS_EACH * n) for m, n in counts.items()}
+        n_bits = 8 * power(BITS_EACH * sum(counts.values()) // 8)
 
         def shifts(it):
             for b in it:
@@ -175,33 +210,32 @@ class Tables:
                 for m, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                     p, size = w.split(b" "), min(block, m)
                     for end in range(size, m + 1):
-                        key = (m, cls.slot(p[end - size : end]))
-                        least[key] = min(least.get(key, m), m - end)
-                yield pa.record_batch([pa.array([k[0] for k in least], pa.int32()), pa.array([k[1] for k in least], pa.int32()), pa.array(list(least.values()), pa.int32())], names=["m", "slot", "shift"])
-
-        found = patterns.select("m", "w").mapInArrow(shifts, "m int, slot int, shift int").groupBy("m", "slot").agg(F.min("shift").alias("shift")).toArrow()  # at most window * SLOTS rows
-        m, slot, shift = (found.column(c).to_numpy() for c in ("m", "slot", "shift"))
-        tables = {}
-        for size in sorted(set(m.tolist())):
-            tables[size] = np.full(SLOTS, size - min(block, size) + 1, np.min_scalar_type(size))
-            tables[size][slot[m == size]] = shift[m == size]
-        bit = F.pmod("h", F.lit(BITS))
-        some = patterns.select(F.floor(bit / 32).alias("at"), F.expr(f"shiftleft(1L, cast(pmod(h, {BITS}) % 32 as int))").alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most BITS / 32 rows
-        bits = np.zeros(BITS // 32, np.int64)
-        bits[some.column("at").to_numpy()] = some.column("bits").to_numpy()
-        return cls(tables, bits.astype(np.uint32), block)
+                        key = (m, cls.slot(p[end - size : end], slots[m]))
+                        least[key] = min(least.get(key, 255), m - end)
+                yield pa.record_batch([pa.array([k[0] for k in least], pa.int32()), pa.array([k[1] for k in least], pa.int64()), pa.array(list(least.values()), pa.int32())], names=["kind", "at", "shift"])
+
+        def bits(it):
+            for b in it:
+                at = [x for h in b.column(0).to_pylist() for x in places(h, n_bits)]
+                yield pa.record_batch([pa.array([0] * len(at), pa.int32()), pa.array([x // 8 for x in at], pa.int64()), pa.array([1 << x % 8 for x in at], pa.int32())], names=["kind", "at", "bit"])
+
+        cells = patterns.select("m", "w").mapInArrow(shifts, "kind int, at long, shift int").groupBy("kind", "at").agg(F.min("shift").alias("shift"))
+        tables = gathered(cells, "shift", slots, {m: min(255, m - min(block, m) + 1) for m in slots})
+        cells = patterns.select("h").mapInArrow(bits, "kind int, at long, bit int").groupBy("kind", "at").agg(F.bit_or("bit").alias("bit"))
+        return cls(dict(sorted(tables.items())), gathered(cells, "bit", {0: n_bits // 8}, {0: 0})[0], block)
 
     def find(self, text: list[bytes]):
         """(start, words, hash, window) of all windows that the tables cannot rule out."""
+        known, n_bits = self.bits, 8 * len(self.bits)
         for m, shift in self.shifts.items():
-            b, end, n = min(self.block, m), m, len(text)
+            b, end, n, slots = min(self.block, m), m, len(text), len(shift)
             while end <= n:
-                if s := shift[self.slot(text[end - b : end])]:
+                if s := shift[self.slot(text[end - b : end], slots)]:
                     end += int(s)
                     continue
                 window = b" ".join(text[end - m : end])
                 h = pattern_hash(window)
-                if self.bits[h % BITS // 32] >> np.uint32(h % 32) & 1:
+                if all(known[x >> 3] >> (x & 7) & 1 for x in places(h, n_bits)):
                     yield end - m, m, h, window
                 end += 1
 
@@ -241,13 +275,19 @@ def united(spans: Column) -> Column:
     return let(spans, of)
 
 
-def large_search(docs: DataFrame, items: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+def large_search(docs: DataFrame, items: DataFrame, window: int, part: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, digest, n_words) of all documents, and (digest, spans, items) of the texts with an occurrence."""
     patterns = written(patterns_of(items, window), "patterns")
-    tables = docs.sparkSession.sparkContext.broadcast(Tables.of(patterns.select("m", "h", "w")))
-    scan = written(candidates(docs, tables), "candidates")
+    parts = max(1, -(-patterns.select("m", "h").distinct().count() // part))
+    scans = []
+    for k in range(parts):
+        some = patterns.filter(F.pmod("h", F.lit(parts)) == k)
+        tables = docs.sparkSession.sparkContext.broadcast(Tables.of(some.select("m", "h", "w")))
+        scans.append(written(candidates(docs, tables), "candidates"))
+    scan = scans[0]
+    found = reduce(DataFrame.union, [x.filter("m > 0").select("digest", "start", "m", "h", "w") for x in scans])
     named = patterns.groupBy("m", "h", "w").agg(F.collect_set("item_id").alias("items"))
-    hits = scan.filter("m > 0").select("digest", "start", "m", "h", "w").distinct().join(named, ["m", "h", "w"])
+    hits = found.distinct().join(named, ["m", "h", "w"])
     hits = hits.groupBy("digest").agg(F.sort_array(F.collect_set(F.struct("start", (F.col("start") + F.col("m")).alias("end")))).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     return scan.filter("m = 0").select("doc_id", "digest", "n_words"), written(hits.select("digest", united(F.col("s")).alias("spans"), "items"), "hits")
 
@@ -262,28 +302,30 @@ def small_search(items: DataFrame, window: int, block_bytes: int):
     return items.sparkSession.sparkContext.broadcast(Search(windows(((r[0], r[1]) for r in items.toLocalIterator()), window))) if total <= block_bytes else None
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def clean_documents(docs: DataFrame, benchmark: DataFrame, item_col: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES, part: int = PART) -> DataFrame:
     """The rows of ``docs`` whose own ``text`` has no benchmark window, with their own columns; a row is judged by its text, whatever its id. A null text stays."""
     items = _items(benchmark, item_col, item_text)
     search = small_search(items, window, block_bytes)
     if search is None:
-        _, hits = large_search(docs.select(F.lit(None).cast("long").alias("doc_id"), "text"), items, window)
-        return docs.withColumn("digest__", F.unhex(F.sha2("text", 256))).join(hits.select(F.col("digest").alias("digest__")), "digest__", "left_anti").select(docs.columns)
+        _, hits = large_search(docs.select(F.lit(None).cast("long").alias("doc_id"), "text"), items, window, part)
+        rows = docs.select(F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("digest"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+        return rows.join(hits.select("digest"), "digest", "left_anti").select("row.*")
 
     def keep(it):
         s = search.value
         for b in batches(it):
             yield b.filter(pa.array([not s.spans(words(t))[0] for t in b.column(b.schema.get_field_index("text")).to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    plain = docs.toDF(*["text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)])  # any names are right
+    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)
 
 
-def benchmark_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id", item_col: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def benchmark_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id", item_col: str = "item_id", item_text: str = "text", window: int = 10, block_bytes: int = BLOCK_BYTES, part: int = PART) -> DataFrame:
     """(doc_id, n_words, spans array<struct<start,end>> in words, items array<string>) for every document.
 
     The benchmark is the stated query set. Its size is summed first; up to ``block_bytes`` its patterns are one broadcast,
-    beyond that tables of fixed size are, and what passes them is joined with the patterns. Either way the documents are
-    read once.
+    beyond that hashed tables are, and what passes them is joined with the patterns. The documents are read once for each
+    ``part`` patterns.
     """
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     items = _items(benchmark, item_col, item_text)
@@ -291,7 +333,7 @@ def benchmark_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text
     kind = "array<struct<start:bigint,end:bigint>>"
     if search is not None:
         return _spans(d, search).select("doc_id", "n_words", F.arrays_zip(F.col("starts").alias("start"), F.col("ends").alias("end")).cast(kind).alias("spans"), "items")
-    every, hits = large_search(d, items, window)
+    every, hits = large_search(d, items, window, part)
     return every.join(hits, "digest", "left").select("doc_id", "n_words", F.coalesce(F.col("spans").cast(kind), F.array().cast(kind)).alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
