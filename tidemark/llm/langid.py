@@ -8,7 +8,10 @@ vectors and the weights are multiplied once beforehand, and a text's own norm is
 
 Bound: at most about ``SAMPLE`` labelled ids are learned from (about equally many of each language, chosen by a hash of
 the id, one text each) and ``LANDMARKS`` of them are landmarks; their bit vectors (8 kB each) are what the driver
-gathers. More than ``LANGUAGES`` languages are an error.
+gathers. More than ``LANGUAGES`` languages are learned from ``EACH`` texts each, those with the smallest hashes, with a
+landmark for each language up to ``MARKS``: the regression's left side is factorised once and solved for a block of
+languages after another, and texts are scored in blocks of landmarks and languages, so that a worker holds one block. What
+the driver gathers then grows with the number of languages, 16 kB each, and not with the documents.
 
 Cases: of several rows with one id the smallest text is learned from; null text, no letter, or nothing to learn from: ``und`` with score 0; null lang is not learned from; repeated
 rows and null ids give a row each; ties go to the language that sorts first.
@@ -18,12 +21,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches, utf8
+from tidemark.llm.common import batches, keep_ids, utf8
 
 SAMPLE, LANDMARKS, LANGUAGES, SPACE = 2000, 256, 1000, 1 << 16
+EACH, MARKS, BLOCK = 2, 4096, 256
 RIDGE = 1.0
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += np.uint64(32)
@@ -61,7 +65,8 @@ def sample_of(labelled: DataFrame, label: str, bound: int) -> DataFrame:
     """About ``bound`` rows, equally many of each label where there are so many, by a hash of doc_id; rows are narrow here."""
     sizes = {r[0]: r[1] for r in labelled.groupBy(label).count().limit(LANGUAGES + 1).collect()}
     if len(sizes) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} different values of {label}")
+        order = Window.partitionBy(label).orderBy(F.xxhash64("doc_id", F.lit("sample")), "doc_id")
+        return labelled.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= EACH).drop("k")
     if not sizes:
         return labelled.limit(0)
     each = bound / len(sizes)
@@ -78,6 +83,44 @@ class Model:
         return (bits.astype(np.float32) @ self.weights) / norm[:, None]
 
 
+class BlockModel:
+    """For many languages: landmarks as packed bits, and their dual weights; only a block of either is unpacked at a time."""
+
+    def __init__(self, langs: list[str], marks: np.ndarray, dual: np.ndarray):
+        self.langs, self.marks, self.dual = langs, marks, dual
+
+    def scores(self, bits: np.ndarray) -> np.ndarray:
+        norm = np.sqrt(np.maximum(bits.sum(1, dtype=np.int64), 1)).astype(np.float32)
+        x = bits.astype(np.float32)
+        shared = np.hstack([x @ np.unpackbits(self.marks[i : i + BLOCK], axis=1).astype(np.float32).T for i in range(0, len(self.marks), BLOCK)])
+        return (shared @ self.dual) / norm[:, None]
+
+
+def fit_blocks(packed: np.ndarray, langs: list[str], ridge: float = RIDGE) -> BlockModel:
+    """The regression of ``fit`` for any number of languages; ``packed``: bits by eights."""
+    names = sorted(set(langs))
+    at = {k: i for i, k in enumerate(names)}
+    label = np.array([at[x] for x in langs])
+    first = np.unique(label, return_index=True)[1]
+    chosen = first[np.linspace(0, len(first) - 1, min(MARKS, len(first))).astype(np.int64)]
+    unpacked = lambda rows: np.unpackbits(packed[rows], axis=1).astype(np.float32)
+    norm = np.sqrt(np.maximum(np.bitwise_count(packed).sum(1, dtype=np.int64), 1)).astype(np.float32)
+    k_nm = np.empty((len(packed), len(chosen)), np.float32)
+    for j in range(0, len(chosen), BLOCK):
+        marks = unpacked(chosen[j : j + BLOCK]).T
+        for i in range(0, len(packed), BLOCK):
+            k_nm[i : i + BLOCK, j : j + BLOCK] = unpacked(slice(i, i + BLOCK)) @ marks
+    k_nm /= norm[:, None] * norm[chosen][None, :]
+    weight = (len(langs) / (len(names) * np.bincount(label)))[label].astype(np.float32)
+    left = (k_nm.T @ (k_nm * weight[:, None])).astype(np.float64) + ridge * k_nm[chosen] + 1e-6 * np.eye(len(chosen))
+    half = np.linalg.inv(np.linalg.cholesky((left + left.T) / 2))  # the left side of every language
+    dual = np.empty((len(chosen), len(names)), np.float32)
+    for j in range(0, len(names), BLOCK):
+        right = k_nm.T @ ((label[:, None] == np.arange(j, min(j + BLOCK, len(names)))) * weight[:, None])
+        dual[:, j : j + BLOCK] = half.T @ (half @ right)
+    return BlockModel(names, packed[chosen], dual / norm[chosen][:, None])
+
+
 def fit(bits: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
     """Kernel ridge regression in the landmarks' space; rows in the order given."""
     names = sorted(set(langs))
@@ -100,7 +143,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS) ->
     """``docs``: doc_id, text, lang of the rows that may be learned from."""
     known = docs.filter("lang is not null and text is not null")
     chosen = sample_of(known.select("doc_id", "lang"), "lang", sample).select("doc_id").distinct()
-    rows = known.join(F.broadcast(chosen), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("m")).select("doc_id", "m.text", "m.lang")  # at most about `sample` ids
+    rows = keep_ids(known, chosen).groupBy("doc_id").agg(F.min(F.struct("text", "lang")).alias("m")).select("doc_id", "m.text", "m.lang")  # at most about `sample` ids
 
     def bits(it):
         for b in _blocks(it):
@@ -110,7 +153,10 @@ def train(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS) ->
     got = sorted(((r[0], r[1], bytes(r[2])) for r in rows.mapInArrow(bits, "doc_id bigint, lang string, bits binary").collect()), key=lambda r: (hash_order(r[0]), r[1], r[2]))
     if not got:
         return fit(np.zeros((0, SPACE), np.uint8), [])
-    return fit(np.unpackbits(np.frombuffer(b"".join(r[2] for r in got), np.uint8).reshape(len(got), -1), axis=1), [r[1] for r in got], landmarks)
+    packed, langs = np.frombuffer(b"".join(r[2] for r in got), np.uint8).reshape(len(got), -1), [r[1] for r in got]
+    if len(set(langs)) > LANGUAGES:
+        return fit_blocks(packed, langs)
+    return fit(np.unpackbits(packed, axis=1), langs, landmarks)
 
 
 def hash_order(i: int | None) -> int:
