@@ -2,14 +2,15 @@
 
 Leaves are digests that the JVM computes in one pass over the texts; after that only digests move. Leaves are dealt by
 range of (source, id, digest), so a hot source is split by id, and numbered. Then vertices work in supersteps over RDDs,
-as in Pregel: each node sends its digest to its parent (place // 3 of the next level); by the end of the step a parent has
-all its children, hashes them and sends on. Trees of sources run side by side; a source whose level has a single node
-left hands it, as its subroot, to the tree of sources. All vertices of the way up are written as a table. The reverse
-supersteps begin at the root: a vertex sends each child the digests beside it, followed by what the vertex itself has got,
-so every leaf ends up with its whole path and folds its digest up to the root.
+as in Pregel. A vertex stands for a node with the ``STRIDE`` levels below it, so that an exchange climbs several levels:
+each node sends its digest to the vertex above; by the end of the step a vertex has all its children, hashes them level by
+level and sends on. Trees of sources run side by side; the subroots of complete ones are the leaves of the tree of sources.
+All vertices of the way up are written as a table. The reverse supersteps begin at the root: a vertex sends each child the
+digests beside it on each level, followed by what the vertex itself has got, so every leaf ends up with its whole path and
+folds its digest up to the root.
 
 A step deals its messages by (tree, place), at most ``NODES`` nodes to a task on average, and a key never has more than
-three messages. The driver learns how many levels there are and how many leaves lie in each range, nothing else.
+27 messages. The driver learns how many levels there are, how many leaves lie in each range, and the root, nothing else.
 
 Cases: nulls in any column have a digest of their own (``-``), whose order is before all values; rows with equal ids are
 ordered by digest, and equal rows are leaves of their own; empty and very long texts are digested whole; extra columns take
@@ -22,14 +23,15 @@ import hashlib
 from collections.abc import Callable
 
 from pyspark import RDD
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.llm.common import join_small, shared_dir, written
 
-#: Children of a node.
-FAN = 3
+#: Children of a node, levels of a vertex, children of a vertex.
+FAN, STRIDE = 3, 3
+WIDE = FAN**STRIDE
 #: Nodes of a task: at most so many on average, and no more tasks than cores while there are fewer than ``FEW`` each.
 NODES, FEW = 50_000, 2000
 #: The tree above the sources has this number; the sources are numbered from 0.
@@ -108,43 +110,87 @@ def levels(n: int) -> int:
     return k
 
 
-def risen(nodes: RDD, parts: Callable[[int], int], height: int) -> tuple[list[RDD], RDD]:
-    """The supersteps upward: of ``height`` levels the vertices with their children, and the trees' last nodes.
+def steps(n: int) -> int:
+    """Supersteps that a tree of ``n`` leaves needs."""
+    return -(-levels(n) // STRIDE)
 
-    ``nodes``: ((tree, place), (nodes of this level, digest)). A vertex: ((tree, place), digests of its children).
+
+def climbed(n: int, digests: list[bytes]) -> tuple[int, list[list[bytes]]]:
+    """A vertex's nodes level by level, from its children up to itself; ``n``: nodes of the tree at the children's level."""
+    rows = [digests]
+    for _ in range(min(STRIDE, levels(n))):
+        rows.append([up(rows[-1][i : i + FAN]) for i in range(0, len(rows[-1]), FAN)])
+        n = -(-n // FAN)
+    return n, rows
+
+
+def risen(nodes: RDD, height: int, parts: Callable[[int], int]) -> list[RDD]:
+    """The supersteps upward: for each step its vertices, ((tree, place), (n, digests of the children)).
+
+    ``nodes``: ((tree, place), (nodes of the tree at this level, digest)).
     """
-    vertices, roots = [], []
-    for level in range(height):
-        roots.append(nodes.filter(lambda x: x[1][0] == 1).map(lambda x: (x[0][0], x[1][1])))
-        sent = nodes.filter(lambda x: x[1][0] > 1).map(lambda x: ((x[0][0], x[0][1] // FAN), (x[0][1] % FAN, x[1][1], x[1][0])))
-        got = sent.groupByKey(parts(level + 1)).mapValues(_complete)
-        vertices.append(got.mapValues(lambda x: x[1]))
-        nodes = got.mapValues(lambda x: (x[0], up(x[1])))
-    roots.append(nodes.map(lambda x: (x[0][0], x[1][1])))
-    return vertices, nodes.context.union(roots)
+    vertices = []
+    for step in range(height):
+        sent = nodes.filter(lambda x: x[1][0] > 1).map(lambda x: ((x[0][0], x[0][1] // WIDE), (x[0][1] % WIDE, x[1][1], x[1][0])))
+        vertices.append(sent.groupByKey(parts(step + 1)).mapValues(_complete))
+        nodes = vertices[-1].mapValues(_itself)
+    return vertices
 
 
 def _complete(messages) -> tuple[int, list[bytes]]:
-    """Nodes of the parent's level, and its children in order."""
+    """How many nodes the children's level has, and the children in order."""
     got = sorted(messages)
-    return -(-got[0][2] // FAN), [d for _, d, _ in got]
+    return got[0][2], [d for _, d, _ in got]
+
 
+def _itself(vertex: tuple[int, list[bytes]]) -> tuple[int, bytes]:
+    n, rows = climbed(*vertex)
+    return n, rows[-1][0]
 
-def sent_down(vertex: tuple) -> list[tuple]:
-    """What a vertex tells its children: the digests beside each, then its own path."""
-    (tree, place), (children, path) = vertex
-    return [((tree, FAN * place + i), [(b"".join(children[:i]), b"".join(children[i + 1 :])), *path]) for i in range(len(children))]
+
+def told(vertex: tuple) -> list[tuple]:
+    """What a vertex tells its children: the digests beside each on every level, then its own path."""
+    (tree, place), ((n, digests), path) = vertex
+    _, rows = climbed(n, digests)
+    out = []
+    for i in range(len(digests)):
+        own, at = [], i
+        for row in rows[:-1]:
+            first = at // FAN * FAN
+            own.append((b"".join(row[first:at]), b"".join(row[at + 1 : first + FAN])))
+            at //= FAN
+        out.append(((tree, WIDE * place + i), own + path))
+    return out
 
 
 def fallen(vertices: list[RDD], entered: list[RDD], parts: Callable[[int], int]) -> RDD:
-    """The supersteps downward: ((tree, place), path) of every leaf. ``entered``: by level, the paths of trees that end there."""
+    """The supersteps downward: ((tree, place), path) of every leaf. ``entered``: by step, the paths of the trees that end there."""
     paths = entered[-1]
-    for level in range(len(vertices) - 1, -1, -1):
-        told = vertices[level].join(paths, parts(level + 1)).flatMap(sent_down)
-        paths = told.union(entered[level])
+    for step in range(len(vertices) - 1, -1, -1):
+        paths = vertices[step].join(paths, parts(step + 1)).flatMap(told).union(entered[step])
     return paths
 
 
+VERTEX = "step int, tree long, place long, n long, digests array<binary>"
+
+
+def kept(spark: SparkSession, vertices: list[RDD]) -> list[RDD]:
+    """The vertices of each step, written as a table and read again: the way down does not climb once more."""
+    if not vertices:
+        return []
+    table = f"{shared_dir(spark)}/vertices"
+    every = [v.map(lambda x, k=k: (k, *x[0], *x[1])) for k, v in enumerate(vertices)]
+    spark.createDataFrame(spark.sparkContext.union(every), VERTEX, verifySchema=False).write.partitionBy("step").parquet(table)
+    rows = spark.read.schema(VERTEX).parquet(table).select("step", "tree", "place", "n", "digests")
+    return [rows.filter(F.col("step") == k).rdd.map(lambda r: ((r[1], r[2]), (r[3], [bytes(d) for d in r[4]]))) for k in range(len(vertices))]
+
+
+def last(vertices: list[RDD]) -> RDD:
+    """(tree, root) of every tree with a vertex."""
+    nodes = [v.filter(lambda x: steps(x[1][0]) == 1).map(lambda x: (x[0][0], _itself(x[1])[1])) for v in vertices]
+    return nodes[0].context.union(nodes)
+
+
 def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     """doc_id, source, place, leaf, subroot, root, n_siblings, proof_sha256, folded_root, verified of every row of ``docs``.
 
@@ -156,43 +202,34 @@ def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
     leaves = written(docs.select(F.col("source").cast("string").alias("source"), F.col("doc_id").cast("long").alias("doc_id"), own.alias("leaf"), shown.alias("shown"), F.monotonically_increasing_id().alias("at")), "leaves")
     placed, largest, trees = numbered(leaves)
     placed = written(placed.select("tree", "place", "n", "doc_id", "source", F.unhex("leaf").alias("leaf"), F.unhex("shown").alias("shown")), "placed")
-    n, height, top_height = placed.count(), levels(largest), levels(trees)
-    below = spark.sparkContext.defaultParallelism
+    n, below = placed.count(), spark.sparkContext.defaultParallelism
+    schema = "doc_id long, source string, place long, leaf string, subroot string, root string, n_siblings long, proof_sha256 string, folded_root string, verified boolean"
+    if not n:
+        return spark.createDataFrame([], schema)
 
     def spread(nodes: int) -> int:
         return max(1, min(below, nodes // FEW), nodes // NODES)
 
-    def parts(level: int) -> int:
-        return spread(n // FAN**level + trees)
+    def parts(step: int) -> int:
+        return spread(n // WIDE**step + trees)
 
-    def parts_top(level: int) -> int:
-        return spread(trees // FAN**level)
+    def parts_top(step: int) -> int:
+        return spread(trees // WIDE**step)
 
-    # upward
+    # upward: the sources side by side, then the tree of sources
     start = placed.select("tree", "place", "n", "leaf").rdd.map(lambda r: ((r[0], r[1]), (r[2], bytes(r[3]))))
-    vertices, subroots = risen(start, parts, height)
-    above, roots = risen(subroots.map(lambda x: ((TOP, x[0]), (trees, x[1]))), parts_top, top_height)
-    table = f"{shared_dir(spark)}/vertices"
-    every = [v.map(lambda x, k=k: (k, x[0][0], x[0][1], x[1])) for k, v in enumerate([*vertices, *above])]
-    every.append(roots.map(lambda x: (height + top_height, TOP, 0, [x[1]])))
-    every.append(subroots.map(lambda x: (height + top_height + 1, x[0], 0, [x[1]])))
-    spark.createDataFrame(spark.sparkContext.union(every), "level int, tree long, place long, digests array<binary>").write.partitionBy("level").parquet(table)
-    kept = spark.read.schema("tree long, place long, digests array<binary>, level int").parquet(table)
-
+    vertices = kept(spark, risen(start, steps(largest), parts))
+    single = placed.filter("n = 1").select("tree", "leaf").rdd.map(lambda r: (r[0], bytes(r[1])))
+    subroots = single.union(last(vertices)) if vertices else single
+    above = kept(spark, risen(subroots.map(lambda x: ((TOP, x[0]), (trees, x[1]))), steps(trees), parts_top))
+    whole = (last(above) if above else subroots).first()[1]
     # downward
-    def level_of(k: int) -> RDD:
-        return kept.filter(F.col("level") == k).rdd.map(lambda r: ((r[0], r[1]), [bytes(d) for d in r[2]]))
-
-    root = kept.filter(F.col("level") == height + top_height).first()
-    whole = bytes(root["digests"][0]) if root else b""
-    start_top = spark.sparkContext.parallelize([((TOP, 0), [])] if root else [], 1)
     nothing = spark.sparkContext.emptyRDD()
-    of_trees = fallen([level_of(height + k) for k in range(top_height)], [*[nothing] * top_height, start_top], parts_top)
-    # a tree of n leaves ends at the level that n has
-    heights = placed.filter("place = 0").select("tree", "n").rdd.map(lambda r: (r[0], levels(r[1])))
+    of_trees = fallen(above, [*[nothing] * len(above), spark.sparkContext.parallelize([((TOP, 0), [])], 1)], parts_top)
+    heights = placed.filter("place = 0").select("tree", "n").rdd.map(lambda r: (r[0], steps(r[1])))
     ends = of_trees.map(lambda x: (x[0][1], x[1])).join(heights, parts_top(0))
-    entered = [ends.filter(lambda x, k=k: x[1][1] == k).map(lambda x: ((x[0], 0), x[1][0])) for k in range(height + 1)]
-    paths = fallen([level_of(k) for k in range(height)], entered, parts)
+    entered = [ends.filter(lambda x, k=k: x[1][1] == k).map(lambda x: ((x[0], 0), x[1][0])) for k in range(len(vertices) + 1)]
+    paths = fallen(vertices, entered, parts)
     leaf_rows = placed.rdd.map(lambda r: ((r[0], r[1]), (r[3], r[4], bytes(r[5]), r[6] and bytes(r[6]), levels(r[2]))))
 
     def seen(x):
@@ -200,9 +237,7 @@ def manifest(docs: DataFrame, tampered: Column | None = None) -> DataFrame:
         ends_at = fold(other or own, path)
         return doc_id, source, place, own.hex(), fold(own, path[:high]).hex(), whole.hex(), sum(len(a) + len(b) for a, b in path) // len(own), proof(path), ends_at.hex(), ends_at == whole
 
-    schema = "doc_id long, source string, place long, leaf string, subroot string, root string, n_siblings long, proof_sha256 string, folded_root string, verified boolean"
-    return spark.createDataFrame(leaf_rows.join(paths, parts(0)).map(seen), schema)
-
+    return spark.createDataFrame(leaf_rows.join(paths, parts(0)).map(seen), schema, verifySchema=False)
 
 
 def digest(docs: DataFrame) -> DataFrame:
