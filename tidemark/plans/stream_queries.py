@@ -13,8 +13,8 @@ from tidemark.sources.tables import events
 from tidemark.streaming import books, runs
 
 
-def messages_of(e: DataFrame) -> DataFrame:
-    """Book messages made of numbered delta rows ``k`` and snapshots: gaps, repeats and impossible deltas occur."""
+def messages_of(e: DataFrame, *more: str) -> DataFrame:
+    """Book messages made of numbered delta rows ``k`` and snapshots: gaps, repeats and impossible deltas occur. ``more``: columns that stay."""
     v = F.floor("value")
     level = lambda side, i: F.struct(F.lit(side).alias("side"), F.lit(i / 10).alias("price"), F.lit(100.0).cast("double").alias("size"))
     all_levels = F.array(*[level(s, i) for s in ("yes", "no") for i in range(1, 6)])
@@ -22,14 +22,14 @@ def messages_of(e: DataFrame) -> DataFrame:
     seq = F.when(~snap, F.col("event_id") * 2 + F.when(F.col("event_id") % 97 == 0, 1).otherwise(0))
     delta = F.when(v % 5 == 0, -100.0).when(v % 5 == 1, 50.0).when(v % 5 == 2, -30.0).otherwise(20.0)
     return e.select(
-        (F.col("user_id") % 4).alias("sid"), F.col("event_id").alias("ord"), F.when(snap, "orderbook_snapshot").otherwise("orderbook_delta").alias("type"), F.concat(F.lit("m"), (F.col("user_id") % 20).cast("string")).alias("market_ticker"),
+        *more, (F.col("user_id") % 4).alias("sid"), F.col("event_id").alias("ord"), F.when(snap, "orderbook_snapshot").otherwise("orderbook_delta").alias("type"), F.concat(F.lit("m"), (F.col("user_id") % 20).cast("string")).alias("market_ticker"),
         F.when(F.col("event_id") % 101 == 0, F.lit(-1)).otherwise(seq).alias("raw_seq"), F.when(F.col("event_type").isin("click", "view"), "yes").otherwise("no").alias("side"), ((v % 7 + 1) / 10).alias("price"), delta.alias("delta"), F.when(snap, all_levels).otherwise(F.array().cast("array<struct<side:string,price:double,size:double>>")).alias("levels"),
     )
 
 
-def numbered(e: DataFrame) -> DataFrame:
+def numbered(e: DataFrame, *more: str) -> DataFrame:
     """Sequence numbers by sid: one more each delta, two more where ``event_id % 197`` is 0; ``event_id % 101 = 0`` repeats an old one."""
-    m = messages_of(e)
+    m = messages_of(e, *more)
     d = F.col("type") == "orderbook_delta"
     old = F.col("ord") % 101 == 0
     step = F.when(d & ~old, F.when(F.col("ord") % 197 == 0, 2).otherwise(1)).otherwise(0)
