@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators import windows
+
 #: A side is broadcast only if it is counted to have at most this many rows.
 BROADCAST_ROWS = 200_000
 EARTH_KM = 6371.0
@@ -94,7 +96,5 @@ def nearest_points(points: DataFrame, grid: DataFrame, key: str, lat: str, lon:
 
 def nearest_by_rank(df: DataFrame, by: list[str], order: list[str], middle: Column, wanted: Column) -> DataFrame:
     """Of the wanted rows of each group, the one whose rank is nearest to ``middle`` (the lower rank on ties)."""
-    from pyspark.sql import Window
-
-    d = df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*by))).withColumn("__m", middle)
+    d = windows.ranked(df, by, order).withColumn("__m", middle)
     return d.filter(wanted).groupBy(*by).agg(F.min_by(F.struct(*df.columns, "rank"), F.struct(F.abs(F.col("rank") - F.col("__m")), "rank")).alias("x")).select("x.*")

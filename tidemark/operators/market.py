@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import windows
-from tidemark.operators.stats import percentiles
+from tidemark.operators.stats import with_quantiles
+from tidemark.sources.sinks import staged
 
 #: Gap buckets (upper edges, right-closed), life-cycle buckets in order, endpoint patterns.
 GAP_EDGES, GAP_LABELS = (1, 2, 5, 15, 60, 180), ("1", "2", "3-5", "6-15", "16-60", "61-180", ">180")
@@ -116,8 +117,10 @@ def consecutive(p: DataFrame, unit_seconds: float = 60.0) -> DataFrame:
 
 
 def gap_stats(g: DataFrame, by: list[str]) -> DataFrame:
-    q = g.groupBy(*by).agg(F.count("*").alias("n_gaps"), F.sum("missing").alias("total_missing"), F.avg("missing").alias("mean_missing"), percentiles("missing", [0.5, 0.75, 0.9, 0.95, 0.99]).alias("p"), F.max("missing").alias("max_missing"))
-    return q.select(*by, "n_gaps", "total_missing", "mean_missing", *[F.col("p")[i].alias(c) for i, c in enumerate(("median", "p75", "p90", "p95", "p99"))], "max_missing")
+    g = staged(g.select(*by, "missing"))
+    q = g.groupBy(*by).agg(F.count("*").alias("n_gaps"), F.sum("missing").alias("total_missing"), F.avg("missing").alias("mean_missing"), F.max("missing").alias("max_missing"))
+    points = {"median": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99}
+    return with_quantiles(q, g, by, {"missing": points}).select(*by, "n_gaps", "total_missing", "mean_missing", *points, "max_missing")
 
 
 def endpoint_pattern() -> Column:

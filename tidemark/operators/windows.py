@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.sources.sinks import staged
+
 
 def over(by: list[str], order: list[str]):
     return Window.partitionBy(*by).orderBy(*order)
@@ -90,15 +92,36 @@ def sequence_flags(df: DataFrame, stream: str, order: str, seq: str, width: int
     return prefix_max(df, [stream], order, F.col(seq), "__top", width, inclusive=False).withColumn("flag", flag).drop("__top")
 
 
+def running_sum(df: DataFrame, by: list[str], order: list[str], value: str, to: str) -> DataFrame:
+    """The sum of ``value`` over a key's rows up to each one; ``order`` orders them fully.
+
+    Rows are dealt by ranges of (key, order), so a key of any size lies in many ranges; each is a window of its own, and
+    inherits the sums of the key's ranges before it, one row each. Rows with equal order may be parted, not changed.
+    """
+    d = staged(df.repartitionByRange(*by, *order).withColumn("__range", F.spark_partition_id()))
+    inside = d.withColumn("__in", F.sum(value).over(over([*by, "__range"], order).rowsBetween(Window.unboundedPreceding, 0)))
+    ends = d.groupBy(*by, "__range").agg(F.sum(value).alias("__end"))
+    past = F.coalesce(F.sum("__end").over(over(by, ["__range"]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    carry = ends.select(*[F.col(c).alias(f"__{c}") for c in by], F.col("__range").alias("__r"), past.alias("__carry"))
+    on = [F.col("__range") == F.col("__r"), *[F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]]
+    out = inside.join(carry, on).withColumn(to, F.col("__in") + F.col("__carry"))
+    return out.drop("__range", "__r", "__in", "__carry", *[f"__{c}" for c in by])
+
+
+def ranked(df: DataFrame, by: list[str], order: list[str], rank: str = "rank", n: str = "n") -> DataFrame:
+    """Each row's rank in its key, from 0, and the key's number of rows; no task holds a whole key."""
+    counted = running_sum(df.withColumn("__one", F.lit(1).cast("long")), by, order, "__one", "__upto").withColumn(rank, (F.col("__upto") - 1).cast("int")).drop("__one", "__upto")
+    sizes = df.groupBy(*by).agg(F.count("*").alias(n)).withColumnsRenamed({c: f"__{c}" for c in by})
+    return counted.join(sizes, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by]).drop(*[f"__{c}" for c in by])
+
+
 def rank_sample(df: DataFrame, by: list[str], order: list[str], k: int) -> DataFrame:
     """``k`` rows of each key at even ranks (first and last included): a systematic sample, the same each time.
 
     Ranks are rounded half to even; ranks that coincide give one row.
     """
-    w = over(by, order)
-    d = df.withColumn("rank", F.row_number().over(w) - 1).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*by)))
     steps = F.array(F.lit(0)) if k == 1 else F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.bround(i * (F.col("n") - 1) / F.lit(k - 1)).cast("int"))
-    return d.filter(F.array_contains(steps, F.col("rank"))).drop("n")
+    return ranked(df, by, order).filter(F.array_contains(steps, F.col("rank"))).drop("n")
 
 
 def share(df: DataFrame, by: list[str], value: str, to: str = "share") -> DataFrame:

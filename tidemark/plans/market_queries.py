@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import market, stats
 from tidemark.plans.registry import query
+from tidemark.sources.sinks import staged
 from tidemark.sources.tables import events
 
 UNIT = 3600.0
@@ -104,8 +105,9 @@ ms AS (SELECT cs.*, coalesce(gap_count, 0) AS gap_count, round(median_gap, 6) AS
 def entity_distribution_of_distributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = market.market_summary(candles(spark, sf_dir), _gaps(spark, sf_dir), ["grp"])
     m = m.withColumn("median_gap", F.round("median_gap", 6)).withColumn("same_quote_pct", F.round("same_quote_pct", 6))
-    p = lambda c, q: F.expr(f"percentile({c}, {q})")
-    return _rounded(m.groupBy("grp").agg(p("candle_count", 0.5).alias("median_candle_count"), p("candle_count", 0.9).alias("p90_candle_count"), p("gap_count", 0.25).alias("p25_gap_count"), p("gap_count", 0.5).alias("median_gap_count"), p("same_quote_pct", 0.75).alias("p75_same_quote_pct"), p("median_gap", 0.5).alias("median_of_median_gap"), p("max_gap", 0.5).alias("median_max_gap"), p("median_spread", 0.5).alias("median_spread"), p("total_volume", 0.5).alias("median_total_volume")))
+    m = staged(m)
+    wanted = {"candle_count": {"median_candle_count": 0.5, "p90_candle_count": 0.9}, "gap_count": {"p25_gap_count": 0.25, "median_gap_count": 0.5}, "same_quote_pct": {"p75_same_quote_pct": 0.75}, "median_gap": {"median_of_median_gap": 0.5}, "max_gap": {"median_max_gap": 0.5}, "median_spread": {"median_spread": 0.5}, "total_volume": {"median_total_volume": 0.5}}
+    return _rounded(stats.with_quantiles(m.select("grp").distinct(), m, ["grp"], wanted))
 
 
 @query(SUMMARY + ", v AS (SELECT grp, total_volume AS x, median_gap AS y FROM ms WHERE total_volume IS NOT NULL AND median_gap IS NOT NULL), r AS (SELECT grp, rank() OVER (PARTITION BY grp ORDER BY x) + (count(*) OVER (PARTITION BY grp, x) - 1) / 2.0 AS rx, rank() OVER (PARTITION BY grp ORDER BY y) + (count(*) OVER (PARTITION BY grp, y) - 1) / 2.0 AS ry FROM v) SELECT grp, count(*) AS n, round(corr(rx, ry), 6) AS spearman FROM r GROUP BY grp HAVING count(*) >= 5")
