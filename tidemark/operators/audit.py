@@ -120,3 +120,46 @@ def availability(df: DataFrame, columns: list[str]) -> DataFrame:
 def first_known(df: DataFrame, by: list[str], order: str, columns: list[str]) -> DataFrame:
     """Each column's first value that isn't null: minima by a struct, not a sort."""
     return df.groupBy(*by).agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in columns])
+
+
+def violations(df: DataFrame, keys: list[str], rules: dict[str, Column]) -> DataFrame:
+    """(keys, check_name) for each named rule that a row breaks; all rules in one pass. A rule is true where it is broken; null is no fault."""
+    broken = F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in rules.items()]))
+    return df.select(*keys, F.explode(broken).alias("check_name"))
+
+
+#: Sources and roles whose runs are checked, and how an observation's and a bulletin's check are called.
+SOURCES = ("hrrr", "gfs", "nbm", "ecmwf_deterministic", "gefs", "ecmwf_ensemble")
+ROLES = ("latest_seen", "latest_usable", "previous_usable")
+
+
+def state_rules(stations: list[str], t: str = "query_time") -> dict[str, Column]:
+    """The named no-lookahead checks of a state: for each source's three runs when they were made and when they were there,
+    whether the usable one was complete, each station's report, and the bulletin."""
+    rules = {}
+    for s in SOURCES:
+        for role in ROLES:
+            for what in ("run_time", "available_time"):
+                rules[f"{s}_{role}_{what}_le_t"] = F.col(f"{s}.{role}_{what}") > F.col(t)
+        rules[f"{s}_latest_usable_was_actually_complete"] = F.col(f"{s}.latest_usable_run_time").isNotNull() & ~F.coalesce(F.col(f"{s}.complete"), F.lit(False))
+    rules |= {f"observation_{x}_time_le_t": F.col(f"{x}_time") > F.col(t) for x in stations}
+    return rules | {"afd_issuance_time_le_t": F.col("afd_time") > F.col(t)}
+
+
+def fingerprint(points: DataFrame, by: list[str], lat: str, lon: str, digits: int = 6) -> DataFrame:
+    """(by, n_points, n_lat, n_lon, fingerprint): what a grid is, whatever the order of its points and however often each is there."""
+    at = lambda c: F.round(F.col(c).cast("decimal(18,9)"), digits).cast(f"decimal(12,{digits})")
+    d = points.select(*by, at(lat).alias("y"), at(lon).alias("x")).distinct()
+    part = F.conv(F.substring(F.md5(F.concat_ws("|", F.col("y").cast("string"), F.col("x").cast("string"))), 1, 15), 16, 10).cast("long")
+    return d.groupBy(*by).agg(F.count("*").alias("n_points"), F.countDistinct("y").alias("n_lat"), F.countDistinct("x").alias("n_lon"), F.bit_xor(part).alias("fingerprint"))
+
+
+def grid_check(reference: DataFrame, later: DataFrame, by: list[str], distance_km: Column, ceiling_km: float = 25.0) -> DataFrame:
+    """Compares fingerprints of two runs and the later one's distance to the place wanted: PASS, FLAGGED, or PROBE_FAILED where one is absent."""
+    r = reference.select(*by, *[F.col(c).alias(f"r_{c}") for c in ("n_points", "n_lat", "n_lon", "fingerprint")])
+    d = r.join(later.withColumn("distance_km", distance_km), by, "full_outer")
+    same = F.col("r_fingerprint") == F.col("fingerprint")
+    dims = (F.col("r_n_lat") == F.col("n_lat")) & (F.col("r_n_lon") == F.col("n_lon")) & (F.col("r_n_points") == F.col("n_points"))
+    near = F.coalesce(F.col("distance_km") < ceiling_km, F.lit(False))
+    status = F.when(F.col("r_fingerprint").isNull() | F.col("fingerprint").isNull(), "PROBE_FAILED").when(same & dims & near, "PASS").otherwise("FLAGGED_FOR_INVESTIGATION")
+    return d.select(*by, same.alias("fingerprint_match"), dims.alias("dims_match"), near.alias("distance_ok"), status.alias("status"))

@@ -217,6 +217,32 @@ def cross_model(states: DataFrame, order: tuple[str, ...]) -> DataFrame:
     return g.withColumn("range", F.col("max") - F.col("min")).withColumn("pairs", pairs).drop("x")
 
 
+def window_maxima(windows: DataFrame, days: DataFrame) -> DataFrame:
+    """(source, run_time, day, n_windows, n_straddling, covered_hours, full_day_coverage, reconstructed_max): a day's maximum from
+    period maxima of mixed length, (source, run_time, start_time, end_time, value).
+
+    Windows that reach beyond the local day don't count, they are only numbered. Windows may overlap or repeat; hours are
+    those of their union. Days in which a run has none but straddling windows have no maximum.
+    """
+    w = windows.filter(F.col("start_time") < F.col("end_time"))
+    near = F.explode(F.sequence(F.date_sub(F.to_date("start_time"), 1), F.to_date("end_time")))
+    d = w.withColumn("day", near).join(small(days.select("day", "day_start", "day_end").distinct()), "day").filter((F.col("start_time") < F.col("day_end")) & (F.col("end_time") > F.col("day_start")))
+    d = d.withColumn("inside", (F.col("start_time") >= F.col("day_start")) & (F.col("end_time") <= F.col("day_end")))
+    spans = d.groupBy("source", "run_time", "day", "start_time", "end_time", "inside", "day_start", "day_end").agg(F.max("value").alias("value"), F.count("*").alias("n"))
+    a, b = F.unix_micros("start_time"), F.unix_micros("end_time")
+    order = Window.partitionBy("source", "run_time", "day").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)  # a run's windows of a day are few
+    known = spans.withColumn("a", F.when(F.col("inside"), a)).withColumn("b", F.when(F.col("inside"), b)).withColumn("reach", F.max("b").over(order))
+    new = F.when(F.col("inside"), F.greatest(F.lit(0), F.col("b") - F.greatest("a", F.coalesce("reach", "a"))))
+    g = known.withColumn("new", new).groupBy("source", "run_time", "day").agg(F.coalesce(F.sum(F.when(F.col("inside"), F.col("n"))), F.lit(0)).alias("n_windows"), F.coalesce(F.sum(F.when(~F.col("inside"), F.col("n"))), F.lit(0)).alias("n_straddling"), (F.coalesce(F.sum("new"), F.lit(0)) / 3.6e9).alias("covered_hours"), F.max(F.when(F.col("inside"), F.col("value"))).alias("reconstructed_max"), F.first((F.unix_micros("day_end") - F.unix_micros("day_start")) / 3.6e9).alias("hours"))
+    return g.select("source", "run_time", "day", "n_windows", "n_straddling", "covered_hours", (F.col("covered_hours") == F.col("hours")).alias("full_day_coverage"), "reconstructed_max")
+
+
+def reconstruction_error(direct: DataFrame, reconstructed: DataFrame) -> DataFrame:
+    """Direct daily maxima (source, run_time, day, direct_max) beside those from windows, and by how much these differ; either may be absent."""
+    both = direct.join(reconstructed, ["source", "run_time", "day"], "full_outer")
+    return both.withColumn("error", F.col("reconstructed_max") - F.col("direct_max"))
+
+
 def backward_moves(picks: DataFrame, by: list[str], time: str, run: str) -> DataFrame:
     """Places where a later state reads an older run than the state before it; null runs are passed over."""
     w = Window.partitionBy(*by).orderBy(time)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import observations, text, times
-from tidemark.operators import pit
+from tidemark.operators import audit, pit
 from tidemark.operators.asof import last_two
 
 #: Deterministic sources, stations and their names, statistics of the ensemble and their column names.
@@ -95,6 +95,28 @@ def structured_features(parts: Parts, labels: DataFrame | None = None) -> DataFr
     return whole.select(*out)
 
 
+def audit_facts(parts: Parts) -> DataFrame:
+    """(state_id, query_time, a struct per source, {station}_time, afd_time): what a state claims to have known, and when it was there.
+
+    A source's struct has run_time and available_time of the newest run seen, the usable one and the one before, and
+    whether the usable one was complete by then. An available time is that of the run's first row of the day, a usable
+    run's that of its last.
+    """
+    roles = {"seen": ("latest_seen", "first_in_day"), "usable": ("latest_usable", "usable_since"), "previous": ("previous_usable", "usable_since")}
+    chosen = parts.chosen.join(parts.states.select("state_id", "day", "query_time"), "state_id")
+    there = parts.values.groupBy("state_id", "source").agg(*[F.max(F.when(F.col("role") == r, F.col(c))).alias(f"{name}_available_time") for r, (name, c) in roles.items()])
+    done = parts.full.select("source", "day", F.col("run_time").alias("usable_run"), "complete_at")
+    facts = chosen.join(there, ["state_id", "source"], "left").join(done, ["source", "day", "usable_run"], "left")
+    facts = facts.select("state_id", "source", *[F.col(f"{r}_run").alias(f"{name}_run_time") for r, (name, _) in roles.items()], *[f"{name}_available_time" for name, _ in roles.values()], (F.col("complete_at") <= F.col("query_time")).alias("complete"))
+    runs = _by(facts, "source", {k: k for k in audit.SOURCES}, [c for c in facts.columns if c not in ("state_id", "source")])
+    seen = parts.stations.filter("available").groupBy("state_id").agg(*[F.max(F.when(F.col("station_id") == k, F.timestamp_micros("latest_us"))).alias(f"{n}_time") for k, n in STATIONS.items()])
+    texts = parts.texts.select("state_id", F.timestamp_micros("latest.at").alias("afd_time"))
+    whole = parts.states.select("state_id", "day", "local_hour", "mode", "query_time")
+    for part in (runs, seen, texts):
+        whole = whole.join(part, "state_id", "left")
+    return whole
+
+
 def highest_so_far(parts: Parts) -> DataFrame:
     """(state_id, highest_so_far_f): over stations whose latest report is fresh."""
     return parts.stations.groupBy("state_id").agg(F.max(F.when(F.col("available"), F.col("tmax_so_far_f"))).alias("highest_so_far_f"))
