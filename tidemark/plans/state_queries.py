@@ -98,6 +98,14 @@ def state_wide_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select("state_id", F.col("target_date").cast("string").alias("target_date"), "state_mode", "local_hour", *[shown(f"{k}_{c}") for k in MODELS for c in MODEL_COLUMNS], *[F.col(f"{n}_{c}") for n in states.STATIONS.values() for c in STATION_COLUMNS], *gefs, *cross, "afd_product_id", "afd_age_hours")
 
 
+def shown_columns(f: DataFrame) -> list[str]:
+    """The columns that ``state_wide_row`` shows of a wide row."""
+    gefs = ["gefs_run", *[f"gefs_tmax_{x}_f" for x in ("mean", "p50", "std", "p10", "p90", "min", "max")], "gefs_member_count_available"]
+    cross = ["cross_model_forecast_count", *[f"cross_model_{x}_tmax_f" for x in ("mean", "median", "std", "range")]]
+    shown = {"state_id", "target_date", "state_mode", "local_hour", *[f"{k}_{c}" for k in MODELS for c in MODEL_COLUMNS], *[f"{n}_{c}" for n in states.STATIONS.values() for c in STATION_COLUMNS], *gefs, *cross, "afd_product_id", "afd_age_hours"}
+    return [c for c in f.columns if c in shown]
+
+
 @query(PARTS + " SELECT o.state_id, o.source, epoch_us(o.usable) AS run_us, epoch_us(fd.valid_time) AS valid_us, fd.fh::INT AS forecast_hour, fd.value AS temperature_f FROM o JOIN s USING (state_id) JOIN fd ON fd.source = o.source AND fd.run_time = o.usable AND fd.day = s.day AND fd.avail <= s.t")
 def state_trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The usable runs' temperatures within the day, as far as known."""
