@@ -83,3 +83,9 @@ def object_key(source: str, run_time: Column, forecast_hour: Column, member: Col
 
 def member_type(member: Column) -> Column:
     return F.when(member.startswith("gec"), "control").when(member.startswith("gep"), "perturbed")
+
+
+def temporal_keys(step_type: Column, start_step: Column, end_step: Column) -> Column:
+    """What a message's own keys say of its time: kind, hours of its window (none for an instant), and both steps."""
+    kind = F.when(step_type == "avg", "average").otherwise(step_type)
+    return F.struct(kind.alias("temporal_stat"), F.when(kind == "instant", 0).otherwise(end_step - start_step).cast("int").alias("temporal_window_hours"), start_step.alias("start_step"), end_step.alias("end_step"))

@@ -163,3 +163,14 @@ def grid_check(reference: DataFrame, later: DataFrame, by: list[str], distance_k
     near = F.coalesce(F.col("distance_km") < ceiling_km, F.lit(False))
     status = F.when(F.col("r_fingerprint").isNull() | F.col("fingerprint").isNull(), "PROBE_FAILED").when(same & dims & near, "PASS").otherwise("FLAGGED_FOR_INVESTIGATION")
     return d.select(*by, same.alias("fingerprint_match"), dims.alias("dims_match"), near.alias("distance_ok"), status.alias("status"))
+
+
+def scale(measured: DataFrame, by: list[str], horizons: dict[str, int]) -> DataFrame:
+    """What a plan would take if each day went on as measured. ``measured``: by, runs, rows, bytes, seconds, days; one row each.
+
+    (by, horizon, runs, rows, gigabytes, hours)
+    """
+    days = F.explode(F.array(*[F.struct(F.lit(k).alias("horizon"), F.lit(n).alias("n")) for k, n in horizons.items()])).alias("h")
+    m = measured.select("*", days)
+    per_day = lambda c: F.col(c) / F.nullif(F.col("days"), F.lit(0)) * F.col("h.n")
+    return m.select(*by, F.col("h.horizon").alias("horizon"), per_day("runs").alias("runs"), per_day("rows").alias("rows"), (per_day("bytes") / 1e9).alias("gigabytes"), (per_day("seconds") / 3600).alias("hours"))

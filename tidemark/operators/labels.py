@@ -32,6 +32,18 @@ def canonical(reports: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     )
 
 
+def report(labels: DataFrame, least: float = -40.0, most: float = 120.0) -> DataFrame:
+    """(metric, value) of ``canonical`` labels with their calendar: how many days have one, why others have none, and what is odd."""
+    ok, missing = F.col("label_status") == "OK", F.col("label_status") == "LABEL_UNAVAILABLE_CLINYC"
+    counts = {
+        "n_days_expected": F.lit(True), "n_days_available": ok, "n_days_missing": missing, "multi_final_days": ok & (F.col("n_final_candidates") > 1), "days_with_preliminary_rejected": F.col("n_preliminary_rejected") > 0,
+        "selection_errors": F.col("selection_error").isNotNull(), "impossible_values": ok & ~F.col("label_f").between(least, most), "provenance_gaps": ok & (F.col("product_id").isNull() | F.col("issuance_time").isNull()),
+    }
+    one = labels.agg(*[F.count(F.when(c, 1)).cast("double").alias(k) for k, c in counts.items()], (F.count("*") - F.countDistinct("target_date")).cast("double").alias("duplicate_target_dates"))
+    one = one.withColumn("coverage_pct", F.round(100 * F.col("n_days_available") / F.nullif(F.col("n_days_expected"), F.lit(0.0)), 2))
+    return one.unpivot([], [*counts, "duplicate_target_dates", "coverage_pct"], "metric", "value")
+
+
 def attach(features: DataFrame, labels: DataFrame, columns: list[str], on: str = "target_date") -> DataFrame:
     """``features`` with the label columns, replacing those of an earlier run; two labels for one day stop the job."""
     from tidemark.operators.joins import lookup

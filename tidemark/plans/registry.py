@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-MODULES: tuple[str, ...] = ("asof_queries", "pit_queries", "state_queries", "state_rest_queries", "market_queries", "join_queries", "window_queries", "text_queries", "quality_queries", "audit_queries", "stream_queries", "recorder_queries", "source_queries", "small_queries")
+MODULES: tuple[str, ...] = ("asof_queries", "pit_queries", "state_queries", "state_rest_queries", "market_queries", "join_queries", "window_queries", "text_queries", "quality_queries", "audit_queries", "report_queries", "stream_queries", "recorder_queries", "source_queries", "small_queries")
 
 
 def query(sql: str | None = None):
