@@ -96,3 +96,18 @@ def test_recall_just_above_the_threshold(spark):
     assert want > 150
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).filter("not kept").count()
     assert want - 1 <= got <= want
+
+
+def test_few_pairs_but_similar_ones_meet_with_full_sets(spark, monkeypatch):
+    """Of a family's pairs within the bounds only similar ones are left by their tokens, and all of these."""
+    texts = family(400, 11)
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    sets = minhash.written(minhash.full_sets(docs, 5).select(F.col("doc_id").alias("id"), "s"), "sets")
+    nodes = minhash.written(sets.select("id", F.size("s").cast("long").alias("n"), F.col("id").alias("comp")), "nodes")
+    tokens = minhash.written(minhash.weighed_tokens(nodes, sets, 85), "tokens")
+    within = minhash.written(minhash.bounded_pairs(tokens, 85), "within")
+    true = {(r["a"], r["b"]) for r in minhash.intersections(within, sets).filter("100 * i >= 85 * (t - i)").collect()}
+    assert 0 < len(true) < within.count() / 4
+    assert {(r["a"], r["b"]) for r in minhash.by_tokens(within, tokens, 85).collect()} == true
+    monkeypatch.setattr(minhash, "WEIGHT", 1)  # every token is too heavy: nothing is lost
+    assert minhash.by_tokens(within, tokens, 85).count() == within.count()

@@ -13,10 +13,12 @@ others. Then, with components known, the members of buckets that are still in se
 shingles that the same texts have are one token with their number as weight; tokens are ranked by rarity, and two
 similar texts share a token among the rarest of both, those that outweigh what a similar text may lack. Groups of
 texts by such a token are compared by exact bounds on the intersection. A group of more than ``HOT`` texts is divided
-by the next token that they share, and so on, wherever that leaves less to compare (counted before): so the pairs
-compared grow with the texts and not with their square. Texts of a divided group that are similar by the shared tokens
-alone are paired with its smallest text, which links them all. Only pairs within the bounds meet with their full sets.
-No link that could join two components is left out.
+by the next token that they share, and so on, wherever that leaves less to compare (counted before). Texts of a divided
+group that are similar by the shared tokens alone are paired with its smallest text, which links them all. What is left
+are pairs within the bounds; the weights of all the tokens that two texts share add up to their intersection, so few but
+similar pairs meet with their full sets. The pairs within the bounds still grow faster than the texts in a family of
+templates whose texts are many and nearly similar; they are compared by their tokens, a few numbers each. No link that
+could join two components is left out.
 
 Cases: null text, no words: an empty set, linked with nothing; fewer words than a shingle: the whole sequence is the one
 shingle; rows with one id are one document, linked if one of
@@ -190,13 +192,17 @@ def weighed_tokens(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
 
 def close_pairs(nodes: DataFrame, sets: DataFrame, percent: int, hot: int = HOT, depth: int = DEPTH) -> DataFrame:
-    """(a, b) of all texts of ``nodes`` (id, n, comp) in different components that may be similar, and few others.
+    """(a, b) of all texts of ``nodes`` (id, n, comp) in different components that may be similar by their bounds."""
+    return bounded_pairs(written(weighed_tokens(nodes, sets, percent), "tokens"), percent, hot, depth)
+
+
+def bounded_pairs(tokens: DataFrame, percent: int, hot: int = HOT, depth: int = DEPTH) -> DataFrame:
+    """The same from the texts' weighed tokens.
 
     A path is the first tokens that two texts share, rarest first; ``missed`` is the weight that a text has before and
     between them, which the other lacks. What is left bounds the intersection from above, the path's own weight from
     below. Paths get longer by one token, ``depth`` times at most; after that they are compared as they are.
     """
-    tokens = written(weighed_tokens(nodes, sets, percent), "tokens")
     more = tokens.select("id", F.col("pos").alias("at"), "token", "w", "before")
     own = ["id", "n", "comp", "rest", "slack", "size"]
     rows = tokens.filter("before <= slack").select(*own, "pos", F.col("token").alias("path"), F.col("before").alias("missed"), (F.col("before") + F.col("w")).alias("upto"), F.lit(None).cast("long").alias("parent"))
@@ -229,6 +235,24 @@ def close_pairs(nodes: DataFrame, sets: DataFrame, percent: int, hot: int = HOT,
     return reduce(DataFrame.union, found).distinct()
 
 
+#: Bits of a token's weight beside its hash in one number.
+WEIGHT = 24
+
+
+def by_tokens(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are similar by the weights of all the tokens they share.
+
+    The weights add up to the intersection; hashes that fall together can only add to it. So few pairs but similar ones
+    meet with their full sets. A text with a token too heavy for its bits keeps all its pairs.
+    """
+    most = (1 << WEIGHT) - 1
+    code = F.shiftleft("token", WEIGHT).bitwiseOR(F.least(F.col("w"), F.lit(most)))
+    own = written(tokens.groupBy("id").agg(F.first("n").alias("n"), F.collect_list(code).alias("codes"), F.max("w").alias("heaviest")), "codes")
+    a, b = (own.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("codes").alias(f"c{x}"), F.col("heaviest").alias(f"h{x}")) for x in "ab")
+    shared = F.aggregate(F.array_intersect("ca", "cb"), F.lit(0).cast("long"), lambda s, x: s + x.bitwiseAND(most))
+    return pairs.join(a, "a").join(b, "b").filter((F.greatest("ha", "hb") >= most) | similar(shared, F.col("na") + F.col("nb"), percent)).select("a", "b")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE, percent: int = PERCENT, side: int = SIDE, rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): documents linked at ``percent`` similarity, directly or by others."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -281,7 +305,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     open_ = at.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
     nodes = written(at.join(open_, "key", "left_semi").select("id", "n", "comp").distinct(), "open")
     if not nodes.isEmpty():
-        more = by_rep(intersections(close_pairs(nodes, sets, percent), sets).filter(similar(F.col("i"), F.col("t"), percent)).select("a", "b"))
+        tokens = written(weighed_tokens(nodes, sets, percent), "tokens")
+        more = by_rep(intersections(by_tokens(bounded_pairs(tokens, percent), tokens, percent), sets).filter(similar(F.col("i"), F.col("t"), percent)).select("a", "b"))
         more = written(more, "more")
         if not more.isEmpty():
             labels = connected(links.union(more))
