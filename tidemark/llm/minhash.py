@@ -50,7 +50,7 @@ class WordHashes(dict):
     """64-bit hashes of words, kept for the words of this worker; forgotten when they become many."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:  # some 40 MB
             self.clear()
         h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return h
