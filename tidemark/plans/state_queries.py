@@ -154,17 +154,14 @@ def state_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT CAST(NULL AS VARCHAR) AS state_id, CAST(NULL AS VARCHAR) AS check_name WHERE false")
 def dq_state_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audits of the wide rows by name; every one must find nothing."""
-    f = staged(states.structured_features(parts(spark, sf_dir)))
+    f = states.structured_features(parts(spark, sf_dir))
     proxy_only = [f"{n}_current_temp_f" for n in states.STATIONS.values()] + ["afd_product_id"]
     times = [f"{k}_{c}" for k in MODELS for c in ("usable_since", "run", "previous_run", "latest_seen_run")] + [f"{n}_latest_observation_time_utc" for n in states.STATIONS.values()] + ["gefs_run", "afd_issuance_time"]
-    found = [audit.lookahead(f, "query_time_utc", [c]).select("state_id", F.lit(f"no_lookahead_{c}").alias("check_name")) for c in times]
-    found += [audit.exposed(f, "state_mode", [c]).select("state_id", F.lit(f"strict_hides_{c}").alias("check_name")) for c in proxy_only]
-    found += [audit.too_young(f.filter("ecmwf_deterministic_age_hours is not null"), "ecmwf_deterministic_age_hours", 0.0).select("state_id", F.lit("age_is_not_negative").alias("check_name"))]
-    found += [audit.above(f.select("state_id", F.col(f"{k}_previous_run").cast("long").alias("a"), F.col(f"{k}_run").cast("long").alias("b")), "a", "b").select("state_id", F.lit(f"previous_is_older_{k}").alias("check_name")) for k in MODELS]
-    out = found[0]
-    for x in found[1:]:
-        out = out.unionByName(x)
-    return out
+    rules = {f"no_lookahead_{c}": F.col(c) > F.col("query_time_utc") for c in times}
+    rules |= {f"strict_hides_{c}": (F.col("state_mode") == "strict") & F.col(c).isNotNull() for c in proxy_only}
+    rules |= {f"previous_is_older_{k}": F.col(f"{k}_previous_run") > F.col(f"{k}_run") for k in MODELS}
+    rules["age_is_not_negative"] = F.col("ecmwf_deterministic_age_hours") < 0.0
+    return audit.violations(f, ["state_id"], rules)
 
 
 @query("SELECT o_orderkey, CASE WHEN coalesce(CASE WHEN o_orderkey % 3 > 0 THEN o_orderdate::DATE END, o_orderdate::DATE + 30) < DATE '1995-01-01' THEN 'historical' ELSE 'live' END AS endpoint FROM orders")
