@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import local_day_bounds
+from tidemark.operators.asof import HOUR
 from tidemark.operators.joins import small
+from tidemark.sources.sinks import staged
 
 #: Availability kinds, run states, members an ensemble must have.
 S3_PROXY, OBSERVATION_ONLY, ISSUANCE_ONLY, UNKNOWN = "S3_LAST_MODIFIED_PROXY", "OBSERVATION_TIME_ONLY", "ISSUANCE_TIME_ONLY", "UNKNOWN"
@@ -94,24 +96,31 @@ def in_day(rows: DataFrame, days: DataFrame) -> DataFrame:
     return keyed.filter((F.col("valid_time") >= F.col("day_start")) & (F.col("valid_time") < F.col("day_end"))).drop("day_start", "day_end")
 
 
-def run_completeness(rows: DataFrame, days: DataFrame, schedule: DataFrame, members: dict[str, int] | None = None) -> DataFrame:
+def runs_of(rows: DataFrame) -> DataFrame:
+    """(source, run_time, first_seen): one row a run of which anything has arrived."""
+    return rows.filter("available_time is not null").groupBy("source", "run_time").agg(F.min("available_time").alias("first_seen"))
+
+
+def run_completeness(rows: DataFrame, days: DataFrame, schedule: DataFrame, members: dict[str, int] | None = None, runs: DataFrame | None = None) -> DataFrame:
     """One row per (source, run_time, day): points and members expected and there, status, complete_at.
 
     ``complete_at``: when the last needed point arrived (null if one never did). An ensemble's points are those of its
-    poorest member.
+    poorest member. ``runs``: ``runs_of(rows)``, where the caller has it.
     """
     members = MEMBERS if members is None else members
     need = F.lit(None).cast("int")
     for source, n in members.items():
         need = F.when(F.col("source") == source, n).otherwise(need)
     known = rows.filter(F.col("available_time").isNotNull())
-    runs = known.select("source", "run_time").distinct()
-    expected = expected_points(runs, days, schedule)
+    runs = runs_of(rows) if runs is None else runs
+    expected = expected_points(runs.select("source", "run_time"), days, schedule)
     totals = expected.groupBy("source", "run_time", "day").agg(F.count("*").cast("int").alias("points_expected"))
     member = F.when(need.isNotNull(), F.col("ensemble_member")) if "ensemble_member" in rows.columns else F.lit(None).cast("string")
     points = in_day(known, days).withColumn("member", member).filter(need.isNull() | F.col("member").isNotNull()).groupBy("source", "run_time", "day", "member", "valid_time").agg(F.min("available_time").alias("at"))
-    wanted = expected.select("source", "run_time", "day", "valid_time", F.lit(True).alias("scheduled"))
-    per_member = points.join(wanted, ["source", "run_time", "day", "valid_time"], "left").groupBy("source", "run_time", "day", "member").agg(F.count("scheduled").cast("int").alias("n"), F.max(F.when(F.col("scheduled"), F.col("at"))).alias("at"))
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    wanted = small(schedule.select("source", "run_hour", (F.col("forecast_hour").cast("long") * HOUR).alias("ahead"), F.lit(True).alias("scheduled")))  # whether a point is scheduled needs no join of points with points
+    placed = points.withColumn("run_hour", F.hour("run_time")).withColumn("ahead", micros("valid_time") - micros("run_time"))
+    per_member = placed.join(wanted, ["source", "run_hour", "ahead"], "left").groupBy("source", "run_time", "day", "member").agg(F.count("scheduled").cast("int").alias("n"), F.max(F.when(F.col("scheduled"), F.col("at"))).alias("at"))
     per_run = per_member.groupBy("source", "run_time", "day").agg(F.min("n").alias("points"), F.count("*").cast("int").alias("member_count"), F.max("at").alias("at"))
     out = totals.join(per_run, ["source", "run_time", "day"], "full_outer").withColumn("points_expected", F.coalesce("points_expected", F.lit(0))).withColumn("points", F.coalesce("points", F.lit(0)))
     full = (F.col("points_expected") > 0) & (F.col("points") == F.col("points_expected")) & (need.isNull() | (F.col("member_count") == need))
@@ -119,13 +128,13 @@ def run_completeness(rows: DataFrame, days: DataFrame, schedule: DataFrame, memb
     return out.select("source", "run_time", "day", "points", "points_expected", F.when(need.isNotNull(), F.coalesce("member_count", F.lit(0))).alias("member_count"), need.alias("members_expected"), status.alias("status"), F.when(status == COMPLETE, F.col("at")).alias("complete_at"))
 
 
-def choose_runs(states: DataFrame, rows: DataFrame, completeness: DataFrame, look_back_days: int = LOOK_BACK_DAYS) -> DataFrame:
+def choose_runs(states: DataFrame, rows: DataFrame, completeness: DataFrame, look_back_days: int = LOOK_BACK_DAYS, runs: DataFrame | None = None) -> DataFrame:
     """(state_id, source, seen_run, usable_run, previous_run): the newest run with any row, the two newest complete ones.
 
     ``states``: (state_id, day, query_time). A run is spread over the few dates on which it may still be asked for, so
     this is an equality join on (date) of run rows and states.
     """
-    first = rows.filter("available_time is not null").groupBy("source", "run_time").agg(F.min("available_time").alias("first_seen"))
+    first = runs_of(rows) if runs is None else runs
     spread = F.explode(F.sequence(F.to_date("run_time"), F.date_add(F.to_date("run_time"), look_back_days))).alias("on_date")
     s = states.select("state_id", "day", "query_time", F.to_date("query_time").alias("on_date"))
     within = (F.col("run_time") <= F.col("query_time")) & (F.col("run_time") >= F.col("query_time") - F.expr(f"INTERVAL {look_back_days} DAYS"))
@@ -141,15 +150,22 @@ def run_values(states: DataFrame, rows: DataFrame, chosen: DataFrame, days: Data
     roles = F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.col(f"{r}_run").alias("run_time")) for r in ("seen", "usable", "previous")])).alias("x")
     picks = chosen.select("state_id", "source", roles).select("state_id", "source", "x.role", "x.run_time").filter("run_time is not null").join(states.select("state_id", "day", "query_time"), "state_id")
     here = in_day(rows.filter("available_time is not null"), days).drop("role")
-    both = picks.join(here, ["source", "run_time", "day"]).filter(F.col("available_time") <= F.col("query_time"))
+    both = small(picks).join(here, ["source", "run_time", "day"]).filter(F.col("available_time") <= F.col("query_time"))
     path = F.array_sort(F.collect_list(F.struct("valid_time", "forecast_hour", "value")))
     return both.groupBy("state_id", "source", "role", "run_time").agg(F.max("value").alias("daily_max"), F.min("available_time").alias("first_in_day"), F.max("available_time").alias("usable_since"), F.countDistinct("valid_time").alias("points"), path.alias("path"))
 
 
 def forecast_states(states: DataFrame, rows: DataFrame, days: DataFrame, schedule: DataFrame, members: dict[str, int] | None = None, look_back_days: int = LOOK_BACK_DAYS) -> DataFrame:
-    """One row per (state, source that has been seen): runs, daily maxima, revision, age, whether a newer run is arriving."""
-    full = run_completeness(rows, days, schedule, members)
-    chosen = choose_runs(states, rows, full, look_back_days)
+    """One row per (state, source that has been seen): runs, daily maxima, revision, age, whether a newer run is arriving.
+
+    Days, runs, their completeness and the choice of runs are few rows that several steps read; each is written once, so
+    the forecast rows are read three times: for the runs, for completeness, and for the chosen runs' values.
+    """
+    days = staged(days.select("day", "day_start", "day_end").distinct())
+    states = staged(states.select("state_id", "day", "query_time"))
+    runs = staged(runs_of(rows))
+    full = staged(run_completeness(rows, days, schedule, members, runs))
+    chosen = staged(choose_runs(states, rows, full, look_back_days, runs))
     values = run_values(states, rows, chosen, days).groupBy("state_id", "source").agg(*[F.max(F.when(F.col("role") == r, F.col(c))).alias(f"{r}_{c}") for r, c in (("usable", "daily_max"), ("previous", "daily_max"), ("usable", "usable_since"), ("seen", "points"))])
     out = chosen.join(values, ["state_id", "source"], "left").join(states.select("state_id", "day", "query_time"), "state_id")
     status = full.select("source", "day", F.col("run_time").alias("seen_run"), F.col("complete_at").alias("seen_complete_at"), (F.col("points_expected") == 0).alias("seen_na"))
