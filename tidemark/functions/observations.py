@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Report kinds that are summaries, not observations; plausible temperatures; wind directions that say "missing".
+#: Report kinds that are summaries, not observations; plausible temperatures; flags of a day in order; wind directions that say "missing".
 SUMMARY_REPORTS = ("SOD", "SOM")
 LEAST_F, MOST_F = -40.0, 120.0
+FLAGS = ("SPARSE_DAY", "ZERO_TEMPERATURE_DAY", "IMPLAUSIBLE_TEMPERATURE", "LARGE_GAP", "DUPLICATES")
 NO_DIRECTION = (999, 9999, -999, -9999)
 FRESH_HOURS = 6.0
 #: Further current values that a state shows.
@@ -56,26 +57,32 @@ def decoded(raw: DataFrame) -> DataFrame:
     )
 
 
-def quality_flags(n: Column, n_temperature: Column, most: Column, largest_gap_minutes: Column, n_duplicates: Column) -> Column:
-    """What is wrong with a station's day, joined by ``;``; OK if nothing. A day without rows has that flag alone."""
-    found = F.array(
-        F.when(n < 12, "SPARSE_DAY"),
-        F.when(n_temperature == 0, "ZERO_TEMPERATURE_DAY"),
-        F.when((most < LEAST_F) | (most > MOST_F), "IMPLAUSIBLE_TEMPERATURE"),
-        F.when(largest_gap_minutes > 180, "LARGE_GAP"),
-        F.when(n_duplicates > 0, F.concat(F.lit("DUPLICATES("), n_duplicates.cast("string"), F.lit(")"))),
+def quality_flags(n: Column, n_temperature: Column, most: Column, largest_gap_minutes: Column, n_duplicates: Column, wanted: tuple[str, ...] = FLAGS) -> Column:
+    """What is wrong with a station's day, joined by ``;``; OK if nothing. A day without rows has that flag alone. ``wanted``: the flags to look for."""
+    rules = dict(
+        zip(
+            FLAGS,
+            (
+                F.when(n < 12, "SPARSE_DAY"),
+                F.when(n_temperature == 0, "ZERO_TEMPERATURE_DAY"),
+                F.when((most < LEAST_F) | (most > MOST_F), "IMPLAUSIBLE_TEMPERATURE"),
+                F.when(largest_gap_minutes > 180, "LARGE_GAP"),
+                F.when(n_duplicates > 0, F.concat(F.lit("DUPLICATES("), n_duplicates.cast("string"), F.lit(")"))),
+            ),
+            strict=True,
+        )
     )
-    joined = F.array_join(F.array_compact(found), ";")
+    joined = F.array_join(F.array_compact(F.array(*[rules[x] for x in wanted])), ";")
     return F.when(n == 0, "ZERO_OBSERVATION_DAY").when(joined == "", "OK").otherwise(joined)
 
 
-def station_days(obs: DataFrame, by: list[str], time_us: str, value: str) -> DataFrame:
-    """Per station and day: observations, extremes, largest gap, duplicates, flags. ``by``: station, day."""
+def station_days(obs: DataFrame, by: list[str], time_us: str, value: str, wanted: tuple[str, ...] = FLAGS) -> DataFrame:
+    """Per station and day: observations, extremes, largest gap, duplicates, flags. ``by``: station, day; ``wanted``: the flags to look for."""
     from pyspark.sql import Window
 
     gap = (F.col(time_us) - F.lag(time_us).over(Window.partitionBy(*by).orderBy(time_us))) / 6e7
     g = obs.withColumn("__gap", gap).groupBy(*by).agg(F.count("*").alias("n"), F.count(value).alias("n_temperature"), F.max(value).alias("most"), F.max("__gap").alias("largest_gap"), (F.count("*") - F.countDistinct(time_us)).alias("n_duplicates"))
-    return g.withColumn("flags", quality_flags(*[F.col(c) for c in ("n", "n_temperature", "most", "largest_gap", "n_duplicates")]))
+    return g.withColumn("flags", quality_flags(*[F.col(c) for c in ("n", "n_temperature", "most", "largest_gap", "n_duplicates")], wanted))
 
 
 def season_bucket(month: Column) -> Column:
