@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import windows
+from tidemark.sources.sinks import staged
 
 #: A side is broadcast only if it is counted to have at most this many rows.
 BROADCAST_ROWS = 200_000
@@ -78,20 +82,48 @@ def lon_180(lon: Column) -> Column:
     return F.when(lon > 180, lon - 360).otherwise(lon)
 
 
+#: Grid points that the fullest cell of the first level may hold, and the finest level (0.3 m).
+CELL_POINTS, FINEST = 16, 27
+
+
 def nearest_points(points: DataFrame, grid: DataFrame, key: str, lat: str, lon: str, grid_lat: str, grid_lon: str, cell: float, ceiling_km: float) -> DataFrame:
-    """The grid point nearest to each point, within ``ceiling_km``.
+    """The grid point nearest to each point, within ``ceiling_km``; of several at one distance the least row.
 
-    Grid points are dealt to cells of ``cell`` degrees; a point looks into its own cell and the ones around it, as many as
-    the ceiling asks for at the point's latitude.
+    Cells are 360 degrees over a power of two. A point looks into the four cells around it, so as far as half a cell at
+    least. What it finds there counts if it is nearer than the border of these four; else the point looks again among
+    cells of twice the size, until it has found one or has looked as far as the ceiling. The first cells have ``cell``
+    degrees at most and are divided until the fullest holds few grid points, so that the candidates of a point don't
+    grow with the grid; grid points at one place count as one.
     """
-    reach = F.ceil(F.lit(ceiling_km / 111.0) / cell)
-    wide = F.ceil(F.lit(ceiling_km / 111.0) / F.greatest(F.cos(F.radians(F.abs(F.col(lat)) + ceiling_km / 111.0)), F.lit(0.01)) / cell)
-    y, x = F.floor(F.col(lat) / cell), F.floor(F.col(lon) / cell)
-    p = points.withColumn("__y", F.explode(F.sequence(y - reach, y + reach))).withColumn("__x", F.explode(F.sequence(x - wide, x + wide))).withColumn("__x", F.pmod("__x", F.lit(round(360 / cell))))
-    g = grid.withColumn("__gy", F.floor(F.col(grid_lat) / cell)).withColumn("__gx", F.pmod(F.floor(F.col(grid_lon) / cell), F.lit(round(360 / cell))))
-    both = p.join(g, (F.col("__y") == F.col("__gy")) & (F.col("__x") == F.col("__gx"))).withColumn("distance_km", haversine_km(F.col(lat), F.col(lon), F.col(grid_lat), F.col(grid_lon))).filter(F.col("distance_km") <= ceiling_km)
-    best = F.min_by(F.struct(*grid.columns, "distance_km"), F.struct("distance_km", *grid.columns))
-    return both.groupBy(key).agg(best.alias("b")).select(key, "b.*")
+    g = staged(grid.filter(F.col(grid_lat).isNotNull() & F.col(grid_lon).isNotNull()).groupBy(grid_lat, grid_lon).agg(F.min(F.struct(*grid.columns)).alias("__g")))
+    column = lambda x, c, k: F.pmod(F.floor(F.col(x) / c), F.lit(1 << k))
+    k = max(1, math.ceil(math.log2(360 / cell)))
+    while k < FINEST:
+        c = 360 / (1 << k)
+        most = g.groupBy(F.floor(F.col(grid_lat) / c), column(grid_lon, c, k)).count().agg(F.max("count")).first()[0] or 0
+        if most <= CELL_POINTS:
+            break
+        k = min(FINEST, k + max(1, math.ceil(math.log(most / CELL_POINTS, 4))))
+    open_, found = points.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()), []
+    while True:
+        c, last = 360 / (1 << k), k <= 1
+        y, x = (F.floor(F.col(v) / c - 0.5) for v in (lat, lon))
+        # how far the four cells reach: to their parallels, and to their meridians (great circles at a right angle)
+        up = F.least(F.col(lat) - F.col("__y0") * c, (F.col("__y0") + 2) * c - F.col(lat))
+        aside = F.least(F.col(lon) - F.col("__x0") * c, (F.col("__x0") + 2) * c - F.col(lon), F.lit(90.0))
+        reach = F.lit(math.inf) if last else EARTH_KM * F.least(F.radians(up), F.asin(F.cos(F.radians(lat)) * F.sin(F.radians(aside)))) * (1 - 1e-9)
+        four = F.array(*[F.struct((F.col("__y0") + i).alias("y"), F.pmod(F.col("__x0") + j, F.lit(1 << k)).alias("x")) for i in (0, 1) for j in (0, 1)])
+        p = open_.withColumns({"__y0": y, "__x0": x}).withColumn("__reach", reach).withColumn("__c", F.explode(F.array_distinct(four))).drop("__y0", "__x0")
+        cells = g.withColumns({"__gy": F.floor(F.col(grid_lat) / c), "__gx": column(grid_lon, c, k)}).withColumnsRenamed({grid_lat: "__glat", grid_lon: "__glon"})
+        both = p.join(cells, (F.col("__c.y") == F.col("__gy")) & (F.col("__c.x") == F.col("__gx")), "left").withColumn("__km", haversine_km(F.col(lat), F.col(lon), F.col("__glat"), F.col("__glon")))
+        best = F.min(F.when(F.col("__km").isNotNull() & (F.col("__km") <= ceiling_km), F.struct("__km", "__g")))
+        seen = staged(both.groupBy(key, lat, lon).agg(best.alias("__b"), F.min("__reach").alias("__reach")))
+        found.append(seen.filter("__b.__km <= __reach").select(key, "__b.__g.*", F.col("__b.__km").alias("distance_km")))
+        open_ = seen.filter(F.coalesce(F.col("__b.__km") > F.col("__reach"), F.col("__reach") < ceiling_km)).select(key, lat, lon)
+        if last or open_.isEmpty():
+            nearest = F.min_by(F.struct(*grid.columns, "distance_km"), F.struct("distance_km", *grid.columns))
+            return reduce(DataFrame.unionByName, found).groupBy(key).agg(nearest.alias("b")).select(key, "b.*")
+        k -= 1
 
 
 def nearest_by_rank(df: DataFrame, by: list[str], order: list[str], middle: Column, wanted: Column) -> DataFrame:
