@@ -16,6 +16,8 @@ DAY, HOUR = 86_400_000_000, 3_600_000_000
 #: In event time of the table, whose rows are minutes apart: a book's checkpoint a day, snapshot requests six hours apart,
 #: recordings that close at 20:00 and end two hours later, a clock that waits one hour for late arrivals.
 EVERY, COOLDOWN, CLOSE, GRACE_MS, WAIT_MS = DAY, 6 * HOUR, 20 * HOUR, 7_200_000, 3_600_000
+#: Messages of a micro-batch: what a batch holds in memory doesn't grow with the table.
+BATCH = 250_000
 END = "timestamp_micros(cast(4102444800000000 as bigint))"
 
 
@@ -23,19 +25,20 @@ def _ended(messages: DataFrame, path: str, segment, market: str = "market_ticker
     """Records ``messages`` and a last segment with nothing but the mark that the recording is over; the number of segments."""
     spark = messages.sparkSession
     n = recorded.record(messages, segment, path, market)
-    mark = spark.range(1).select(*[(F.expr(END) if f.name == "ts" else F.lit("end") if f.name in ("type", market) else F.lit(None)).cast(f.dataType).alias(f.name) for f in messages.schema.fields])
+    mark = spark.range(1).select(*[(F.expr(END) if f.name == "ts" else F.lit("end") if f.name in ("type", market) else F.lit(None)).cast(f.dataType).alias(f.name) for f in messages.schema.fields if f.name != "segment"])
     mark.write.parquet(f"{path}/segment={n}/chunk=0")
     return n + 1
 
 
 def _books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checkpoints and requests of all markets; messages are recorded by quarters of the month, in order of arrival."""
+    """Checkpoints and requests of all markets; messages are recorded by quarters of the month, in order of arrival, at most
+    ``BATCH`` to a segment. Within a quarter times may go back, so the clock waits for the length of one."""
     path = shared_dir(spark)
     e = events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-    m = staged(numbered(e, "ts"))
-    n = _ended(m, f"{path}/recorded", F.floor((F.dayofmonth("ts") - 1) / 8))
-    stream = recorder.replayed(spark, f"{path}/recorded", n, m.schema, f"{path}/progress")
-    live = recorder.clocked(stream, "ts", mark=F.col("type") == "end")
+    m = staged(recorded.bounded(numbered(e, "ts"), F.floor((F.dayofmonth("ts") - 1) / 8), "ord", BATCH))
+    n = _ended(m, f"{path}/recorded", F.col("segment"))
+    stream = recorder.replayed(spark, f"{path}/recorded", n, m.drop("segment").schema, f"{path}/progress")
+    live = recorder.clocked(stream, "ts", "8 days", mark=F.col("type") == "end")
     return recorder.drained(recorder.noted(recorder.sequenced(live), EVERY, COOLDOWN))[0]
 
 

@@ -25,6 +25,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from tidemark.operators import windows
+
 #: Fixed: markets of one subscription message.
 SUBSCRIBE = 20
 
@@ -40,6 +42,15 @@ def chunk_of(markets: DataFrame, market: str = "market_ticker", size: int = SUBS
     return names.withColumn("chunk", F.floor((F.row_number().over(Window.orderBy(market)) - 1) / size).cast("int"))
 
 
+def bounded(messages: DataFrame, span: Column, order: str, rows: int) -> DataFrame:
+    """Adds ``segment``: spans in order, each cut along ``order`` into segments of at most ``rows`` messages, numbered from 0."""
+    d = windows.running_sum(messages.withColumns({"__span": span, "__one": F.lit(1).cast("long")}), ["__span"], [order], "__one", "__upto")
+    d = d.withColumn("__part", F.floor((F.col("__upto") - 1) / rows)).drop("__one", "__upto")
+    place = Window.orderBy("__span", "__part")  # a row a segment
+    parts = d.select("__span", "__part").distinct().select(F.struct("__span", "__part").alias("__s"), (F.row_number().over(place) - 1).alias("segment"))
+    return d.join(F.broadcast(parts), F.struct("__span", "__part") == F.col("__s")).drop("__span", "__part", "__s")
+
+
 def record(messages: DataFrame, segment: Column, path: str, market: str = "market_ticker") -> int:
     """Writes messages as a recorder would; returns how many segments there are."""
     chunks = chunk_of(messages, market).withColumnRenamed(market, "__m")
