@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from tidemark.operators import orderbook
 from tidemark.operators.windows import prefix_sum
 from tidemark.plans.registry import query
-from tidemark.sources.sinks import shared_dir
+from tidemark.sources import recorded
+from tidemark.sources.sinks import shared_dir, staged
 from tidemark.sources.tables import events
-from tidemark.streaming import books, runs
+from tidemark.streaming import books, recorder, runs
+
+#: Messages of a micro-batch: what a batch holds in memory doesn't grow with the table.
+BATCH = 250_000
 
 
 def messages_of(e: DataFrame, *more: str) -> DataFrame:
@@ -72,11 +76,11 @@ def orderbook_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(MESSAGES + "SELECT * FROM bk")
 def stream_orderbook(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same books by a stateful stream over message files."""
-    path = f"{shared_dir(spark)}/messages"
-    numbered(events(spark, sf_dir)).write.parquet(path)
-    source = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    done = runs.finished(books.book_stream(source), "append")
+    """The same books by a stateful stream over recorded messages, in order of arrival, at most ``BATCH`` a micro-batch."""
+    path = shared_dir(spark)
+    m = staged(recorded.bounded(numbered(events(spark, sf_dir)), F.lit(0), "ord", BATCH))
+    n = recorded.record(m, F.col("segment"), f"{path}/recorded")
+    done, _ = recorder.drained(books.book_stream(recorder.replayed(spark, f"{path}/recorded", n, m.drop("segment").schema, f"{path}/progress")))
     return runs.newest(done, ["sid", "market_ticker"]).drop("upto")
 
 
