@@ -96,6 +96,29 @@ def in_day(rows: DataFrame, days: DataFrame) -> DataFrame:
     return keyed.filter((F.col("valid_time") >= F.col("day_start")) & (F.col("valid_time") < F.col("day_end"))).drop("day_start", "day_end")
 
 
+def with_until(rows: DataFrame, states: DataFrame) -> DataFrame:
+    """Arrived rows with ``until`` (microseconds): at or before a state's ``query_time`` if and only if the arrival is.
+
+    It is the next query time, or the end of the hour of arrival, so that query times are found by an equality join.
+    """
+    at, t = F.unix_micros("available_time"), F.unix_micros("query_time")
+    hours = states.select(F.floor(t / HOUR).alias("__hour"), t.alias("t")).groupBy("__hour").agg(F.collect_set("t").alias("__times"))
+    placed = rows.filter("available_time is not null").withColumn("__hour", F.floor(at / HOUR)).join(small(hours), "__hour", "left")
+    next_one = F.array_min(F.filter("__times", lambda x: x >= at))
+    return placed.withColumn("until", F.coalesce(next_one, (F.col("__hour") + 1) * HOUR)).drop("__hour", "__times")
+
+
+def condensed(rows: DataFrame, states: DataFrame) -> DataFrame:
+    """Rows that no state can tell apart become at most two: all of one point and member that arrive between the same query times.
+
+    They keep the first and the last arrival, each with the largest value; so maxima, first and last arrivals, counts of
+    points, and what is known at a state's ``query_time`` are those of all rows.
+    """
+    key = ["source", "run_time", "ensemble_member", "forecast_hour", "valid_time"]
+    g = with_until(rows, states).groupBy(*key, "until").agg(F.max("value").alias("value"), F.min("available_time").alias("first"), F.max("available_time").alias("last"))
+    return g.select(*key, "value", F.explode(F.array_distinct(F.array("first", "last"))).alias("available_time"))
+
+
 def runs_of(rows: DataFrame) -> DataFrame:
     """(source, run_time, first_seen): one row a run of which anything has arrived."""
     return rows.filter("available_time is not null").groupBy("source", "run_time").agg(F.min("available_time").alias("first_seen"))
@@ -145,6 +168,13 @@ def choose_runs(states: DataFrame, rows: DataFrame, completeness: DataFrame, loo
     return met.groupBy("state_id", "source").agg(F.max("run_time").alias("seen_run"), top.alias("r")).select("state_id", "source", "seen_run", F.get("r", F.lit(0)).alias("usable_run"), F.get("r", F.lit(1)).alias("previous_run"))
 
 
+def chosen_runs(states: DataFrame, rows: DataFrame, days: DataFrame, schedule: DataFrame, members: dict[str, int] | None = None, look_back_days: int = LOOK_BACK_DAYS) -> tuple[DataFrame, DataFrame]:
+    """Completeness of the runs, and the states' choice of them, each written once."""
+    runs = staged(runs_of(rows))
+    full = staged(run_completeness(rows, days, schedule, members, runs))
+    return full, staged(choose_runs(states, rows, full, look_back_days, runs))
+
+
 def run_values(states: DataFrame, rows: DataFrame, chosen: DataFrame, days: DataFrame) -> DataFrame:
     """Per (state, source, role): the chosen run's daily maximum, path and arrival times, from rows known at the state's time."""
     roles = F.explode(F.array(*[F.struct(F.lit(r).alias("role"), F.col(f"{r}_run").alias("run_time")) for r in ("seen", "usable", "previous")])).alias("x")
@@ -155,17 +185,15 @@ def run_values(states: DataFrame, rows: DataFrame, chosen: DataFrame, days: Data
     return both.groupBy("state_id", "source", "role", "run_time").agg(F.max("value").alias("daily_max"), F.min("available_time").alias("first_in_day"), F.max("available_time").alias("usable_since"), F.countDistinct("valid_time").alias("points"), path.alias("path"))
 
 
-def forecast_states(states: DataFrame, rows: DataFrame, days: DataFrame, schedule: DataFrame, members: dict[str, int] | None = None, look_back_days: int = LOOK_BACK_DAYS) -> DataFrame:
+def forecast_states(states: DataFrame, rows: DataFrame, days: DataFrame, schedule: DataFrame, members: dict[str, int] | None = None, look_back_days: int = LOOK_BACK_DAYS, found: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """One row per (state, source that has been seen): runs, daily maxima, revision, age, whether a newer run is arriving.
 
-    Days, runs, their completeness and the choice of runs are few rows that several steps read; each is written once, so
+    ``found``: completeness and chosen runs, where the caller has them. Days, runs, their completeness and the choice of runs are few rows that several steps read; each is written once, so
     the forecast rows are read three times: for the runs, for completeness, and for the chosen runs' values.
     """
     days = staged(days.select("day", "day_start", "day_end").distinct())
     states = staged(states.select("state_id", "day", "query_time"))
-    runs = staged(runs_of(rows))
-    full = staged(run_completeness(rows, days, schedule, members, runs))
-    chosen = staged(choose_runs(states, rows, full, look_back_days, runs))
+    full, chosen = found or chosen_runs(states, rows, days, schedule, members, look_back_days)
     values = run_values(states, rows, chosen, days).groupBy("state_id", "source").agg(*[F.max(F.when(F.col("role") == r, F.col(c))).alias(f"{r}_{c}") for r, c in (("usable", "daily_max"), ("previous", "daily_max"), ("usable", "usable_since"), ("seen", "points"))])
     out = chosen.join(values, ["state_id", "source"], "left").join(states.select("state_id", "day", "query_time"), "state_id")
     status = full.select("source", "day", F.col("run_time").alias("seen_run"), F.col("complete_at").alias("seen_complete_at"), (F.col("points_expected") == 0).alias("seen_na"))

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import observations, text, times
 from tidemark.operators import audit, pit
 from tidemark.operators.asof import last_two
+from tidemark.operators.joins import small
+from tidemark.sources.sinks import staged
 
 #: Deterministic sources, stations and their names, statistics of the ensemble and their column names.
 MODELS = ("hrrr", "gfs", "nbm", "ecmwf_deterministic")
@@ -24,17 +26,18 @@ class Parts:
 
     ``states``: of ``times.state_grid``; ``forecasts``: the gridded table with ``available_time`` resolved; ``stations``:
     decoded reports; ``bulletins``: product_id, issuance_time, raw_text. Strict states see no station and no bulletin.
+    The forecasts are read once here, condensed to what the states can tell apart; trajectories read them again.
     """
 
     def __init__(self, states: DataFrame, forecasts: DataFrame, stations: DataFrame, bulletins: DataFrame, schedule: DataFrame, members: dict[str, int] | None = None):
+        states = staged(states)
         self.states, self.forecasts, self.bulletins = states, forecasts, bulletins
-        self.days = states.select("day", "day_start", "day_end").distinct()
-        rows = pit.temperature_rows(forecasts).withColumn("value", F.col("value_f"))
+        self.days = staged(states.select("day", "day_start", "day_end").distinct())
+        rows = staged(pit.condensed(pit.temperature_rows(forecasts).withColumn("value", F.col("value_f")), states))
         self.members = pit.MEMBERS if members is None else members
-        self.full = pit.run_completeness(rows, self.days, schedule, self.members)
-        self.chosen = pit.choose_runs(states, rows, self.full)
-        self.runs = pit.forecast_states(states, rows, self.days, schedule, self.members)
-        self.values = pit.run_values(states, rows, self.chosen, self.days)
+        self.full, self.chosen = pit.chosen_runs(states, rows, self.days, schedule, self.members)
+        self.runs = staged(pit.forecast_states(states, rows, self.days, schedule, self.members, found=(self.full, self.chosen)))
+        self.values = pit.run_values(states, rows, self.chosen, self.days).drop("path")
         self.maxima = pit.member_maxima(states, rows, self.chosen.filter(F.col("source") == "gefs"), self.days)
         self.before = pit.member_maxima(states, rows, self.chosen.filter(F.col("source") == "gefs"), self.days, "previous")
         proxy = states.filter("mode = 'proxy'")
@@ -123,19 +126,24 @@ def highest_so_far(parts: Parts) -> DataFrame:
 
 
 def forecast_trajectories(parts: Parts) -> DataFrame:
-    v = parts.values.filter((F.col("role") == "usable") & F.col("source").isin(*MODELS))
-    return v.select("state_id", "source", "run_time", F.explode("path").alias("p")).select("state_id", "source", "run_time", "p.valid_time", "p.forecast_hour", F.col("p.value").alias("temperature_f"))
+    """The usable runs' temperatures within the day, as far as known."""
+    return pit.temperature_rows(_of_usable(parts, MODELS)).select("state_id", "source", "run_time", "valid_time", "forecast_hour", F.col("value_f").alias("temperature_f"))
 
 
 def gefs_members(parts: Parts) -> DataFrame:
     return parts.maxima.select("state_id", "run_time", "ensemble_member", F.col("daily_max").alias("member_daily_max_f"))
 
 
+def _usable(parts: Parts, sources: tuple[str, ...]) -> DataFrame:
+    """(state_id, source, run_time, day, query_time) of the usable runs."""
+    picks = parts.chosen.filter(F.col("source").isin(*sources) & F.col("usable_run").isNotNull()).select("state_id", "source", F.col("usable_run").alias("run_time"))
+    return picks.join(parts.states.select("state_id", "day", "query_time"), "state_id")
+
+
 def _of_usable(parts: Parts, sources: tuple[str, ...]) -> DataFrame:
     """All variables of the chosen runs within the day, as far as known at the state's time."""
-    picks = parts.chosen.filter(F.col("source").isin(*sources) & F.col("usable_run").isNotNull()).select("state_id", "source", F.col("usable_run").alias("run_time")).join(parts.states.select("state_id", "day", "query_time"), "state_id")
     rows = pit.in_day(parts.forecasts.filter(F.col("available_time").isNotNull()), parts.days)
-    return picks.join(rows, ["source", "run_time", "day"]).filter(F.col("available_time") <= F.col("query_time"))
+    return small(_usable(parts, sources)).join(rows, ["source", "run_time", "day"]).filter(F.col("available_time") <= F.col("query_time"))
 
 
 SHOWN = ["variable", "level", "valid_time", "forecast_hour", "value", "units", "temporal_stat", "temporal_window_hours"]
@@ -150,14 +158,28 @@ def gefs_member_trajectories(parts: Parts) -> DataFrame:
     return _of_usable(parts, ("gefs",)).select("state_id", "run_time", "ensemble_member", "member_type", *SHOWN)
 
 
+def _remaining(parts: Parts) -> DataFrame:
+    """(state_id, source, remaining): the usable run's path from the state's time on, by time; empty if all of it is past.
+
+    A run's points are gathered once, as parcels of what arrives between the same query times; states take parcels.
+    """
+    local = F.from_utc_timestamp("valid_time", times.ZONE)
+    rows = pit.with_until(pit.in_day(pit.temperature_rows(parts.forecasts).filter(F.col("source").isin(*MODELS)), parts.days), parts.states)
+    point = F.struct((F.hour(local) + F.minute(local) / 60).alias("local_hour"), F.bround("value_f", 2).alias("temp_f"))
+    parcels = rows.groupBy("source", "run_time", "day", "valid_time", "forecast_hour", "until").agg(F.collect_list(point).alias("points"))
+    known = small(_usable(parts, MODELS)).join(parcels, ["source", "run_time", "day"]).filter(F.col("until") <= F.unix_micros("query_time"))
+    ahead = F.collect_list(F.when(F.col("valid_time") >= F.col("query_time"), F.col("points")))
+    hours = known.groupBy("state_id", "source", "valid_time", "forecast_hour").agg(F.sort_array(F.flatten(ahead)).alias("x"))
+    path = F.sort_array(F.collect_list(F.struct("valid_time", "forecast_hour", "x")))
+    return hours.groupBy("state_id", "source").agg(path.alias("r")).select("state_id", "source", F.flatten(F.col("r.x")).alias("remaining"))
+
+
 def weather_input(parts: Parts) -> DataFrame:
     """(state_id, input): what a model reads, as one JSON document; numbers to two places, half to even."""
     r2 = lambda c: F.bround(c, 2)
     s = parts.states
     target = F.struct(F.col("day").cast("string").alias("target_date"), F.date_format("query_time", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("state_time_utc"), F.col("local_hour"), r2(times.day_progress(F.col("query_time"), F.col("day"))[1]).alias("hours_remaining_in_day"))
-    path = parts.values.filter((F.col("role") == "usable") & F.col("source").isin(*MODELS)).join(s.select("state_id", "query_time"), "state_id")
-    left = F.transform(F.filter("path", lambda p: p["valid_time"] >= F.col("query_time")), lambda p: F.struct((F.hour(F.from_utc_timestamp(p["valid_time"], times.ZONE)) + F.minute(F.from_utc_timestamp(p["valid_time"], times.ZONE)) / 60).alias("local_hour"), r2(p["value"]).alias("temp_f")))
-    path = path.select("state_id", "source", left.alias("remaining"))
+    path = _remaining(parts)
     m = parts.runs.filter(F.col("source").isin(*MODELS)).join(path, ["state_id", "source"], "left")
     m = m.select("state_id", "source", F.struct(F.lit(True).alias("available"), "usable_for_daily_max", r2(F.col("tmax")).alias("predicted_daily_max_f"), r2(F.col("previous_tmax")).alias("previous_predicted_daily_max_f"), r2(F.col("revision")).alias("revision_f"), F.bround(F.col("age_hours") * 60, 1).alias("forecast_age_minutes"), F.date_format("usable_run", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("run_time"), F.col("remaining").alias("remaining_target_day_trajectory"), "newer_run_arriving").alias("m"))
     models = m.groupBy("state_id").agg(F.map_from_entries(F.collect_list(F.struct("source", "m"))).alias("models"))

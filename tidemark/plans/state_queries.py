@@ -44,7 +44,7 @@ def parts(spark: SparkSession, sf_dir: str) -> states.Parts:
     station = F.get(F.array(*map(F.lit, states.STATIONS)), (F.col("user_id") % 4).cast("int"))
     obs = e.filter("event_type = 'view'").groupBy(station.alias("station_id"), ts.alias("observation_time")).agg(F.max("value").alias("temperature_f"))
     texts = e.filter("event_type = 'error'").groupBy(ts.alias("issuance_time")).agg(F.min("event_id").cast("string").alias("product_id")).select("product_id", "issuance_time", F.concat(F.lit("HEAD\n.SYNOPSIS...\nnumber "), "product_id", F.lit("\n.MARINE...\ncalm\n")).alias("raw_text"))
-    return states.Parts(pit_queries.states(spark, sf_dir), staged(forecasts(spark, sf_dir)), obs, texts, schedule(spark), {"gefs": 5})
+    return states.Parts(pit_queries.states(spark, sf_dir), forecasts(spark, sf_dir), obs, texts, schedule(spark), {"gefs": 5})
 
 
 ENSEMBLE = pit_queries.ROWS.replace("'m' || (user_id % 4)", "'gefs'") + """,
@@ -146,9 +146,11 @@ SELECT s.state_id, s.local_hour::INT AS local_hour, r.models, round_even(r.hrrr,
 def state_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the compact documents say, read back out of their JSON."""
     d = states.weather_input(parts(spark, sf_dir))
-    at = lambda path, kind: F.get_json_object("input", path).cast(kind)
-    models = F.size(F.map_keys(F.from_json(F.get_json_object("input", "$.models"), "map<string,string>")))
-    return d.select("state_id", at("$.target.local_hour", "int").alias("local_hour"), F.when(models >= 0, models).cast("long").alias("models"), at("$.models.hrrr.predicted_daily_max_f", "double").alias("hrrr_max_f"), at("$.observations.highest_temperature_so_far_f", "double").alias("highest_f"), at("$.cross_model.forecast_count", "long").alias("forecast_count"), at("$.afd.product_id", "string").alias("product_id"), F.trim(at("$.afd.sections[0].section_text", "string")).alias("synopsis"))
+    kind = "target struct<local_hour:int>, models map<string,struct<predicted_daily_max_f:double>>, observations struct<highest_temperature_so_far_f:double>, cross_model struct<forecast_count:bigint>, afd struct<product_id:string,sections:array<struct<section_text:string>>>"
+    j = staged(d.select("state_id", F.from_json("input", kind).alias("j")))  # documents are long: read once, the paths passed over
+    models = F.size(F.map_keys("j.models"))
+    synopsis = F.get("j.afd.sections", F.lit(0))["section_text"]
+    return j.select("state_id", F.col("j.target.local_hour").alias("local_hour"), F.when(models >= 0, models).cast("long").alias("models"), F.try_element_at("j.models", F.lit("hrrr"))["predicted_daily_max_f"].alias("hrrr_max_f"), F.col("j.observations.highest_temperature_so_far_f").alias("highest_f"), F.col("j.cross_model.forecast_count").alias("forecast_count"), F.col("j.afd.product_id").alias("product_id"), F.trim(synopsis).alias("synopsis"))
 
 
 @query("SELECT CAST(NULL AS VARCHAR) AS state_id, CAST(NULL AS VARCHAR) AS check_name WHERE false")
