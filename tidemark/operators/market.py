@@ -86,10 +86,10 @@ def endpoint(settled: Column, closed: Column, cutoff: Column) -> Column:
 def pairs(candles: DataFrame, bounds: DataFrame | None = None, unit_seconds: float = 60.0) -> DataFrame:
     """Each candle beside its predecessor. ``bounds``: (market_ticker, close_ts), one row each.
 
-    Candles of one time follow each other by ``arrival``, if they have it.
+    Candles of one time follow each other by ``arrival``, if they have it. Those without a time come last and precede none.
     """
-    order = ["timestamp", *[c for c in ("arrival",) if c in candles.columns]]
-    p = windows.pairs(candles, ["market_ticker"], order, ["timestamp", "yes_bid_close", "yes_ask_close", "is_empty_book"])
+    order = [F.col("timestamp").asc_nulls_last(), *[c for c in ("arrival",) if c in candles.columns]]
+    p = windows.pairs(candles, ["market_ticker"], order, ["timestamp", "yes_bid_close", "yes_ask_close", "is_empty_book"]).filter("pre_timestamp is not null")
     if bounds is not None:
         p = p.join(bounds.select("market_ticker", "close_ts"), "market_ticker", "left")
     elif "close_ts" not in p.columns:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.sources.sinks import staged
 
 
-def over(by: list[str], order: list[str]):
+def over(by: list[str], order: list[str | Column]):
     return Window.partitionBy(*by).orderBy(*order)
 
 
@@ -17,7 +17,7 @@ def change(df: DataFrame, by: list[str], order: list[str], value: str, to: str)
     return df.withColumn(to, F.col(value) - F.lag(value).over(over(by, order)))
 
 
-def pairs(df: DataFrame, by: list[str], order: list[str], columns: list[str]) -> DataFrame:
+def pairs(df: DataFrame, by: list[str], order: list[str | Column], columns: list[str]) -> DataFrame:
     """Each row with its predecessor's ``columns`` as ``pre_*``; a key's first row has none and goes."""
     w = over(by, order)
     out = df.select("*", F.lag(F.lit(True)).over(w).alias("__has"), *[F.lag(c).over(w).alias(f"pre_{c}") for c in columns])
