@@ -16,8 +16,8 @@ DAY, HOUR = 86_400_000_000, 3_600_000_000
 #: In event time of the table, whose rows are minutes apart: a book's checkpoint a day, snapshot requests six hours apart,
 #: recordings that close at 20:00 and end two hours later, a clock that waits one hour for late arrivals.
 EVERY, COOLDOWN, CLOSE, GRACE_MS, WAIT_MS = DAY, 6 * HOUR, 20 * HOUR, 7_200_000, 3_600_000
-#: Messages of a micro-batch: what a batch holds in memory doesn't grow with the table.
-BATCH = 250_000
+#: Messages of a segment, and segments of a micro-batch: what a batch holds in memory doesn't grow with the table.
+BATCH, STEP = 250_000, 2
 END = "timestamp_micros(cast(4102444800000000 as bigint))"
 
 
@@ -30,16 +30,16 @@ def _ended(messages: DataFrame, path: str, segment, market: str = "market_ticker
     return n + 1
 
 
-def _books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Checkpoints and requests of all markets; messages are recorded by quarters of the month, in order of arrival, at most
-    ``BATCH`` to a segment. Within a quarter times may go back, so the clock waits for the length of one."""
+def _books(spark: SparkSession, sf_dir: str, lost: bool = False) -> DataFrame:
+    """Checkpoints of all markets, with ``lost`` what requests need too; messages are recorded in order of arrival, at most
+    ``BATCH`` to a segment. Their times may go back; the clock waits eight days."""
     path = shared_dir(spark)
     e = events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-    m = staged(recorded.bounded(numbered(e, "ts"), F.floor((F.dayofmonth("ts") - 1) / 8), "ord", BATCH))
+    m = staged(recorded.bounded(numbered(e, "ts"), F.lit(0), "ord", BATCH))
     n = _ended(m, f"{path}/recorded", F.col("segment"))
-    stream = recorder.replayed(spark, f"{path}/recorded", n, m.drop("segment").schema, f"{path}/progress")
+    stream = recorder.replayed(spark, f"{path}/recorded", n, m.drop("segment").schema, f"{path}/progress", STEP)
     live = recorder.clocked(stream, "ts", "8 days", mark=F.col("type") == "end")
-    return recorder.drained(recorder.noted(recorder.sequenced(live), EVERY, COOLDOWN))[0]
+    return recorder.drained(recorder.noted(recorder.sequenced(live), EVERY, lost))[0]
 
 
 TIMED = MESSAGES.replace("SELECT event_id AS ord", "SELECT epoch_us(ts) AS us, event_id AS ord").replace("WITH e AS", "WITH RECURSIVE e AS")
@@ -52,7 +52,7 @@ SELECT cn.sid, cn.m AS market_ticker, (cn.i + 1) * {EVERY} AS "at", cn.seg AS se
 FROM cn LEFT JOIN cl ON cl.sid = cn.sid AND cl.m = cn.m AND cl.i = cn.i GROUP BY ALL""")
 def stream_book_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each market's book as each day with messages ends, by timers of a stream with state per market."""
-    return _books(spark, sf_dir).filter("kind = 'checkpoint'").drop("kind", "batch")
+    return recorder.checkpoints(_books(spark, sf_dir))
 
 
 @query(TIMED + f""", p AS (SELECT sid, m, seg, us FROM s WHERE state IN ('pending', 'negative')),
@@ -61,7 +61,7 @@ r AS (SELECT sid, m, min(us) AS us FROM p GROUP BY sid, m UNION ALL SELECT r.sid
 SELECT r.sid, r.m AS market_ticker, r.us AS "at", p.seg AS segment_id FROM r JOIN p USING (sid, m, us)""")
 def stream_snapshot_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """When a market that can't be trusted asks for a snapshot: with a message that finds it so, at least six hours after its last request."""
-    return _books(spark, sf_dir).filter("kind = 'request'").select("sid", "market_ticker", "at", "segment_id")
+    return recorder.requests(_books(spark, sf_dir, lost=True), COOLDOWN)
 
 
 ARRIVAL = "least(3, (day(ts) - 1) // 8 + CASE WHEN event_id % 37 = 0 THEN 1 ELSE 0 END)"
